@@ -111,7 +111,10 @@ def write(ix: Index, path: str) -> None:
     ``term`` for lookups), partitioned by field; stats beside them."""
     (ix.postings.sortWithinPartitions("field", "term", "doc_id")
      .write.mode("overwrite").partitionBy("field").parquet(f"{path}/postings"))
-    ix.term_stats.write.mode("overwrite").partitionBy("field").parquet(f"{path}/term_stats")
+    # stats from the written postings (no second pass over the raw text)
+    spark = ix.postings.sparkSession
+    written = spark.read.parquet(f"{path}/postings")
+    term_stats(written).write.mode("overwrite").partitionBy("field").parquet(f"{path}/term_stats")
     ix.corpus.write.mode("overwrite").parquet(f"{path}/corpus")
     # commit marker last
     ix.corpus.limit(0).write.mode("overwrite").parquet(path + "/_done")
