@@ -160,3 +160,42 @@ def q_doc_lengths(spark, sf):
     return g.select("field", "doc_id", "flen",
                     F.round(norm_col(F.col("field"), F.col("flen"), "exact"), 6).alias("norm"),
                     F.round(norm_col(F.col("field"), F.col("flen"), "lossy"), 6).alias("norm_lossy"))
+
+
+# ---------------------------------------------------------------- search
+
+from ..operators import search as S  # noqa: E402
+from . import querysets as QS  # noqa: E402
+
+
+def _topk(qset, units, n=10):
+    def fn(spark, sf):
+        ix = I.open_index(spark, sf)
+        return S.search(ix, qset(spark, sf), n)
+    return fn, O.topk_sql(units, n)
+
+
+for _name, _qs, _units in [("keyword_topk", QS.keyword, QS.KEYWORD_UNITS),
+                           ("phrase_match", QS.phrase, QS.PHRASE_UNITS),
+                           ("fielded_search", QS.fielded, QS.FIELDED_UNITS),
+                           ("boolean_must_should", QS.mixed, QS.MIXED_UNITS)]:
+    _fn, _sql = _topk(_qs, _units)
+    register(_name, sql=_sql)(_fn)
+
+
+@register("keyword_match", sql=f"SELECT qid, doc_id, round(score, 4) AS score FROM ({O.scored_sql(QS.KEYWORD_UNITS)}) _s")
+def q_keyword_match(spark, sf):
+    s = S.score(I.open_index(spark, sf), QS.keyword(spark, sf))
+    return s.select("qid", "doc_id", F.round("score", 4).alias("score"))
+
+
+@register("total_hits", sql=O.total_hits_sql(QS.KEYWORD_UNITS, QS.QIDS))
+def q_total_hits(spark, sf):
+    q = QS.keyword(spark, sf)
+    return S.total_hits(S.score(I.open_index(spark, sf), q), q)
+
+
+@register("empty_query", sql=O.total_hits_sql(QS.EMPTY_UNITS, QS.QIDS))
+def q_empty_query(spark, sf):
+    q = QS.empty(spark, sf)
+    return S.total_hits(S.score(I.open_index(spark, sf), q), q)
