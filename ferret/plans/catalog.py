@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import analyze as A
@@ -199,3 +199,182 @@ def q_total_hits(spark, sf):
 def q_empty_query(spark, sf):
     q = QS.empty(spark, sf)
     return S.total_hits(S.score(I.open_index(spark, sf), q), q)
+
+
+# ---------------------------------------------------------------- evaluation
+
+from ..operators import evaluate as E  # noqa: E402
+
+
+def _eval_inputs(spark, sf):
+    ix = I.open_index(spark, sf)
+    hits = S.score(ix, QS.keyword(spark, sf))  # N = 0: all hits are ranked
+    qrels = E.qrels_containment(spark, sf, ix)
+    topics = T.table(spark, sf, "benchmark").select(F.col("item_id").alias("topic"))
+    return hits, qrels, topics
+
+
+_HITS = f"hits AS ({O.scored_sql(QS.KEYWORD_UNITS)})"
+
+
+def _curve_ctes() -> str:
+    return (f"{_HITS}, qrels AS ({E.QRELS_SQL}), "
+            "r AS (SELECT qid AS topic, doc_id, row_number() OVER (PARTITION BY qid ORDER BY round(score, 6) DESC, "
+            "doc_id) AS rank FROM hits), nrel AS (SELECT topic, count(*) AS n_rel FROM qrels GROUP BY topic), "
+            "j AS (SELECT r.*, CASE WHEN q.doc_id IS NULL THEN 0 ELSE 1 END AS rel, coalesce(nrel.n_rel, 0) AS n_rel "
+            "FROM r LEFT JOIN qrels q USING (topic, doc_id) LEFT JOIN nrel USING (topic)), "
+            "c0 AS (SELECT *, sum(rel) OVER (PARTITION BY topic ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING "
+            "AND CURRENT ROW) AS nrelevant FROM j), "
+            "c1 AS (SELECT *, coalesce(lag(nrelevant, 1) OVER (PARTITION BY topic ORDER BY rank), 0) AS _prev FROM c0), "
+            "c2 AS (SELECT topic, rank, doc_id, rel, n_rel, CAST(nrelevant AS DOUBLE) / rank AS _p, "
+            "CASE WHEN n_rel > 0 THEN CAST(nrelevant AS DOUBLE) / n_rel END AS _r FROM c1 "
+            "WHERE n_rel = 0 OR _prev < n_rel), "
+            "c AS (SELECT *, CASE WHEN _p IS NULL OR _r IS NULL THEN NULL WHEN _p + _r = 0 THEN 0.0 "
+            "ELSE 2 * _p * _r / (_p + _r) END AS _f FROM c2)")
+
+
+@register("eval_curve", sql=(
+    f"WITH {_curve_ctes()} SELECT topic, rank, doc_id, rel, n_rel, round(_p, 4) AS precision, "
+    f"round(_r, 4) AS recall, round(_f, 4) AS f1 FROM c"))
+def q_eval_curve(spark, sf):
+    hits, qrels, _ = _eval_inputs(spark, sf)
+    return E.curve(hits, qrels).drop("_p", "_r", "_f")
+
+
+@register("eval_metrics", sql=(
+    f"WITH {_curve_ctes()}, n AS (SELECT topic, max(rank) AS N, any_value(n_rel) AS _nrel FROM c GROUP BY topic), "
+    "cc AS (SELECT c.*, n.N, n._nrel FROM c JOIN n USING (topic)), "
+    "ak AS (SELECT topic, round(_p, 4) AS precision, round(_r, 4) AS recall, round(_f, 4) AS f1 FROM cc "
+    "WHERE rank = least(10, N)), "
+    "ar AS (SELECT topic, round(_p, 4) AS r_precision FROM cc WHERE rank = CASE WHEN _nrel = 0 THEN N "
+    "ELSE least(N, _nrel) END), "
+    "g AS (SELECT topic, count(*) AS nrelevant_gt FROM qrels GROUP BY topic) "
+    "SELECT b.item_id AS topic, CAST(coalesce(n.N, 0) AS BIGINT) AS N, "
+    "CAST(CASE WHEN n.N IS NULL THEN 10 ELSE least(10, n.N) END AS BIGINT) AS k, "
+    "CAST(coalesce(g.nrelevant_gt, 0) AS BIGINT) AS nrelevant_gt, ak.precision, ak.recall, ak.f1, ar.r_precision "
+    "FROM benchmark b LEFT JOIN n ON n.topic = b.item_id LEFT JOIN g ON g.topic = b.item_id "
+    "LEFT JOIN ak ON ak.topic = b.item_id LEFT JOIN ar ON ar.topic = b.item_id"))
+def q_eval_metrics(spark, sf):
+    hits, qrels, topics = _eval_inputs(spark, sf)
+    return E.metrics(hits, qrels, topics, k=10)
+
+
+@register("qrels", sql=E.QRELS_SQL)
+def q_qrels(spark, sf):
+    return E.qrels_containment(spark, sf, I.open_index(spark, sf))
+
+
+# ---------------------------------------------------------------- pooling
+
+_TIES_SQL = (f"WITH {_HITS} SELECT qid, doc_id, round(score, 4) AS score, rnk FROM (SELECT *, rank() OVER "
+             f"(PARTITION BY qid ORDER BY round(score, 6) DESC) AS rnk FROM hits) t WHERE rnk <= 10")
+
+
+@register("topk_with_ties", sql=_TIES_SQL)
+def q_topk_with_ties(spark, sf):
+    hits = S.score(I.open_index(spark, sf), QS.keyword(spark, sf))
+    return E.top_with_ties(hits, 10).select("qid", "doc_id", F.round("score", 4).alias("score"),
+                                            F.col("rnk").cast("long").alias("rnk"))
+
+
+def _pool(spark, sf):
+    return q_topk_with_ties(spark, sf).select("doc_id").distinct()
+
+
+_POOL = f"pool AS (SELECT DISTINCT doc_id FROM ({_TIES_SQL}) _t)"
+
+
+@register("pool_union", sql=f"WITH {_POOL} SELECT doc_id FROM pool")
+def q_pool_union(spark, sf):
+    return _pool(spark, sf)
+
+
+@register("pool_semi", sql=f"WITH {_POOL} SELECT r.* FROM ({T.RECORDS_SQL}) r SEMI JOIN pool USING (doc_id)")
+def q_pool_semi(spark, sf):
+    return T.records(spark, sf).join(_pool(spark, sf), "doc_id", "left_semi")
+
+
+POOL_SIZE = 300
+
+
+@register("pool_random_fill", sql=(
+    f"WITH {_POOL}, rnd AS (SELECT doc_id FROM documents ANTI JOIN pool USING (doc_id) "
+    f"ORDER BY md5(CAST(doc_id AS VARCHAR) || '0') LIMIT greatest(0, {POOL_SIZE} - (SELECT count(*) FROM pool))) "
+    f"SELECT doc_id, 'pool' AS origin FROM pool UNION ALL SELECT doc_id, 'random' AS origin FROM rnd"))
+def q_pool_random_fill(spark, sf):
+    """Test collection = pool + a seeded pseudo-random sample of the other
+    documents, up to 300 in all (ordered by a hash of the id: deterministic,
+    a bounded top-n instead of a global sort)."""
+    pool = _pool(spark, sf).checkpoint(eager=True)
+    room = max(0, POOL_SIZE - pool.count())
+    rest = T.table(spark, sf, "documents").select("doc_id").join(pool, "doc_id", "left_anti")
+    rnd = rest.orderBy(E.pool_sample_key()).limit(room)
+    return pool.withColumn("origin", F.lit("pool")).unionByName(rnd.withColumn("origin", F.lit("random")))
+
+
+def _authors_joined(spark, sf):
+    a = T.authors(spark, sf)
+    return a.groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("turn", "author"))),
+                                                            lambda s: s["author"]), ", ").alias("authors"))
+
+
+_AUTH_SQL = ("SELECT conv_id AS doc_id, string_agg(text, ', ' ORDER BY turn) AS authors FROM conversations "
+             "WHERE text IS NOT NULL GROUP BY conv_id")
+
+
+@register("multi_value_join", sql=_AUTH_SQL)
+def q_multi_value_join(spark, sf):
+    return _authors_joined(spark, sf)
+
+
+@register("pool_listing", sql=(
+    f"WITH {_POOL} SELECT n, CAST(n AS VARCHAR) || ') ' || CAST(r.doc_id AS VARCHAR) || chr(10) || ' title: ' || "
+    f"coalesce(r.title, '') || chr(10) || ' authors: ' || coalesce(a.authors, '') || chr(10) || ' year: ' || "
+    f"coalesce(r.year, '') || chr(10) || ' venue: ' || coalesce(r.venue, '') AS listing FROM "
+    f"(SELECT *, row_number() OVER (ORDER BY doc_id) AS n FROM ({T.RECORDS_SQL}) r0 SEMI JOIN pool USING (doc_id)) r "
+    f"LEFT JOIN ({_AUTH_SQL}) a USING (doc_id)"))
+def q_pool_listing(spark, sf):
+    """Human-readable listing of the (bounded) pool; the ordinal is a window
+    over the pool only, never over the corpus."""
+    rec = T.records(spark, sf).join(_pool(spark, sf), "doc_id", "left_semi")
+    rec = rec.withColumn("n", F.row_number().over(Window.orderBy("doc_id")))
+    rec = rec.join(_authors_joined(spark, sf), "doc_id", "left")
+    nl = F.lit("\n")
+    line = F.concat(F.col("n").cast("string"), F.lit(") "), F.col("doc_id").cast("string"), nl, F.lit(" title: "),
+                    F.coalesce("title", F.lit("")), nl, F.lit(" authors: "), F.coalesce("authors", F.lit("")), nl,
+                    F.lit(" year: "), F.coalesce("year", F.lit("")), nl, F.lit(" venue: "),
+                    F.coalesce("venue", F.lit("")))
+    return rec.select(F.col("n").cast("long").alias("n"), line.alias("listing"))
+
+
+@register("qrels_template", sql=(
+    f"WITH {_POOL} SELECT 'TOPIC_NUM' || chr(9) || '0' || chr(9) || CAST(doc_id AS VARCHAR) || chr(9) || ' ' "
+    f"AS line FROM pool"))
+def q_qrels_template(spark, sf):
+    t = F.lit("\t")
+    return _pool(spark, sf).select(F.concat(F.lit("TOPIC_NUM"), t, F.lit("0"), t, F.col("doc_id").cast("string"),
+                                            t, F.lit(" ")).alias("line"))
+
+
+# ---------------------------------------------------------------- results
+
+LINK_PREFIX = "rec/"
+
+
+_FMT_SQL = (
+    f"WITH t AS ({O.topk_sql(QS.KEYWORD_UNITS, 10)}) SELECT t.qid, t.rank, round(t.score, 2) AS score, "
+    f"CAST(t.doc_id AS VARCHAR) AS key, regexp_replace(r.title, '\\.$', '') AS title, coalesce(a.authors, '') AS authors, "
+    f"r.year, r.venue, '{LINK_PREFIX}' || CAST(t.doc_id AS VARCHAR) AS link FROM t JOIN ({T.RECORDS_SQL}) r USING (doc_id) "
+    f"LEFT JOIN ({_AUTH_SQL}) a USING (doc_id)")
+
+
+@register("format_results", sql=_FMT_SQL)
+def q_format_results(spark, sf):
+    """Late fetch of stored fields for the top 10 only (the hits are joined
+    after the limit), trailing dot removed, authors joined, link built."""
+    top = S.search(I.open_index(spark, sf), QS.keyword(spark, sf), 10)
+    rec = T.records(spark, sf).join(F.broadcast(top.select("doc_id").distinct()), "doc_id", "left_semi")
+    j = top.join(rec, "doc_id").join(_authors_joined(spark, sf), "doc_id", "left")
+    return j.select("qid", "rank", F.round("score", 2).alias("score"), F.col("doc_id").cast("string").alias("key"),
+                    F.regexp_replace("title", r"\.$", "").alias("title"), F.coalesce("authors", F.lit("")).alias("authors"),
+                    "year", "venue", F.concat(F.lit(LINK_PREFIX), F.col("doc_id").cast("string")).alias("link"))
