@@ -378,3 +378,115 @@ def q_format_results(spark, sf):
     return j.select("qid", "rank", F.round("score", 2).alias("score"), F.col("doc_id").cast("string").alias("key"),
                     F.regexp_replace("title", r"\.$", "").alias("title"), F.coalesce("authors", F.lit("")).alias("authors"),
                     "year", "venue", F.concat(F.lit(LINK_PREFIX), F.col("doc_id").cast("string")).alias("link"))
+
+
+# ---------------------------------------------------------------- similarity
+
+from ..operators import similar as SIM  # noqa: E402
+
+_EN_STOPS = A.sql_list(A.spark_stop_words("english"))
+_GT_SQL = (f"SELECT venue, year, doc_id, lower(title) AS title FROM ({T.RECORDS_SQL}) r "
+           "WHERE title IS NOT NULL AND venue IS NOT NULL AND year IS NOT NULL")
+_BOW_SQL = (f"WITH t AS (SELECT venue, year, unnest(regexp_extract_all(title, '{SIM.BOW_RE}')) AS term FROM ({_GT_SQL}) g), "
+            f"c AS (SELECT venue, year, term, count(*) AS freq FROM t WHERE term NOT IN ({_EN_STOPS}) "
+            f"GROUP BY venue, year, term) SELECT venue, year, term, freq FROM c WHERE term IN "
+            f"(SELECT term FROM c GROUP BY term HAVING count(*) >= 10)")
+
+
+@register("group_titles", sql=(
+    f"SELECT venue, year, count(*) AS n_titles, sum(length(title)) AS n_chars FROM ({_GT_SQL}) g GROUP BY venue, year"))
+def q_group_titles(spark, sf):
+    g = SIM.group_titles(spark, sf)
+    return g.groupBy("venue", "year").agg(F.count(F.lit(1)).alias("n_titles"),
+                                          F.sum(F.length("title")).alias("n_chars"))
+
+
+@register("bow_terms", sql=_BOW_SQL)
+def q_bow_terms(spark, sf):
+    return SIM.bow(spark, sf)
+
+
+def _bow_requests(b: DataFrame) -> DataFrame:
+    """One request per venue: its English group (bounded by the venues)."""
+    r = b.filter(F.col("year") == "en")
+    return r.select(F.col("venue").alias("r_venue"), F.col("year").alias("r_year"), "term", "freq")
+
+
+@register("similar_groups_bow", sql=(
+    f"WITH b AS ({_BOW_SQL}), r AS (SELECT venue AS r_venue, year AS r_year, term, freq AS rv FROM b WHERE year = 'en'), "
+    "n AS (SELECT venue, year, sqrt(sum(freq * freq)) AS nn FROM b GROUP BY venue, year), "
+    "rn AS (SELECT r_venue, r_year, sqrt(sum(rv * rv)) AS rnn FROM r GROUP BY r_venue, r_year), "
+    "d AS (SELECT r_venue, r_year, venue, year, sum(freq * rv) AS dot FROM b JOIN r USING (term) "
+    "GROUP BY r_venue, r_year, venue, year), "
+    "s AS (SELECT d.r_venue, d.r_year, d.venue, d.year, dot / nn / rnn AS sim FROM d JOIN n USING (venue, year) "
+    "JOIN rn USING (r_venue, r_year) WHERE NOT (d.r_venue = d.venue AND d.r_year = d.year)) "
+    "SELECT r_venue, r_year, venue, year, round(sim, 6) AS similarity, rank FROM (SELECT *, row_number() OVER "
+    "(PARTITION BY r_venue, r_year ORDER BY round(sim, 6) DESC, venue, year) AS rank FROM s) x WHERE rank <= 5"))
+def q_similar_groups_bow(spark, sf):
+    b = SIM.bow(spark, sf).checkpoint(eager=True)
+    reqs = _bow_requests(b)
+    return SIM.cosine_requests(b, reqs, ["venue", "year"], "term", "freq", k=5)
+
+
+@register("cosine_topk", sql=(
+    "WITH e AS (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS i "
+    "FROM embeddings), c AS (SELECT label AS r_label, i, avg(CAST(x AS DOUBLE)) AS cx FROM e GROUP BY label, i), "
+    "n AS (SELECT vec_id, sqrt(sum(CAST(x AS DOUBLE) * CAST(x AS DOUBLE))) AS nn FROM e GROUP BY vec_id), "
+    "cn AS (SELECT r_label, sqrt(sum(cx * cx)) AS cnn FROM c GROUP BY r_label), "
+    "d AS (SELECT c.r_label, e.vec_id, sum(CAST(e.x AS DOUBLE) * c.cx) AS dot FROM e JOIN c USING (i) "
+    "GROUP BY c.r_label, e.vec_id), "
+    "s AS (SELECT d.r_label, d.vec_id, dot / nn / cnn AS sim FROM d JOIN n USING (vec_id) JOIN cn USING (r_label)) "
+    "SELECT r_label, vec_id, round(sim, 6) AS similarity, rank FROM (SELECT *, row_number() OVER "
+    "(PARTITION BY r_label ORDER BY round(sim, 6) DESC, vec_id) AS rank FROM s) x WHERE rank <= 10"))
+def q_cosine_topk(spark, sf):
+    """Top-10 vectors by cosine against each label's centroid; long-form dot
+    products joined on the dimension (the centroid side is labels x dims)."""
+    emb = T.table(spark, sf, "embeddings")
+    vec = emb.select("vec_id", F.posexplode("embedding").alias("i", "x")).withColumn("x", F.col("x").cast("double"))
+    reqs = SIM.centroids(emb)
+    norms = vec.groupBy("vec_id").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("_n"))
+    rn = reqs.groupBy("r_label").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("_rn"))
+    dots = (vec.join(F.broadcast(reqs.withColumnRenamed("x", "_c")), "i")
+            .groupBy("r_label", "vec_id").agg(F.sum(F.col("x") * F.col("_c")).alias("_dot")))
+    s = dots.join(norms, "vec_id").join(F.broadcast(rn), "r_label")
+    s = s.withColumn("similarity", F.col("_dot") / F.col("_n") / F.col("_rn"))
+    w = Window.partitionBy("r_label").orderBy(F.round("similarity", 6).desc(), F.col("vec_id"))
+    s = s.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= 10)
+    return s.select("r_label", "vec_id", F.round("similarity", 6).alias("similarity"), "rank")
+
+
+@register("lda_corpus_stats", sql=(
+    f"WITH b AS ({_BOW_SQL}) SELECT (SELECT count(*) FROM (SELECT DISTINCT venue, year FROM b)) AS n_groups, "
+    "(SELECT count(DISTINCT term) FROM b) AS n_words, (SELECT sum(freq) FROM b) AS n_tokens"))
+def q_lda_corpus_stats(spark, sf):
+    b = SIM.bow(spark, sf)
+    return b.agg(F.count_distinct("venue", "year").alias("n_groups"), F.count_distinct("term").alias("n_words"),
+                 F.sum("freq").alias("n_tokens"))
+
+
+def _lda(spark, sf, k=10, max_iter=50):
+    corpus, vocab, _ = SIM.lda_corpus(spark, sf)
+    corpus = corpus.checkpoint(eager=True)
+    return SIM.lda_fit(corpus, k=k, max_iter=max_iter, seed=0), corpus, vocab
+
+
+@register("lda_topic_words")
+def q_lda_topic_words(spark, sf):
+    """Top 8 words per topic (rows-only check: LDA is iterative)."""
+    model, _, vocab = _lda(spark, sf)
+    t = model.describeTopics(8).select("topic", F.posexplode("termIndices").alias("rank", "idx"))
+    return t.join(F.broadcast(vocab), "idx").select("topic", (F.col("rank") + 1).alias("rank"), "term")
+
+
+@register("lda_similar_groups")
+def q_lda_similar_groups(spark, sf):
+    """Cosine of LDA topic distributions: each venue's English group against
+    all groups, top 5 (rows-only check)."""
+    from pyspark.ml.functions import vector_to_array
+
+    model, corpus, _ = _lda(spark, sf)
+    td = model.transform(corpus).select("venue", "year", F.posexplode(vector_to_array("topicDistribution"))
+                                        .alias("i", "x"))
+    reqs = td.filter(F.col("year") == "en").select(F.col("venue").alias("r_venue"), F.col("year").alias("r_year"),
+                                                  "i", "x")
+    return SIM.cosine_requests(td, reqs, ["venue", "year"], "i", "x", k=5)
