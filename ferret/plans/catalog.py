@@ -490,3 +490,36 @@ def q_lda_similar_groups(spark, sf):
     reqs = td.filter(F.col("year") == "en").select(F.col("venue").alias("r_venue"), F.col("year").alias("r_year"),
                                                   "i", "x")
     return SIM.cosine_requests(td, reqs, ["venue", "year"], "i", "x", k=5)
+
+
+# ---------------------------------------------------------------- topics
+
+from ..operators import topics as TP  # noqa: E402
+
+_NP_SQL = (
+    f"WITH r AS (SELECT doc_id, year, regexp_extract_all(lower(title), {O.lit(TP.TAG_TOKEN_RE)}) AS toks "
+    f"FROM ({T.RECORDS_SQL}) r0), "
+    f"tg AS (SELECT doc_id, year, array_to_string(list_transform(toks, lambda w: w || '/' || ({TP.tag_sql('w')})), ' ') "
+    f"|| ' ' AS tagged FROM r), "
+    f"ch AS (SELECT doc_id, year, unnest(_c) AS chunk, generate_subscripts(_c, 1) - 1 AS idx FROM "
+    f"(SELECT *, regexp_extract_all(tagged, '{TP.CHUNK_RE}') AS _c FROM tg) x) "
+    f"SELECT doc_id, year, idx, trim(regexp_replace(chunk, '/\\S+', '', 'g')) AS phrase, "
+    f"len(string_split(trim(regexp_replace(chunk, '/\\S+', '', 'g')), ' ')) AS n_words FROM ch")
+
+
+@register("noun_phrases", sql=_NP_SQL)
+def q_noun_phrases(spark, sf):
+    return TP.noun_phrases(T.records(spark, sf), ["doc_id", "year"])
+
+
+@register("popular_topics", sql=(
+    f"WITH np AS ({_NP_SQL}), c AS (SELECT year, phrase, n_words, count(*) AS cnt FROM np GROUP BY year, phrase, n_words), "
+    "u AS (SELECT year, CAST(floor(count(*) * 0.01) AS BIGINT) AS top1p FROM c WHERE n_words = 1 GROUP BY year), "
+    "r AS (SELECT c.*, coalesce(u.top1p, 0) AS top1p, row_number() OVER (PARTITION BY c.year, n_words "
+    "ORDER BY cnt DESC, phrase) AS _r FROM c LEFT JOIN u USING (year) WHERE n_words <= 3), "
+    "k AS (SELECT * FROM r WHERE _r > CASE WHEN n_words = 1 THEN top1p ELSE 0 END "
+    "AND _r <= CASE WHEN n_words = 1 THEN top1p ELSE 0 END + 10) "
+    "SELECT year, phrase, cnt, rank FROM (SELECT *, row_number() OVER (PARTITION BY year ORDER BY cnt DESC, phrase) "
+    "AS rank FROM k) z WHERE rank <= 10"))
+def q_popular_topics(spark, sf):
+    return TP.popular(TP.noun_phrases(T.records(spark, sf), ["doc_id", "year"]), "year", 10)
