@@ -523,3 +523,96 @@ def q_noun_phrases(spark, sf):
     "AS rank FROM k) z WHERE rank <= 10"))
 def q_popular_topics(spark, sf):
     return TP.popular(TP.noun_phrases(T.records(spark, sf), ["doc_id", "year"]), "year", 10)
+
+
+# ---------------------------------------------------------------- cleaning
+
+from ..functions import text as TX  # noqa: E402
+
+
+@register("strip_markup", sql=(
+    f"SELECT page_id, length({TX.strip_markup_sql('html')}) AS n_chars, md5({TX.strip_markup_sql('html')}) AS digest "
+    "FROM pages"))
+def q_strip_markup(spark, sf):
+    p = T.table(spark, sf, "pages").select("page_id", TX.strip_markup(F.col("html")).alias("s"))
+    return p.select("page_id", F.length("s").alias("n_chars"), F.md5("s").alias("digest"))
+
+
+@register("unescape_entities", sql=(
+    f"SELECT page_id, length({TX.unescape_sql('html')}) AS n_chars, md5({TX.unescape_sql('html')}) AS digest FROM pages"))
+def q_unescape_entities(spark, sf):
+    p = T.table(spark, sf, "pages").select("page_id", TX.unescape(F.col("html")).alias("s"))
+    return p.select("page_id", F.length("s").alias("n_chars"), F.md5("s").alias("digest"))
+
+
+@register("page_snippet", sql=f"SELECT page_id, {TX.snippet_sql('html')} AS snippet FROM pages")
+def q_page_snippet(spark, sf):
+    return T.table(spark, sf, "pages").select("page_id", TX.snippet(F.col("html")).alias("snippet"))
+
+
+@register("url_key", sql=f"SELECT page_id, substring(url, {TX.URL_KEY_OFFSET + 1}) AS key FROM pages")
+def q_url_key(spark, sf):
+    return T.table(spark, sf, "pages").select("page_id", TX.url_key(F.col("url")).alias("key"))
+
+
+_YEAR_W = 2  # width of the year facet in the data (language codes)
+
+
+@register("composite_key_split", sql=(
+    f"SELECT venue, year, venue || year AS gkey, substring(venue || year, 1, length(venue || year) - {_YEAR_W}) "
+    f"AS venue_part, substring(venue || year, length(venue || year) - {_YEAR_W - 1}, {_YEAR_W}) AS year_part "
+    f"FROM (SELECT DISTINCT venue, year FROM ({T.RECORDS_SQL}) r WHERE venue IS NOT NULL AND year IS NOT NULL) g"))
+def q_composite_key_split(spark, sf):
+    g = T.records(spark, sf).dropna(subset=["venue", "year"]).select("venue", "year").distinct()
+    key = F.concat("venue", "year")
+    v, y = TX.split_composite(key, _YEAR_W)
+    return g.select("venue", "year", key.alias("gkey"), v.alias("venue_part"), y.alias("year_part"))
+
+
+@register("catch_all_field", sql=(
+    f"SELECT d.doc_id, len(regexp_extract_all(concat_ws(' ', {T.TITLE_SQL}, a.authors, d.lang, d.source), '{O.TOK}')) "
+    f"AS n_tokens FROM documents d LEFT JOIN (SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS authors "
+    f"FROM conversations GROUP BY conv_id) a ON a.conv_id = d.doc_id"))
+def q_catch_all_field(spark, sf):
+    """Catch-all text of a record (title, authors, year, venue in record
+    order), counted in tokens."""
+    d = T.table(spark, sf, "documents")
+    a = T.authors(spark, sf).groupBy("doc_id").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("turn", "author"))), lambda s: s["author"]),
+                     " ").alias("authors"))
+    j = d.join(a, "doc_id", "left")
+    allf = F.concat_ws(" ", T.title_col(), F.col("authors"), F.col("lang"), F.col("source"))
+    return j.select("doc_id", F.size(A.tokenize(allf)).alias("n_tokens"))
+
+
+@register("reject_split", sql=(
+    f"SELECT doc_id, CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS status, reason FROM "
+    f"(SELECT doc_id, CASE WHEN title IS NULL OR trim(title) = '' THEN 'missing title' "
+    f"WHEN venue IS NULL THEN 'missing venue' WHEN year IS NULL THEN 'missing year' END AS reason "
+    f"FROM ({T.RECORDS_SQL}) r) x"))
+def q_reject_split(spark, sf):
+    """Required-field check: every record lands in accepted or rejected
+    (with a reason); a bad record never stops the job."""
+    r = T.records(spark, sf)
+    reason = (F.when(F.col("title").isNull() | (F.trim("title") == ""), F.lit("missing title"))
+              .when(F.col("venue").isNull(), F.lit("missing venue"))
+              .when(F.col("year").isNull(), F.lit("missing year")))
+    r = r.select("doc_id", reason.alias("reason"))
+    return r.select("doc_id", F.when(F.col("reason").isNull(), "accepted").otherwise("rejected").alias("status"),
+                    "reason")
+
+
+@register("facet_titles", sql=f"SELECT doc_id, title FROM ({T.RECORDS_SQL}) r WHERE year = 'en'")
+def q_facet_titles(spark, sf):
+    """All titles of one exact facet value (no limit); the predicate reaches
+    the parquet scan."""
+    return T.records(spark, sf).filter(F.col("year") == "en").select("doc_id", "title")
+
+
+@register("lossy_norm", sql=(
+    f"SELECT DISTINCT flen, round({O.norm('field', 'flen', 'exact')}, 6) AS norm, "
+    f"round({O.norm('field', 'flen', 'lossy')}, 6) AS norm_lossy FROM ({O.postings_sql()}) p WHERE field = 'title'"))
+def q_lossy_norm(spark, sf):
+    p = I.open_index(spark, sf).postings.filter(F.col("field") == "title").select("field", "flen").distinct()
+    return p.select("flen", F.round(norm_col(F.col("field"), F.col("flen"), "exact"), 6).alias("norm"),
+                    F.round(norm_col(F.col("field"), F.col("flen"), "lossy"), 6).alias("norm_lossy")).distinct()
