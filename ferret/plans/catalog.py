@@ -616,3 +616,89 @@ def q_lossy_norm(spark, sf):
     p = I.open_index(spark, sf).postings.filter(F.col("field") == "title").select("field", "flen").distinct()
     return p.select("flen", F.round(norm_col(F.col("field"), F.col("flen"), "exact"), 6).alias("norm"),
                     F.round(norm_col(F.col("field"), F.col("flen"), "lossy"), 6).alias("norm_lossy")).distinct()
+
+
+# ---------------------------------------------------------------- query strings
+
+def _topic_strings(spark, sf):
+    """Four query strings per benchmark passage, in the shapes of the test
+    topics: free text, one quoted phrase, field + phrase + facet, two fields."""
+    b = T.table(spark, sf, "benchmark").select(F.col("item_id").alias("qid"), F.regexp_replace("text", '"', "").alias("t"))
+    shapes = F.array(
+        F.struct(F.lit(0).alias("shape"), F.col("t").alias("q")),
+        F.struct(F.lit(1).alias("shape"), F.concat(F.lit('"'), "t", F.lit('"')).alias("q")),
+        F.struct(F.lit(2).alias("shape"), F.concat(F.lit('title:"'), "t", F.lit('" year:en')).alias("q")),
+        F.struct(F.lit(3).alias("shape"), F.concat(F.lit("authors:"), "t", F.lit(" venue:src1")).alias("q")))
+    return b.select("qid", F.explode(shapes).alias("s")).select("qid", "s.shape", "s.q")
+
+
+_TOPIC_SQL = ("SELECT item_id AS qid, 0 AS shape, replace(text, '\"', '') AS q FROM benchmark UNION ALL "
+              "SELECT item_id, 1, '\"' || replace(text, '\"', '') || '\"' FROM benchmark UNION ALL "
+              "SELECT item_id, 2, 'title:\"' || replace(text, '\"', '') || '\" year:en' FROM benchmark UNION ALL "
+              "SELECT item_id, 3, 'authors:' || replace(text, '\"', '') || ' venue:src1' FROM benchmark")
+
+
+@register("query_phrases", sql=(
+    "SELECT qid, shape, array_to_string(regexp_extract_all(q, '\"([^\"]*)\"', 1), '|') AS phrases, "
+    "len(regexp_extract_all(q, '\"([^\"]*)\"', 1)) AS n_phrases, "
+    f"trim(regexp_replace(q, '\"[^\"]*\"', '', 'g')) AS rest FROM ({_TOPIC_SQL}) t"))
+def q_query_phrases(spark, sf):
+    t = _topic_strings(spark, sf)
+    ph = F.regexp_extract_all("q", F.lit('"([^"]*)"'), 1)
+    return t.select("qid", "shape", F.array_join(ph, "|").alias("phrases"), F.size(ph).alias("n_phrases"),
+                    F.trim(F.regexp_replace("q", '"[^"]*"', "")).alias("rest"))
+
+
+@register("query_rewrite", sql=(
+    "SELECT qid, shape, array_to_string(list_transform(string_split(replace(q, 'authors', 'author'), '\"'), "
+    "lambda x, i: CASE WHEN i % 2 = 0 THEN replace(x, ' ', '.') ELSE x END), '') AS rewritten "
+    f"FROM ({_TOPIC_SQL}) t"))
+def q_query_rewrite(spark, sf):
+    """Rewrite for a remote dialect: ``authors`` -> ``author``, each quoted
+    phrase becomes its words joined by dots, quotes dropped."""
+    t = _topic_strings(spark, sf)
+    parts = F.split(F.replace("q", F.lit("authors"), F.lit("author")), '"', -1)
+    rw = F.transform(parts, lambda x, i: F.when(i % 2 == 1, F.replace(x, F.lit(" "), F.lit("."))).otherwise(x))
+    return t.select("qid", "shape", F.array_join(rw, "").alias("rewritten"))
+
+
+def _split_fields(q):
+    """``free text field:value field:value`` -> (free text, [(field, value)])
+    by the colons: a field name is the last word before a colon, its value
+    runs to the word before the next colon."""
+    parts = F.split(q, ":", -1)
+    n = F.size(parts)
+    free = F.when(n > 1, F.array_join(F.slice(F.split(parts[0], " ", -1), 1, F.size(F.split(parts[0], " ", -1)) - 1),
+                                      " ")).otherwise(q)
+    idx = F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1)))
+
+    def pair(i):
+        prev = F.split(F.trim(F.element_at(parts, i)), " ", -1)
+        key = F.element_at(prev, -1)
+        cur = F.element_at(parts, i + 1)
+        cw = F.split(F.trim(cur), " ", -1)
+        val = F.when(i + 1 < n, F.array_join(F.slice(cw, 1, F.size(cw) - 1), " ")).otherwise(F.trim(cur))
+        return F.struct(key.alias("field"), F.trim(val).alias("value"))
+
+    pairs = F.when(n > 1, F.transform(idx, pair)).otherwise(F.array().cast("array<struct<field:string,value:string>>"))
+    return free, pairs
+
+
+@register("query_fields", sql=(
+    "WITH t AS (SELECT qid, shape, q, string_split(q, ':') AS parts FROM (" + _TOPIC_SQL + ") x), "
+    "p AS (SELECT qid, shape, q, parts, unnest(range(1, greatest(len(parts), 2))) AS i FROM t WHERE len(parts) > 1), "
+    "kv AS (SELECT qid, shape, i, string_split(trim(parts[i]), ' ')[-1] AS field, "
+    "trim(CASE WHEN i + 1 < len(parts) THEN array_to_string(string_split(trim(parts[i + 1]), ' ')[1:-2], ' ') "
+    "ELSE trim(parts[i + 1]) END) AS value FROM p), "
+    "last AS (SELECT qid, shape, field, arg_max(value, i) AS value FROM kv GROUP BY qid, shape, field) "
+    "SELECT qid, shape, '_text' AS field, CASE WHEN len(parts) > 1 THEN "
+    "array_to_string(string_split(parts[1], ' ')[1:-2], ' ') ELSE q END AS value FROM t "
+    "UNION ALL SELECT qid, shape, field, value FROM last WHERE value <> ''"))
+def q_query_fields(spark, sf):
+    """Split each topic string into free text and a field map (a repeated
+    field keeps its last value, empty values are dropped), long form."""
+    t = _topic_strings(spark, sf)
+    free, pairs = _split_fields(F.col("q"))
+    kv = t.select("qid", "shape", F.posexplode(pairs).alias("i", "kv")).select("qid", "shape", "i", "kv.*")
+    last = kv.groupBy("qid", "shape", "field").agg(F.max_by("value", "i").alias("value")).filter(F.col("value") != "")
+    return t.select("qid", "shape", F.lit("_text").alias("field"), free.alias("value")).unionByName(last)
