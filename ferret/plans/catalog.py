@@ -702,3 +702,88 @@ def q_query_fields(spark, sf):
     kv = t.select("qid", "shape", F.posexplode(pairs).alias("i", "kv")).select("qid", "shape", "i", "kv.*")
     last = kv.groupBy("qid", "shape", "field").agg(F.max_by("value", "i").alias("value")).filter(F.col("value") != "")
     return t.select("qid", "shape", F.lit("_text").alias("field"), free.alias("value")).unionByName(last)
+
+
+# ---------------------------------------------------------------- multi-term operators
+
+from ..operators import terms as TM  # noqa: E402
+
+_PT_SQL = O.analyzed_sql(
+    f"SELECT item_id AS qid, 'content' AS field, unnest(_t) AS tok, generate_subscripts(_t, 1) - 1 AS pos "
+    f"FROM (SELECT item_id, regexp_extract_all(text, '{O.TOK}') AS _t FROM benchmark) _b", A.STANDARD, ())
+_TS_SQL = f"ts AS ({O.term_stats_sql()})"
+
+
+_EX_TERM = ("ex AS (SELECT qid, term FROM (SELECT x.qid, x.term, row_number() OVER (PARTITION BY x.qid ORDER BY "
+            "ts.df DESC, x.term) AS r FROM (SELECT DISTINCT qid, term FROM pt) x JOIN ts ON ts.field = 'content' "
+            "AND ts.term = x.term) y WHERE r = 1)")
+_RARE_TERM = _EX_TERM.replace("ex AS", "rare AS").replace("ts.df DESC", "ts.df ASC")
+_POST = f"post AS ({O.postings_sql()})"
+
+
+@register("exclude_term", sql=(
+    f"WITH {_HITS}, {_POST}, {_TS_SQL}, pt AS ({_PT_SQL}), {_EX_TERM}, "
+    "exd AS (SELECT DISTINCT ex.qid, p.doc_id FROM ex JOIN post p ON p.field = 'content' AND p.term = ex.term), "
+    "h AS (SELECT * FROM hits ANTI JOIN exd USING (qid, doc_id)) "
+    "SELECT qid, rank, doc_id, round(score, 4) AS score FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY "
+    "round(score, 6) DESC, doc_id) AS rank FROM h) z WHERE rank <= 10"))
+def q_exclude_term(spark, sf):
+    """Keyword search minus the documents that contain the query's most
+    common term (a prohibited clause: it filters, it does not score)."""
+    ix = I.open_index(spark, sf)
+    hits = S.score(ix, QS.keyword(spark, sf))
+    ex = TM.docs_with(TM.most_common_term(TM.passage_terms(spark, sf), ix), ix)
+    return S.top_k(hits.join(ex, ["qid", "doc_id"], "left_anti"), 10)
+
+
+@register("prefix_match", sql=(
+    f"WITH {_POST}, {_TS_SQL}, pt AS ({_PT_SQL}), pre AS (SELECT DISTINCT qid, substring(term, 1, 4) AS prefix "
+    "FROM pt WHERE length(term) >= 5), ex AS (SELECT pre.qid, pre.prefix, ts.term FROM pre JOIN ts ON ts.field = "
+    "'content' AND starts_with(ts.term, pre.prefix)), "
+    "d AS (SELECT qid, count(DISTINCT p.doc_id) AS n_docs FROM (SELECT DISTINCT qid, term FROM ex) e JOIN post p "
+    "ON p.field = 'content' AND p.term = e.term GROUP BY qid) "
+    "SELECT qid, count(DISTINCT prefix) AS n_prefixes, count(DISTINCT term) AS n_terms, coalesce(any_value(d.n_docs), 0) "
+    "AS n_docs FROM ex LEFT JOIN d USING (qid) GROUP BY qid"))
+def q_prefix_match(spark, sf):
+    """Each passage term of 5+ letters as a 4-letter prefix query: matching
+    vocabulary terms and documents per passage."""
+    ix = I.open_index(spark, sf)
+    pt = TM.passage_terms(spark, sf).filter(F.length("term") >= 5)
+    pre = pt.select("qid", F.substring("term", 1, 4).alias("prefix")).distinct()
+    ex = TM.prefix_expand(pre, ix, 4)
+    docs = TM.docs_with(ex.select("qid", "term").distinct(), ix)
+    a = ex.groupBy("qid").agg(F.count_distinct("prefix").alias("n_prefixes"), F.count_distinct("term").alias("n_terms"))
+    return a.join(docs.groupBy("qid").agg(F.count(F.lit(1)).alias("n_docs")), "qid", "left").fillna(0, ["n_docs"])
+
+
+@register("range_match", sql=(
+    f"WITH {_POST}, {_TS_SQL}, pt AS ({_PT_SQL}), r AS (SELECT qid, min(term) AS lo, max(term) AS hi FROM pt "
+    "GROUP BY qid), ex AS (SELECT r.qid, r.lo, r.hi, ts.term FROM r JOIN ts ON ts.field = 'content' "
+    "AND ts.term BETWEEN r.lo AND r.hi), "
+    "d AS (SELECT qid, count(DISTINCT p.doc_id) AS n_docs FROM ex JOIN post p ON p.field = 'content' "
+    "AND p.term = ex.term GROUP BY qid) "
+    "SELECT qid, lo, hi, count(*) AS n_terms, coalesce(any_value(d.n_docs), 0) AS n_docs FROM ex LEFT JOIN d "
+    "USING (qid) GROUP BY qid, lo, hi"))
+def q_range_match(spark, sf):
+    """Term range [min term, max term] of each passage on the content vocabulary."""
+    ix = I.open_index(spark, sf)
+    r = TM.passage_terms(spark, sf).groupBy("qid").agg(F.min("term").alias("lo"), F.max("term").alias("hi"))
+    ex = TM.range_expand(r, ix)
+    docs = TM.docs_with(ex.select("qid", "term"), ix)
+    a = ex.groupBy("qid", "lo", "hi").agg(F.count(F.lit(1)).alias("n_terms"))
+    return a.join(docs.groupBy("qid").agg(F.count(F.lit(1)).alias("n_docs")), "qid", "left").fillna(0, ["n_docs"])
+
+
+# No oracle text: DuckDB's levenshtein counts UTF-8 bytes, Spark's counts
+# characters; tests/test_terms.py checks this query against a brute force.
+@register("fuzzy_match")
+def q_fuzzy_match(spark, sf):
+    """Fuzzy query (edit distance <= 2) for the rarest interior word of
+    every passage: its vocabulary variants with their document frequency."""
+    ix = I.open_index(spark, sf)
+    pt = TM.passage_terms(spark, sf)
+    ts = ix.term_stats.filter(F.col("field") == "content")
+    w = Window.partitionBy("qid").orderBy(F.col("df").asc(), F.col("term").asc())
+    rare = (pt.select("qid", "term").distinct().join(ts, "term").withColumn("_r", F.row_number().over(w))
+            .filter(F.col("_r") == 1).select("qid", "term"))
+    return TM.fuzzy_expand(rare, ix, 2)
