@@ -56,12 +56,24 @@ def ranked(hits: DataFrame) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(w))
 
 
-def curve(hits: DataFrame, qrels: DataFrame) -> DataFrame:
+def contains_relevance(hits: DataFrame, qrels: DataFrame) -> DataFrame:
+    """The reference's original rule: a hit is relevant when some judged
+    document of its topic contains the hit's id as a substring. Joined per
+    topic (a topic's judgments are few), distinct per hit."""
+    h = hits.select(F.col("qid").alias("topic"), "doc_id")
+    q = qrels.select("topic", F.col("doc_id").cast("string").alias("_judged"))
+    j = h.join(q, "topic").filter(F.col("_judged").contains(F.col("doc_id").cast("string")))
+    return j.select("topic", "doc_id").distinct()
+
+
+def curve(hits: DataFrame, qrels: DataFrame, rel: DataFrame | None = None) -> DataFrame:
     """Running metrics per rank up to the early stop: ``(topic, rank,
-    doc_id, rel, n_rel, precision, recall, f1)``."""
+    doc_id, rel, n_rel, precision, recall, f1)``. ``rel`` overrides which
+    hits count as relevant (default: judged (topic, doc_id) pairs)."""
     r = ranked(hits).withColumnRenamed("qid", "topic")
     nrel = qrels.groupBy("topic").agg(F.count(F.lit(1)).alias("n_rel"))
-    j = (r.join(qrels.withColumn("_rel", F.lit(1)), ["topic", "doc_id"], "left")
+    relset = qrels if rel is None else rel
+    j = (r.join(relset.select("topic", "doc_id").withColumn("_rel", F.lit(1)), ["topic", "doc_id"], "left")
          .join(nrel, "topic", "left")
          .withColumn("rel", F.coalesce("_rel", F.lit(0))).withColumn("n_rel", F.coalesce("n_rel", F.lit(0))))
     w = Window.partitionBy("topic").orderBy("rank")
@@ -76,10 +88,11 @@ def curve(hits: DataFrame, qrels: DataFrame) -> DataFrame:
                     f1.alias("_f"))
 
 
-def metrics(hits: DataFrame, qrels: DataFrame, topics: DataFrame, k: int = 10) -> DataFrame:
+def metrics(hits: DataFrame, qrels: DataFrame, topics: DataFrame, k: int = 10,
+            rel: DataFrame | None = None) -> DataFrame:
     """One row per topic: ``N, k, nrelevant_gt, precision, recall, f1,
     r_precision`` (4 digits, NULL where undefined)."""
-    c = curve(hits, qrels)
+    c = curve(hits, qrels, rel)
     n = c.groupBy("topic").agg(F.max("rank").alias("N"), F.first("n_rel").alias("_nrel"))
     c = c.join(n, "topic")
     cut = F.least(F.lit(k), F.col("N")) if k >= 0 else F.col("N") + k + 1

@@ -259,6 +259,34 @@ def q_eval_metrics(spark, sf):
     return E.metrics(hits, qrels, topics, k=10)
 
 
+_METRICS_TAIL = (
+    ", n AS (SELECT topic, max(rank) AS N, any_value(n_rel) AS _nrel FROM c GROUP BY topic), "
+    "cc AS (SELECT c.*, n.N, n._nrel FROM c JOIN n USING (topic)), "
+    "ak AS (SELECT topic, round(_p, 4) AS precision, round(_r, 4) AS recall, round(_f, 4) AS f1 FROM cc "
+    "WHERE rank = least(10, N)), "
+    "ar AS (SELECT topic, round(_p, 4) AS r_precision FROM cc WHERE rank = CASE WHEN _nrel = 0 THEN N "
+    "ELSE least(N, _nrel) END), "
+    "g AS (SELECT topic, count(*) AS nrelevant_gt FROM qrels GROUP BY topic) "
+    "SELECT b.item_id AS topic, CAST(coalesce(n.N, 0) AS BIGINT) AS N, "
+    "CAST(CASE WHEN n.N IS NULL THEN 10 ELSE least(10, n.N) END AS BIGINT) AS k, "
+    "CAST(coalesce(g.nrelevant_gt, 0) AS BIGINT) AS nrelevant_gt, ak.precision, ak.recall, ak.f1, ar.r_precision "
+    "FROM benchmark b LEFT JOIN n ON n.topic = b.item_id LEFT JOIN g ON g.topic = b.item_id "
+    "LEFT JOIN ak ON ak.topic = b.item_id LEFT JOIN ar ON ar.topic = b.item_id")
+_CONTAINS_CTES = _curve_ctes().replace(
+    "j AS (SELECT r.*, CASE WHEN q.doc_id IS NULL THEN 0 ELSE 1 END AS rel, coalesce(nrel.n_rel, 0) AS n_rel "
+    "FROM r LEFT JOIN qrels q USING (topic, doc_id) LEFT JOIN nrel USING (topic))",
+    "j AS (SELECT r.*, CASE WHEN EXISTS (SELECT 1 FROM qrels q WHERE q.topic = r.topic AND "
+    "contains(CAST(q.doc_id AS VARCHAR), CAST(r.doc_id AS VARCHAR))) THEN 1 ELSE 0 END AS rel, "
+    "coalesce(nrel.n_rel, 0) AS n_rel FROM r LEFT JOIN nrel USING (topic))")
+
+
+@register("eval_contains", sql=f"WITH {_CONTAINS_CTES}{_METRICS_TAIL}")
+def q_eval_contains(spark, sf):
+    """Metrics with the original substring relevance rule."""
+    hits, qrels, topics = _eval_inputs(spark, sf)
+    return E.metrics(hits, qrels, topics, k=10, rel=E.contains_relevance(hits, qrels))
+
+
 @register("qrels", sql=E.QRELS_SQL)
 def q_qrels(spark, sf):
     return E.qrels_containment(spark, sf, I.open_index(spark, sf))
@@ -787,3 +815,29 @@ def q_fuzzy_match(spark, sf):
     rare = (pt.select("qid", "term").distinct().join(ts, "term").withColumn("_r", F.row_number().over(w))
             .filter(F.col("_r") == 1).select("qid", "term"))
     return TM.fuzzy_expand(rare, ix, 2)
+
+
+@register("phrase_slop", sql=(
+    f"WITH {_POST}, lv AS ({O.leaves_sql(QS.PHRASE_UNITS)}), "
+    "pt AS (SELECT qid, ga, b, c, field, len(pterms) AS _nt, unnest(pterms) AS _pt, "
+    "unnest(range(len(pterms))) AS k FROM lv WHERE kind = 'phrase'), "
+    "m AS (SELECT pt.qid, pt.ga, pt.b, pt.c, p.doc_id, pt._nt, pt.k, pt._pt.qpos AS qpos, p.positions FROM pt "
+    "JOIN post p ON p.field = pt.field AND p.term = pt._pt.term), "
+    "m2 AS (SELECT * FROM m WHERE (qid, ga, b, c, doc_id) IN (SELECT (qid, ga, b, c, doc_id) FROM m "
+    "GROUP BY qid, ga, b, c, doc_id HAVING count(*) = any_value(_nt))), "
+    "x AS (SELECT qid, ga, b, c, doc_id, _nt, k, unnest(positions) - qpos AS x FROM m2), "
+    "d AS (SELECT a.qid, a.ga, a.b, a.c, a.doc_id, a._nt, a.x AS a, o.k, min(abs(o.x - a.x)) AS d FROM x a JOIN x o "
+    "ON a.k = 0 AND o.k > 0 AND o.qid = a.qid AND o.ga = a.ga AND o.b = a.b AND o.c = a.c AND o.doc_id = a.doc_id "
+    "AND abs(o.x - a.x) <= 2 GROUP BY ALL), "
+    "pa AS (SELECT qid, ga, b, c, doc_id, a, count(*) AS n, sum(d) AS dsum, any_value(_nt) AS _nt FROM d "
+    "GROUP BY qid, ga, b, c, doc_id, a) "
+    "SELECT qid, doc_id, round(sum(1.0 / (1.0 + dsum)), 6) AS freq FROM pa WHERE n = _nt - 1 AND dsum <= 2 "
+    "GROUP BY qid, ga, b, c, doc_id"))
+def q_phrase_slop(spark, sf):
+    """Sloppy (slop 2) frequency of every passage phrase in every document."""
+    from ..operators import query as Q
+
+    ix = I.open_index(spark, sf)
+    lv, _ = S.materialize(Q.leaves(QS.phrase(spark, sf)))
+    f = S.sloppy_phrase_freq(lv, ix.postings, slop=2)
+    return f.select("qid", "doc_id", F.round("freq", 6).alias("freq"))
