@@ -76,9 +76,12 @@ def lda_corpus(spark: SparkSession, sf: str, min_df: int = 10) -> tuple[DataFram
     from pyspark.ml.functions import array_to_vector
 
     b = bow(spark, sf, min_df)
-    vocab = b.select("term").distinct().withColumn(
-        "idx", F.row_number().over(Window.orderBy("term")) - 1).checkpoint(eager=True)
-    v = vocab.count()
+    from ..session import materialize
+
+    # the vocabulary after min_df (bounded by the dictionary size) gets
+    # dense indexes; a global window over distinct terms only
+    vocab, v = materialize(b.select("term").distinct().withColumn(
+        "idx", F.row_number().over(Window.orderBy("term")) - 1))
     m = (b.join(vocab, "term").groupBy("venue", "year")
          .agg(F.map_from_entries(F.collect_list(F.struct("idx", F.col("freq").cast("double")))).alias("_m")))
     dense = F.transform(F.sequence(F.lit(0), F.lit(max(v - 1, 0))), lambda i: F.coalesce(F.col("_m")[i], F.lit(0.0)))

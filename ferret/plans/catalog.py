@@ -333,8 +333,8 @@ def q_pool_random_fill(spark, sf):
     """Test collection = pool + a seeded pseudo-random sample of the other
     documents, up to 300 in all (ordered by a hash of the id: deterministic,
     a bounded top-n instead of a global sort)."""
-    pool = _pool(spark, sf).checkpoint(eager=True)
-    room = max(0, POOL_SIZE - pool.count())
+    pool, n_pool = S.materialize(_pool(spark, sf))
+    room = max(0, POOL_SIZE - n_pool)
     rest = T.table(spark, sf, "documents").select("doc_id").join(pool, "doc_id", "left_anti")
     rnd = rest.orderBy(E.pool_sample_key()).limit(room)
     return pool.withColumn("origin", F.lit("pool")).unionByName(rnd.withColumn("origin", F.lit("random")))
@@ -451,7 +451,7 @@ def _bow_requests(b: DataFrame) -> DataFrame:
     "SELECT r_venue, r_year, venue, year, round(sim, 6) AS similarity, rank FROM (SELECT *, row_number() OVER "
     "(PARTITION BY r_venue, r_year ORDER BY round(sim, 6) DESC, venue, year) AS rank FROM s) x WHERE rank <= 5"))
 def q_similar_groups_bow(spark, sf):
-    b = SIM.bow(spark, sf).checkpoint(eager=True)
+    b, _ = S.materialize(SIM.bow(spark, sf))
     reqs = _bow_requests(b)
     return SIM.cosine_requests(b, reqs, ["venue", "year"], "term", "freq", k=5)
 
@@ -494,7 +494,7 @@ def q_lda_corpus_stats(spark, sf):
 
 def _lda(spark, sf, k=10, max_iter=50):
     corpus, vocab, _ = SIM.lda_corpus(spark, sf)
-    corpus = corpus.checkpoint(eager=True)
+    corpus, _ = S.materialize(corpus)
     return SIM.lda_fit(corpus, k=k, max_iter=max_iter, seed=0), corpus, vocab
 
 

@@ -76,3 +76,15 @@ def bounded_broadcast(df: DataFrame, max_rows: int = 2_000_000):
 
     n = df.count()
     return (F.broadcast(df), n) if n <= max_rows else (df, n)
+
+
+def materialize(df: DataFrame) -> tuple[DataFrame, int]:
+    """Cut lineage: write ``df`` once as parquet under the shared checkpoint
+    folder (survives executor loss, one job), read it back, return it with
+    its row count."""
+    import uuid
+
+    path = f"{shared_dir(df.sparkSession)}/ferret/tmp-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    return out, out.count()
