@@ -52,7 +52,17 @@ def document_tokens(spark: SparkSession, sf_dir: str, title_an: A.Analyzer = A.D
                     partitions: int | None = None) -> DataFrame:
     """Analyzed token rows ``(doc_id, field, pos, term)`` of title, content,
     venue and year, hash-partitioned by doc_id."""
-    d = tables.table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return tokens_of_documents(tables.table(spark, sf_dir, "documents"), title_an, partitions)
+
+
+def postings_of_documents(docs: DataFrame, title_an: A.Analyzer = A.DEFAULT_TITLE) -> DataFrame:
+    """Postings of any documents table (batch or a micro-batch)."""
+    return _postings_from_tokens(tokens_of_documents(docs, title_an))
+
+
+def tokens_of_documents(docs: DataFrame, title_an: A.Analyzer = A.DEFAULT_TITLE,
+                        partitions: int | None = None) -> DataFrame:
+    d = docs.select("doc_id", "text", "source", "lang")
     d = d.repartition(partitions, "doc_id") if partitions else d.repartition("doc_id")
     fv = d.select("doc_id", F.explode(F.array(
         F.struct(F.lit("title").alias("field"), tables.title_col().alias("v")),
