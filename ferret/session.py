@@ -88,3 +88,12 @@ def materialize(df: DataFrame) -> tuple[DataFrame, int]:
     df.write.mode("overwrite").parquet(path)
     out = df.sparkSession.read.parquet(path)
     return out, out.count()
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Partition count for CPU-heavy stages after an explicit repartition:
+    the configured shuffle partitions, at least the cluster's cores. An
+    explicit count keeps AQE from coalescing a small-by-bytes but
+    expensive-per-row stage (tokenizing, scoring) into one task."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(n, spark.sparkContext.defaultParallelism)
