@@ -63,7 +63,7 @@ def postings_of_documents(docs: DataFrame, title_an: A.Analyzer = A.DEFAULT_TITL
 def tokens_of_documents(docs: DataFrame, title_an: A.Analyzer = A.DEFAULT_TITLE,
                         partitions: int | None = None) -> DataFrame:
     d = docs.select("doc_id", "text", "source", "lang")
-    d = d.repartition(partitions or parallelism(docs.sparkSession), "doc_id")
+    d = d.repartition(partitions or parallelism(docs.sparkSession, d), "doc_id")
     fv = d.select("doc_id", F.explode(F.array(
         F.struct(F.lit("title").alias("field"), tables.title_col().alias("v")),
         F.struct(F.lit("content").alias("field"), F.col("text").alias("v")),
@@ -79,7 +79,8 @@ def tokens_of_documents(docs: DataFrame, title_an: A.Analyzer = A.DEFAULT_TITLE,
 def author_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Analyzed tokens of the multi-valued authors field; positions continue
     across values (gap 0), partitioned by doc_id."""
-    a = tables.authors(spark, sf_dir).repartition(parallelism(spark), "doc_id")
+    a = tables.authors(spark, sf_dir)
+    a = a.repartition(parallelism(spark, a), "doc_id")
     a = a.withColumn("_n", F.size(A.tokenize(F.col("author"))))
     w = Window.partitionBy("doc_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
     a = a.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))

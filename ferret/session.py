@@ -90,10 +90,20 @@ def materialize(df: DataFrame) -> tuple[DataFrame, int]:
     return out, out.count()
 
 
-def parallelism(spark: SparkSession) -> int:
-    """Partition count for CPU-heavy stages after an explicit repartition:
-    the configured shuffle partitions, at least the cluster's cores. An
-    explicit count keeps AQE from coalescing a small-by-bytes but
-    expensive-per-row stage (tokenizing, scoring) into one task."""
-    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(n, spark.sparkContext.defaultParallelism)
+def parallelism(spark: SparkSession, df: DataFrame | None = None, target_bytes: int = 64 << 20) -> int:
+    """Partition count for CPU-heavy stages after an explicit repartition
+    (an explicit count keeps AQE from coalescing a small-by-bytes but
+    expensive-per-row stage, e.g. tokenizing, into one task).
+
+    With ``df``: sized from the optimizer's estimate of its bytes (file
+    sizes after column pruning) at ``target_bytes`` per partition, at least
+    one per core. Without: the configured shuffle partitions, at least one
+    per core."""
+    cores = spark.sparkContext.defaultParallelism
+    if df is not None:
+        try:
+            size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+            return max(cores, -(-size // target_bytes))
+        except Exception:  # pragma: no cover - stats unavailable
+            pass
+    return max(cores, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
