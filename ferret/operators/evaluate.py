@@ -56,6 +56,35 @@ def ranked(hits: DataFrame) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(w))
 
 
+def running_ranks(j: DataFrame) -> DataFrame:
+    """Rank and running relevant count per topic without a per-topic window.
+
+    ``j``: ``topic, doc_id, score, rel``. All hits are range-partitioned by
+    (topic, score desc, doc_id), so a topic with a huge hit list spans many
+    partitions; rows are numbered inside each (topic, partition) piece and
+    the counts of the topic's earlier pieces (a small table: one row per
+    piece) are added: a distributed prefix sum.
+    """
+    from ..session import parallelism
+
+    spark = j.sparkSession
+    s = j.withColumn("_s6", F.round("score", 6))
+    r = s.repartitionByRange(parallelism(spark), F.col("topic"), F.col("_s6").desc(), F.col("doc_id"))
+    r = r.withColumn("_pid", F.spark_partition_id())
+    w = Window.partitionBy("topic", "_pid").orderBy(F.col("_s6").desc(), F.col("doc_id").asc())
+    r = (r.withColumn("_lr", F.row_number().over(w))
+         .withColumn("_lrel", F.sum("rel").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    piece = r.groupBy("topic", "_pid").agg(F.count(F.lit(1)).alias("_n"), F.sum("rel").alias("_nr"))
+    wp = Window.partitionBy("topic").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    off = piece.select("topic", "_pid", F.coalesce(F.sum("_n").over(wp), F.lit(0)).alias("_off"),
+                       F.coalesce(F.sum("_nr").over(wp), F.lit(0)).alias("_roff"))
+    out = r.join(off, ["topic", "_pid"])
+    return out.select("topic", "doc_id", "rel", (F.col("_lr") + F.col("_off")).alias("rank"),
+                      (F.col("_lrel") + F.col("_roff")).alias("nrelevant"), *[c for c in j.columns
+                                                                              if c not in ("topic", "doc_id",
+                                                                                           "rel", "score")])
+
+
 def contains_relevance(hits: DataFrame, qrels: DataFrame) -> DataFrame:
     """The reference's original rule: a hit is relevant when some judged
     document of its topic contains the hit's id as a substring. Joined per
@@ -70,16 +99,16 @@ def curve(hits: DataFrame, qrels: DataFrame, rel: DataFrame | None = None) -> Da
     """Running metrics per rank up to the early stop: ``(topic, rank,
     doc_id, rel, n_rel, precision, recall, f1)``. ``rel`` overrides which
     hits count as relevant (default: judged (topic, doc_id) pairs)."""
-    r = ranked(hits).withColumnRenamed("qid", "topic")
+    h = hits.withColumnRenamed("qid", "topic")
     nrel = qrels.groupBy("topic").agg(F.count(F.lit(1)).alias("n_rel"))
     relset = qrels if rel is None else rel
-    j = (r.join(relset.select("topic", "doc_id").withColumn("_rel", F.lit(1)), ["topic", "doc_id"], "left")
-         .join(nrel, "topic", "left")
-         .withColumn("rel", F.coalesce("_rel", F.lit(0))).withColumn("n_rel", F.coalesce("n_rel", F.lit(0))))
-    w = Window.partitionBy("topic").orderBy("rank")
-    j = j.withColumn("nrelevant", F.sum("rel").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    j = j.withColumn("_prev", F.lag("nrelevant", 1, 0).over(w))
-    j = j.filter((F.col("n_rel") == 0) | (F.col("_prev") < F.col("n_rel")))
+    j = (h.join(relset.select("topic", "doc_id").withColumn("_rel", F.lit(1)), ["topic", "doc_id"], "left")
+         .withColumn("rel", F.coalesce("_rel", F.lit(0))).drop("_rel"))
+    j = running_ranks(j.select("topic", "doc_id", "score", "rel"))
+    j = j.join(nrel, "topic", "left").withColumn(
+        "n_rel", F.coalesce("n_rel", F.lit(0)))
+    # the running count before this rank is nrelevant - rel (no lag window)
+    j = j.filter((F.col("n_rel") == 0) | ((F.col("nrelevant") - F.col("rel")) < F.col("n_rel")))
     p = F.col("nrelevant") / F.col("rank")
     rc = F.when(F.col("n_rel") > 0, F.col("nrelevant") / F.col("n_rel"))
     f1 = F.when(p.isNull() | rc.isNull(), F.lit(None)).when(p + rc == 0, F.lit(0.0)).otherwise(2 * p * rc / (p + rc))

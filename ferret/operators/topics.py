@@ -97,7 +97,11 @@ def popular(np_: DataFrame, facet: str = "year", top_k: int = 10) -> DataFrame:
         F.floor(F.count(F.lit(1)) * 0.01).cast("long").alias("top1p"))
     c = c.filter(F.col("n_words") <= 3).join(F.broadcast(uni), facet, "left").fillna(0, ["top1p"])
     w = Window.partitionBy(facet, "n_words").orderBy(F.col("cnt").desc(), F.col("phrase").asc())
-    c = c.withColumn("_r", F.row_number().over(w))
+    # a constant bound first lets Spark cut each facet's list to its top
+    # rows per partition before the exchange (group limit), so a hot facet
+    # never ships all its phrases to one task
+    bound = (uni.agg(F.max("top1p")).first()[0] or 0) + top_k
+    c = c.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= F.lit(bound))
     lo = F.when(F.col("n_words") == 1, F.col("top1p")).otherwise(F.lit(0))
     c = c.filter((F.col("_r") > lo) & (F.col("_r") <= lo + top_k))
     w2 = Window.partitionBy(facet).orderBy(F.col("cnt").desc(), F.col("phrase").asc())
