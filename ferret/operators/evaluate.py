@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import analyze as A
+from ..session import small
 from ..sources import tables as T
 from .index import Index
 
@@ -40,7 +41,7 @@ def qrels_containment(spark: SparkSession, sf: str, ix: Index) -> DataFrame:
     rare = (inner.join(ts, "term").withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1)
             .select("topic", "term"))
     post = ix.postings.filter(F.col("field") == "content").select("term", "doc_id")
-    cand = post.join(F.broadcast(rare), "term").select("topic", "doc_id")
+    cand = post.join(small(rare), "term").select("topic", "doc_id")
     docs = T.table(spark, sf, "documents").select("doc_id", "text")
     found = cand.join(docs, "doc_id").join(b, "topic").filter(F.col("text").contains(F.col("passage")))
     return found.select("topic", "doc_id").distinct()

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import analyze as A
+from ..session import small
 from ..sources import tables as T
 
 BOW_RE = r"[\p{L}\p{N}_]{2,}"
@@ -50,9 +51,9 @@ def cosine_requests(vecs: DataFrame, reqs: DataFrame, keys: list[str], dim: str,
     rk = [f"r_{c}" for c in keys]
     norms = vecs.groupBy(*keys).agg(F.sqrt(F.sum(F.col(val) * F.col(val))).alias("_n"))
     rnorm = reqs.groupBy(*rk).agg(F.sqrt(F.sum(F.col(val) * F.col(val))).alias("_rn"))
-    dots = (vecs.join(F.broadcast(reqs.withColumnRenamed(val, "_rv")), dim)
+    dots = (vecs.join(small(reqs.withColumnRenamed(val, "_rv")), dim)
             .groupBy(*rk, *keys).agg(F.sum(F.col(val) * F.col("_rv")).alias("_dot")))
-    s = dots.join(norms, keys).join(F.broadcast(rnorm), rk)
+    s = dots.join(norms, keys).join(small(rnorm), rk)
     s = s.withColumn("similarity", F.col("_dot") / F.col("_n") / F.col("_rn"))
     self_ = F.lit(True)
     for a, b in zip(rk, keys):

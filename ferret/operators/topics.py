@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import small
+
 # Word tokens (inner hyphen, apostrophe or dot kept) or single punctuation marks.
 TAG_TOKEN_RE = r"[\p{L}\p{N}]+(?:[-'.][\p{L}\p{N}]+)*|[^\s\p{L}\p{N}]"
 CHUNK_RE = r"(?:\S+/JJ )*(?:\S+/NNS? )*\S+/NN (?:\S+/NNS? )*"
@@ -95,7 +97,7 @@ def popular(np_: DataFrame, facet: str = "year", top_k: int = 10) -> DataFrame:
     c = np_.groupBy(facet, "phrase", "n_words").agg(F.count(F.lit(1)).alias("cnt"))
     uni = c.filter(F.col("n_words") == 1).groupBy(facet).agg(
         F.floor(F.count(F.lit(1)) * 0.01).cast("long").alias("top1p"))
-    c = c.filter(F.col("n_words") <= 3).join(F.broadcast(uni), facet, "left").fillna(0, ["top1p"])
+    c = c.filter(F.col("n_words") <= 3).join(small(uni), facet, "left").fillna(0, ["top1p"])
     w = Window.partitionBy(facet, "n_words").orderBy(F.col("cnt").desc(), F.col("phrase").asc())
     # a constant bound first lets Spark cut each facet's list to its top
     # rows per partition before the exchange (group limit), so a hot facet

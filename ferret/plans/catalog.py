@@ -18,6 +18,7 @@ from ..functions import porter
 from ..functions.scoring import idf_col, norm_col
 from ..operators import index as I
 from ..sources import tables as T
+from ..session import small
 from . import oracle_sql as O
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,9 +96,9 @@ def q_stopword_lists(spark, sf):
     n_words = lists.groupBy("list_name").agg(F.count(F.lit(1)).alias("n_words"))
     hit = vocab.join(F.broadcast(lists), vocab.term == lists.word).groupBy("list_name").agg(
         F.count(F.lit(1)).alias("n_hit"))
-    total = vocab.agg(F.count(F.lit(1)).alias("n_vocab"))
-    return (n_words.join(hit, "list_name", "left").crossJoin(F.broadcast(total))
-            .select("list_name", "n_words", (F.col("n_vocab") - F.coalesce("n_hit", F.lit(0))).alias("vocab_size")))
+    n_vocab = vocab.count()  # one scalar
+    return (n_words.join(hit, "list_name", "left")
+            .select("list_name", "n_words", (F.lit(n_vocab) - F.coalesce("n_hit", F.lit(0))).alias("vocab_size")))
 
 
 def _grid_sql() -> str:
@@ -147,8 +148,8 @@ def q_build_postings(spark, sf):
     f"SELECT field, term, df, round({O.with_idf()}, 6) AS idf FROM ({O.term_stats_sql()}) _t"))
 def q_term_stats(spark, sf):
     ix = I.open_index(spark, sf)
-    return ix.term_stats.crossJoin(F.broadcast(ix.corpus)).select(
-        "field", "term", "df", F.round(idf_col(F.col("df"), F.col("n_docs")), 6).alias("idf"))
+    n_docs = ix.corpus.first()["n_docs"]  # one scalar
+    return ix.term_stats.select("field", "term", "df", F.round(idf_col(F.col("df"), F.lit(n_docs)), 6).alias("idf"))
 
 
 @register("doc_lengths", sql=(
@@ -401,7 +402,7 @@ def q_format_results(spark, sf):
     """Late fetch of stored fields for the top 10 only (the hits are joined
     after the limit), trailing dot removed, authors joined, link built."""
     top = S.search(I.open_index(spark, sf), QS.keyword(spark, sf), 10)
-    rec = T.records(spark, sf).join(F.broadcast(top.select("doc_id").distinct()), "doc_id", "left_semi")
+    rec = T.records(spark, sf).join(small(top.select("doc_id").distinct()), "doc_id", "left_semi")
     j = top.join(rec, "doc_id").join(_authors_joined(spark, sf), "doc_id", "left")
     return j.select("qid", "rank", F.round("score", 2).alias("score"), F.col("doc_id").cast("string").alias("key"),
                     F.regexp_replace("title", r"\.$", "").alias("title"), F.coalesce("authors", F.lit("")).alias("authors"),
@@ -474,9 +475,9 @@ def q_cosine_topk(spark, sf):
     reqs = SIM.centroids(emb)
     norms = vec.groupBy("vec_id").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("_n"))
     rn = reqs.groupBy("r_label").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("_rn"))
-    dots = (vec.join(F.broadcast(reqs.withColumnRenamed("x", "_c")), "i")
+    dots = (vec.join(small(reqs.withColumnRenamed("x", "_c")), "i")
             .groupBy("r_label", "vec_id").agg(F.sum(F.col("x") * F.col("_c")).alias("_dot")))
-    s = dots.join(norms, "vec_id").join(F.broadcast(rn), "r_label")
+    s = dots.join(norms, "vec_id").join(small(rn), "r_label")
     s = s.withColumn("similarity", F.col("_dot") / F.col("_n") / F.col("_rn"))
     w = Window.partitionBy("r_label").orderBy(F.round("similarity", 6).desc(), F.col("vec_id"))
     s = s.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= 10)
@@ -503,7 +504,7 @@ def q_lda_topic_words(spark, sf):
     """Top 8 words per topic (rows-only check: LDA is iterative)."""
     model, _, vocab = _lda(spark, sf)
     t = model.describeTopics(8).select("topic", F.posexplode("termIndices").alias("rank", "idx"))
-    return t.join(F.broadcast(vocab), "idx").select("topic", (F.col("rank") + 1).alias("rank"), "term")
+    return t.join(small(vocab), "idx").select("topic", (F.col("rank") + 1).alias("rank"), "term")
 
 
 @register("lda_similar_groups")

@@ -107,3 +107,15 @@ def parallelism(spark: SparkSession, df: DataFrame | None = None, target_bytes:
         except Exception:  # pragma: no cover - stats unavailable
             pass
     return max(cores, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint only behind a proven bound: the row count is taken
+    (one job on a request-side table) and compared with ``max_rows``;
+    above it the join is left to the planner (shuffle join, AQE)."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.count() <= max_rows else df
