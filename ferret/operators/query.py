@@ -48,53 +48,49 @@ def _analyzed(df: DataFrame, text_col: str, keep: list[str], title_an: A.Analyze
 
 
 def leaves(queries: DataFrame, title_an: A.Analyzer = A.DEFAULT_TITLE) -> DataFrame:
-    """Clause leaves of every query (see module doc)."""
+    """Clause leaves of every query (see module doc).
+
+    One pass: every unit fans out into its B-level pieces (each quoted
+    phrase, each whitespace word of the rest), the pieces are tokenized and
+    analyzed together, and all per-query windows run after a single
+    exchange on ``qid``."""
     u = units(queries)
-    # level A groups: P (phrases) and K (keywords) per unit
-    u = u.withColumn("phrases", F.regexp_extract_all(F.col("text"), F.lit(PHRASE_RE), 1))
-    u = u.withColumn("rest", F.trim(F.regexp_replace(F.col("text"), PHRASE_STRIP_RE, "")))
-    # B level for phrases: one per quoted phrase
-    pb = u.select("qid", "u", "field", F.posexplode("phrases").alias("b", "ptext"))
-    pt = _analyzed(pb, "ptext", ["qid", "u", "b"], title_an)
-    # C leaves of a phrase: each term (boost 1) + the phrase itself (boost 5)
-    w_b = Window.partitionBy("qid", "u", "b")
-    pt = pt.withColumn("_n", F.count(F.lit(1)).over(w_b)).withColumn(
-        "_k", F.row_number().over(w_b.orderBy("pos")) - 1)
-    p_terms = pt.select("qid", "u", "field", "b", F.col("_k").alias("c"), F.lit("term").alias("kind"),
-                        "term", F.lit(None).cast("array<struct<term:string,qpos:int>>").alias("pterms"),
-                        F.lit(1.0).alias("boost"))
-    p_phr = (pt.groupBy("qid", "u", "field", "b")
-             .agg(F.sort_array(F.collect_list(F.struct(F.col("pos").cast("int").alias("qpos"),
-                                                       F.col("term")))).alias("_pl"),
-                  F.count(F.lit(1)).alias("_n")))
-    p_phr = p_phr.select(
-        "qid", "u", "field", "b", F.col("_n").cast("int").alias("c"),
+    phrases = F.regexp_extract_all(F.col("text"), F.lit(PHRASE_RE), 1)
+    rest = F.trim(F.regexp_replace(F.col("text"), PHRASE_STRIP_RE, ""))
+    words = F.when(rest != "", F.split(rest, r"\s+")).otherwise(F.array().cast("array<string>"))
+    pieces = F.concat(
+        F.transform(phrases, lambda x, i: F.struct(F.lit("P").alias("grp"), i.alias("b"), x.alias("piece"))),
+        F.transform(words, lambda x, i: F.struct(F.lit("K").alias("grp"), i.alias("b"), x.alias("piece"))))
+    pc = u.select("qid", "u", "field", F.explode(pieces).alias("p")).select(
+        "qid", "u", "field", "p.grp", "p.b", "p.piece").filter(F.col("piece") != "")
+    tok = _analyzed(pc, "piece", ["qid", "u", "grp", "b"], title_an).repartition("qid")
+    w_b = Window.partitionBy("qid", "u", "grp", "b")
+    tok = (tok.withColumn("c", F.row_number().over(w_b.orderBy("pos")) - 1)
+           .withColumn("_n", F.count(F.lit(1)).over(w_b)))
+    no_pterms = F.lit(None).cast("array<struct<term:string,qpos:int>>")
+    terms = tok.select("qid", "u", "field", "grp", "b", "c", F.lit("term").alias("kind"), "term",
+                       no_pterms.alias("pterms"), F.lit(1.0).alias("boost"))
+    # each phrase (P piece) adds itself, boost 5: a phrase leaf, or a term
+    # leaf when it analyzed to a single term
+    ph = (tok.filter(F.col("grp") == "P").groupBy("qid", "u", "field", "grp", "b")
+          .agg(F.sort_array(F.collect_list(F.struct(F.col("pos").cast("int").alias("qpos"), "term"))).alias("_pl"),
+               F.count(F.lit(1)).alias("_n")))
+    ph = ph.select(
+        "qid", "u", "field", "grp", "b", F.col("_n").cast("int").alias("c"),
         F.when(F.col("_n") == 1, F.lit("term")).otherwise(F.lit("phrase")).alias("kind"),
         F.when(F.col("_n") == 1, F.col("_pl")[0]["term"]).alias("term"),
         F.when(F.col("_n") > 1, F.transform("_pl", lambda s: F.struct(
             s["term"].alias("term"), s["qpos"].alias("qpos")))).alias("pterms"),
         F.lit(PHRASE_BOOST).alias("boost"))
-    ph = p_terms.unionByName(p_phr).withColumn("grp", F.lit("P"))
-    # keywords: one B per whitespace word of the rest, C = its analyzed terms
-    kb = u.filter(F.col("rest") != "").select(
-        "qid", "u", "field", "std",
-        F.posexplode(F.split(F.col("rest"), r"\s+")).alias("b", "word")).filter(F.col("word") != "")
-    kt = _analyzed(kb, "word", ["qid", "u", "b", "std"], title_an)
-    kt = kt.withColumn("c", F.row_number().over(Window.partitionBy("qid", "u", "b").orderBy("pos")) - 1)
-    kw = kt.select("qid", "u", "field", "b", "c", F.lit("term").alias("kind"), "term",
-                   F.lit(None).cast("array<struct<term:string,qpos:int>>").alias("pterms"),
-                   F.lit(1.0).alias("boost"), F.lit("K").alias("grp"))
-    lv = ph.unionByName(kw)
-    # occur of the A group and the level sizes
+    lv = terms.unionByName(ph).repartition("qid")
     lv = lv.withColumn("ga", F.concat_ws(":", F.col("u").cast("string"), F.col("grp")))
     lv = lv.withColumn("must", ~((F.col("grp") == "K") & (F.col("u") == 0)))
     lv = lv.withColumn("b_all", F.col("grp") == "P")  # every phrase of a P group is required
     w_q = Window.partitionBy("qid")
     w_a = Window.partitionBy("qid", "ga")
     w_c = Window.partitionBy("qid", "ga", "b")
-    lv = (lv.withColumn("n_c", F.count(F.lit(1)).over(w_c))
-          .withColumn("n_b", F.size(F.collect_set("b").over(w_a)))
-          .withColumn("n_a", F.size(F.collect_set("ga").over(w_q)))
-          .withColumn("n_must", F.size(F.collect_set(F.when(F.col("must"), F.col("ga"))).over(w_q))))
+    lv = lv.select("*", F.count(F.lit(1)).over(w_c).alias("n_c"), F.size(F.collect_set("b").over(w_a)).alias("n_b"),
+                   F.size(F.collect_set("ga").over(w_q)).alias("n_a"),
+                   F.size(F.collect_set(F.when(F.col("must"), F.col("ga"))).over(w_q)).alias("n_must"))
     return lv.select("qid", "ga", "must", "b", "b_all", "c", "field", "kind", "term", "pterms", "boost",
                      "n_a", "n_must", "n_b", "n_c")
