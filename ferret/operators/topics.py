@@ -94,7 +94,11 @@ def popular(np_: DataFrame, facet: str = "year", top_k: int = 10) -> DataFrame:
     """Top-k phrases per facet value: unigrams skip their most frequent 1
     percent, the best k of each length 1 / 2 / 3 merge, longer chunks are
     counted but not reported. Ties by phrase."""
-    c = np_.groupBy(facet, "phrase", "n_words").agg(F.count(F.lit(1)).alias("cnt"))
+    from ..session import materialize
+
+    # phrase counts are written once (the bound below and the ranking both
+    # read them; the chunking pipeline runs a single time)
+    c, _ = materialize(np_.groupBy(facet, "phrase", "n_words").agg(F.count(F.lit(1)).alias("cnt")))
     uni = c.filter(F.col("n_words") == 1).groupBy(facet).agg(
         F.floor(F.count(F.lit(1)) * 0.01).cast("long").alias("top1p"))
     c = c.filter(F.col("n_words") <= 3).join(small(uni), facet, "left").fillna(0, ["top1p"])
