@@ -55,25 +55,46 @@ def document_tokens(spark: SparkSession, sf_dir: str, title_an: A.Analyzer = A.D
     return tokens_of_documents(tables.table(spark, sf_dir, "documents"), title_an, partitions)
 
 
-def postings_of_documents(docs: DataFrame, title_an: A.Analyzer = A.DEFAULT_TITLE) -> DataFrame:
-    """Postings of any documents table (batch or a micro-batch)."""
-    return _postings_from_tokens(tokens_of_documents(docs, title_an))
+def _doc_partitioned(docs: DataFrame, partitions: int | None = None) -> DataFrame:
+    d = docs.select("doc_id", "text", "source", "lang")
+    return d.repartition(partitions or parallelism(docs.sparkSession, d), "doc_id")
 
 
-def tokens_of_documents(docs: DataFrame, title_an: A.Analyzer = A.DEFAULT_TITLE,
-                        partitions: int | None = None) -> DataFrame:
-    d = docs.select("doc_id", "text", "source", "lang")
+def _title_tokens(docs: DataFrame, title_an: A.Analyzer, partitions: int | None = None) -> DataFrame:
+    """Title tokens through the configurable chain (the only stemmed field).
+    The title (first line) is cut before its exchange, so this branch moves
+    about one percent of the text."""
+    d = docs.select("doc_id", tables.title_col().alias("title"))
     d = d.repartition(partitions or parallelism(docs.sparkSession, d), "doc_id")
+    t = d.select("doc_id", F.lit("title").alias("field"), F.posexplode(A.tokenize(F.col("title"))).alias("pos", "tok"))
+    return A.analyze_tokens(t, title_an).select("doc_id", "field", "pos", "term")
+
+
+def _other_tokens(d: DataFrame) -> DataFrame:
+    """Content, venue (standard chain) and the untokenized year."""
     fv = d.select("doc_id", F.explode(F.array(
-        F.struct(F.lit("title").alias("field"), tables.title_col().alias("v")),
         F.struct(F.lit("content").alias("field"), F.col("text").alias("v")),
         F.struct(F.lit("venue").alias("field"), F.col("source").alias("v")),
         F.struct(F.lit("year").alias("field"), F.col("lang").alias("v")),
     )).alias("fv")).select("doc_id", "fv.field", "fv.v")
     toks = F.when(F.col("field") == "year", F.array(F.col("v"))).otherwise(A.tokenize(F.col("v")))
-    tok = fv.filter(F.col("v").isNotNull()).select(
-        "doc_id", "field", F.posexplode(toks).alias("pos", "tok"))
-    return A.analyze_by_field(tok, title_an).select("doc_id", "field", "pos", "term")
+    tok = fv.filter(F.col("v").isNotNull()).select("doc_id", "field", F.posexplode(toks).alias("pos", "tok"))
+    return A.analyze_by_field(tok, A.STANDARD).select("doc_id", "field", "pos", "term")
+
+
+def postings_of_documents(docs: DataFrame, title_an: A.Analyzer = A.DEFAULT_TITLE,
+                          partitions: int | None = None) -> DataFrame:
+    """Postings of any documents table (batch or a micro-batch). Titles and
+    the other fields are analyzed in two doc_id-partitioned branches (the
+    title branch shuffles only the first lines), so the stemmer only sees
+    titles; each branch groups without a further exchange."""
+    return (_postings_from_tokens(_title_tokens(docs, title_an, partitions))
+            .unionByName(_postings_from_tokens(_other_tokens(_doc_partitioned(docs, partitions)))))
+
+
+def tokens_of_documents(docs: DataFrame, title_an: A.Analyzer = A.DEFAULT_TITLE,
+                        partitions: int | None = None) -> DataFrame:
+    return _title_tokens(docs, title_an, partitions).unionByName(_other_tokens(_doc_partitioned(docs, partitions)))
 
 
 def author_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +113,7 @@ def author_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def build(spark: SparkSession, sf_dir: str, title_an: A.Analyzer = A.DEFAULT_TITLE) -> Index:
     """Lazy index DataFrames straight from the tables."""
-    post = _postings_from_tokens(document_tokens(spark, sf_dir, title_an)).unionByName(
+    post = postings_of_documents(tables.table(spark, sf_dir, "documents"), title_an).unionByName(
         _postings_from_tokens(author_tokens(spark, sf_dir)))
     return Index(post, term_stats(post), corpus(spark, sf_dir))
 
