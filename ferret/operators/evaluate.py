@@ -51,12 +51,6 @@ QRELS_SQL = ("SELECT DISTINCT b.item_id AS topic, d.doc_id FROM benchmark b JOIN
              "ON contains(d.text, b.text)")
 
 
-def ranked(hits: DataFrame) -> DataFrame:
-    """``(qid, doc_id, score)`` -> rank per topic (score desc, doc id)."""
-    w = Window.partitionBy("qid").orderBy(F.round("score", 6).desc(), F.col("doc_id").asc())
-    return hits.withColumn("rank", F.row_number().over(w))
-
-
 def running_ranks(j: DataFrame) -> DataFrame:
     """Rank and running relevant count per topic without a per-topic window.
 

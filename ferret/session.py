@@ -69,15 +69,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 2_000_000):
-    """Broadcast ``df`` only when its row count is proven below ``max_rows``;
-    otherwise return it unchanged so the planner shuffles both sides."""
-    from pyspark.sql import functions as F
-
-    n = df.count()
-    return (F.broadcast(df), n) if n <= max_rows else (df, n)
-
-
 def materialize(df: DataFrame) -> tuple[DataFrame, int]:
     """Cut lineage: write ``df`` once as parquet under the shared checkpoint
     folder (survives executor loss, one job), read it back, return it with
