@@ -44,7 +44,8 @@ class Analyzer:
 
     @property
     def key(self) -> str:
-        return f"lc{int(self.lowercase)}st{int(self.stemming)}sw{int(self.stopwords)}"
+        return f"lc{int(self.lowercase)}st{int(self.stemming)}sw{int(self.stopwords)}" + (
+            f"-{'|'.join(self.stop_list)}" if self.stopwords else "")
 
 
 STANDARD = Analyzer(lowercase=True, stemming=False, stopwords=True)
@@ -128,14 +129,26 @@ def tokens_sql(src: str, text_col: str, keep: str) -> str:
 
 # --- stop lists shipped with Spark ML (a parameter source, not a copy) -----
 
-@functools.lru_cache(maxsize=None)
-def spark_stop_words(language: str = "english") -> tuple[str, ...]:
-    """Spark ML's bundled stop list for ``language``, read from the installed
-    Spark distribution (same list as ``StopWordsRemover.loadDefaultStopWords``)."""
+def _spark_jar_dirs() -> list[str]:
+    """``jars`` folders of the Spark in use: SPARK_HOME, then every parent of
+    the loaded pyspark (which may sit in ``python/lib/pyspark.zip``)."""
     import pyspark
 
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    if not jars:  # pragma: no cover - fall back to the JVM helper
+    dirs = [os.path.join(os.environ["SPARK_HOME"], "jars")] if os.environ.get("SPARK_HOME") else []
+    at = os.path.dirname(os.path.abspath(pyspark.__file__))
+    while at != os.path.dirname(at):
+        dirs.append(os.path.join(at, "jars"))
+        at = os.path.dirname(at)
+    return dirs
+
+
+@functools.lru_cache(maxsize=None)
+def spark_stop_words(language: str = "english") -> tuple[str, ...]:
+    """Spark ML's bundled stop list for ``language`` (the list of
+    ``StopWordsRemover.loadDefaultStopWords``), read from Spark's own jar; no
+    JVM is needed. Without the jar a running session is asked."""
+    jars = [j for d in _spark_jar_dirs() for j in glob.glob(os.path.join(d, "spark-mllib_*.jar"))]
+    if not jars:  # pragma: no cover - a client without Spark's jars
         from pyspark.ml.feature import StopWordsRemover
 
         return tuple(StopWordsRemover.loadDefaultStopWords(language))

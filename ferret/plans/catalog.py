@@ -22,10 +22,21 @@ from ..session import small
 from . import oracle_sql as O
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str | Callable[[], str]] = {}
 
+# stands for Spark ML's English stop list in oracle text until the text is asked for
+_EN_STOPS = "$ENGLISH_STOPS$"
 
-def register(name: str, sql: str | None = None):
+
+def oracle_text(name: str) -> str:
+    """Oracle text of a query. Stop lists are read here and not at import,
+    which needs neither Spark's jars nor a session."""
+    sql = SQL[name]
+    sql = sql() if callable(sql) else sql
+    return sql.replace(_EN_STOPS, A.sql_list(A.spark_stop_words("english"))) if _EN_STOPS in sql else sql
+
+
+def register(name: str, sql: str | Callable[[], str] | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
@@ -87,7 +98,7 @@ def _stop_lists_sql() -> str:
             f"FROM n LEFT JOIN hit USING (list_name)")
 
 
-@register("stopword_lists", sql=_stop_lists_sql())
+@register("stopword_lists", sql=_stop_lists_sql)
 def q_stopword_lists(spark, sf):
     d = T.table(spark, sf, "documents")
     vocab = A.explode_tokens(d, "text", []).select(F.lower("tok").alias("term")).distinct()
@@ -413,7 +424,6 @@ def q_format_results(spark, sf):
 
 from ..operators import similar as SIM  # noqa: E402
 
-_EN_STOPS = A.sql_list(A.spark_stop_words("english"))
 _GT_SQL = (f"SELECT venue, year, doc_id, lower(title) AS title FROM ({T.RECORDS_SQL}) r "
            "WHERE title IS NOT NULL AND venue IS NOT NULL AND year IS NOT NULL")
 _BOW_SQL = (f"WITH t AS (SELECT venue, year, unnest(regexp_extract_all(title, '{SIM.BOW_RE}')) AS term FROM ({_GT_SQL}) g), "

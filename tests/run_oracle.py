@@ -21,7 +21,7 @@ for n in names:
         print(f"{n:24s} rows-only {rows} ({time.time() - t:.1f}s)", flush=True)
         continue
     try:
-        s, d, srows, drows, scols, dcols = compare(spark, catalog.QUERIES[n], catalog.SQL[n], sf, con)
+        s, d, srows, drows, scols, dcols = compare(spark, catalog.QUERIES[n], catalog.oracle_text(n), sf, con)
     except Exception as e:  # noqa: BLE001
         print(f"{n:24s} ERROR {type(e).__name__}: {str(e)[:400]}", flush=True)
         continue

@@ -18,7 +18,7 @@ def con():
 
 @pytest.mark.parametrize("name", FAST)
 def test_matches_oracle(spark, con, name):
-    s, d, *_ = compare(spark, catalog.QUERIES[name], catalog.SQL[name], SF_SMALL, con)
+    s, d, *_ = compare(spark, catalog.QUERIES[name], catalog.oracle_text(name), SF_SMALL, con)
     assert s == d
 
 
