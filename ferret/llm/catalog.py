@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import quality, urls
+from . import bpe, langid, quality, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -77,3 +78,22 @@ FROM p LEFT JOIN j USING (page_id)"""
 @register("op8_url_filter", sql=_url_sql())
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+
+
+# ---------------------------------------------------------------- 10: byte-level BPE
+
+@register("op10_byte_bpe")
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+# ---------------------------------------------------------------- 1: language identification
+
+@register("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    docs = docs.withColumn("held_out", held)
+    profiles = langid.collect_profiles(langid.learn(docs.filter("NOT held_out")))
+    return langid.predict(docs, profiles, ["doc_id", "held_out"])
