@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from .pieces import PiecePool, chunks
 
+ROWS_AT_ONCE = 500  # of results that a task holds
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -180,9 +181,11 @@ def _with_binary(df: DataFrame, source: str, out: str, work) -> DataFrame:
     place = df.columns.index(source)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            col = pa.array(work(batch.column(place)), pa.large_binary() if batch.nbytes > 1 << 30 else pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, col], names=[*batch.schema.names, out])
+        for whole in batches:
+            for a in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(a, ROWS_AT_ONCE)
+                col = pa.array(work(batch.column(place)), pa.binary())
+                yield pa.RecordBatch.from_arrays([*batch.columns, col], names=[*batch.schema.names, out])
 
     return df.mapInArrow(run, schema)
 

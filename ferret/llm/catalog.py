@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import bpe, langid, quality, urls
+from . import bpe, langid, mixing, quality, tokenfile, urls
+from .common import run_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -97,3 +98,24 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = docs.withColumn("held_out", held)
     profiles = langid.collect_profiles(langid.learn(docs.filter("NOT held_out")))
     return langid.predict(docs, profiles, ["doc_id", "held_out"])
+
+
+# ---------------------------------------------------------------- 3: mixing sources
+
+MIX_BLOCK = 64
+
+
+@register("op3_mix_sources")
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sources to equal weights."""
+    return mixing.schedule(table(spark, sf_dir, "documents").select("doc_id", "source"), block=MIX_BLOCK)
+
+
+# ---------------------------------------------------------------- 6: token-id files
+
+@register("op6_token_file")
+def op6_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = run_dir(spark, "ids")
+    tokenfile.write(table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.path("word_bpe_49k.json"))
+    x = tokenfile.read(spark, path)
+    return x.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 
-MAX_PIECES = 300_000
+MAX_PIECES = 200_000
 CHUNK_CHARS = 4_000_000
 
 
