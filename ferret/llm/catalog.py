@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import bpe, langid, mixing, quality, tokenfile, urls
+from . import bpe, langid, mixing, quality, tokenfile, urls, warc
 from .common import run_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,22 @@ def op6_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenfile.write(table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.path("word_bpe_49k.json"))
     x = tokenfile.read(spark, path)
     return x.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+# ---------------------------------------------------------------- 4: WARC
+
+_WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, octet_length(encode(h)) AS payload_bytes, sha1(h) AS x, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + CAST((CAST('0x' || substr(x, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS BIGINT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to FROM d"""
+
+
+@register("op4_warc", sql=_WARC_SQL)
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = run_dir(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path, min_payload=0)
+    return warc.read(spark, path)
