@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import bpe, langid, mixing, quality, tokenfile, urls, warc
+from . import bpe, langid, minhash, mixing, quality, tokenfile, urls, warc
 from .common import run_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "warc")
     warc.write(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path, min_payload=0)
     return warc.read(spark, path)
+
+
+# ---------------------------------------------------------------- 9: MinHash near-duplicates
+
+@register("op9_minhash_near_dedup")
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), size=3, percent=85)
