@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import bpe, langid, minhash, mixing, quality, tokenfile, urls, warc
+from . import bpe, langid, minhash, mixing, quality, rptrees, tokenfile, urls, warc
 from .common import run_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +145,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_minhash_near_dedup")
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), size=3, percent=85)
+
+
+# ---------------------------------------------------------------- 5: embedding near-duplicates
+
+@register("op5_embedding_near_dedup")
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rptrees.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 0.95)
