@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import bpe, langid, minhash, mixing, quality, rptrees, tokenfile, urls, warc
+from . import bpe, langid, minhash, mixing, quality, rptrees, suffix, tokenfile, urls, warc
 from .common import run_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +152,10 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_embedding_near_dedup")
 def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rptrees.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 0.95)
+
+
+# ---------------------------------------------------------------- 2: suffix-array dedup
+
+@register("op2_suffix_dedup")
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.digests(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 
+MAX_BROADCAST_ROWS = 400_000
 # Words of the contracts: runs of bytes that are no ASCII white space.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
@@ -55,3 +56,19 @@ def partitions(spark: SparkSession) -> int:
 
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
+
+
+def numbered(docs: DataFrame, rid: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` plus a number per row in document order: the id itself where
+    ids are unique and not null, else the place in a sorted copy."""
+    ids = docs.select(F.col(id_col).cast("long").alias("i"))
+    odd = ids.groupBy("i").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 OR i IS NULL").head(1)
+    if not odd:
+        return docs.withColumn(rid, F.col(id_col).cast("long"))
+    x = docs.repartitionByRange(partitions(docs.sparkSession), id_col, text_col).sortWithinPartitions(id_col, text_col)
+    return stored(x.withColumn(rid, F.monotonically_increasing_id()), "sa-numbered")
+
+
+def small(x: DataFrame) -> DataFrame:
+    """``x`` to be broadcast if it has few (and by the caller's word short) rows."""
+    return F.broadcast(x) if x.count() <= MAX_BROADCAST_ROWS else x
