@@ -13,11 +13,11 @@ lost:
 1. texts with equal sets become one row (a partial aggregation);
 2. every row of a bucket is compared to the bucket's smallest doc_id, the
    confirmed links give components;
-3. only buckets that still hold several components are looked at again, and
-   there only rows of different components, each outside the bucket's largest
-   one being compared to all others of the bucket.
+3. buckets that still hold several components are looked at again: rows of
+   different components are compared in blocks, a task for each pair of small
+   chunks, which give back links only.
 
-Sets travel only for rows in a shared bucket, at most twice per pair.
+Sets travel only for rows in a shared bucket.
 
 Defined results: texts without words (null, empty) have an empty set, link
 with nothing and are kept; fewer words than a shingle make one shingle of the
@@ -32,16 +32,18 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_or_empty
+from .common import fresh, numbered, small, stored, text_or_empty
 from .components import components
 
 BANDS, ROWS, BITS = 20, 4, 4
 HASHES = BANDS * ROWS
 WORDS64 = HASHES * BITS // 64
+CHUNK = 400  # rows of a cluster that are compared in one task with as many others
 SIGMAS = 6  # the estimate may be this far below the threshold
 _rng = np.random.Generator(np.random.PCG64(20240607))
 _A = _rng.integers(1, 2**63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -183,6 +185,71 @@ def _estimate(a: str, b: str):
     return ((HASHES - differ) / F.lit(float(HASHES)) - chance) / (1 - chance)
 
 
+def _block_links(percent: int, floor: float):
+    """Links between different labels in one pair of chunks. Likely pairs come
+    first, and pairs whose labels a link has joined already are passed over."""
+
+    def work(rows: pd.DataFrame) -> pd.DataFrame:
+        own = rows["own"].to_numpy()
+        left = np.flatnonzero(own == rows["i"].to_numpy())
+        same = rows["i"].iloc[0] == rows["j"].iloc[0]
+        right = left if same else np.flatnonzero(own == rows["j"].to_numpy())
+        label, n, sets_ = rows["label"].to_numpy(), rows["n"].to_numpy(), rows["shingles"].to_numpy()
+        sig = np.stack(rows["sig"].to_numpy()).view(np.uint64)
+        ones = np.uint64(int("1" * (64 // BITS), 2**BITS))
+        found: list[tuple[float, int, int]] = []
+        for x in left:
+            y = right[(label[right] != label[x]) & (100 * np.minimum(n[right], n[x]) >= percent * np.maximum(n[right], n[x]))]
+            y = y[y > x] if same else y
+            bits = sig[y] ^ sig[x]
+            step = 1
+            while step < BITS:
+                bits |= bits >> np.uint64(step)
+                step *= 2
+            equal = 1 - np.bitwise_count(bits & ones).sum(1) / HASHES
+            est = (equal - 2.0**-BITS) / (1 - 2.0**-BITS)
+            found += [(e, int(x), int(k)) for e, k in zip(est.tolist(), y.tolist(), strict=True) if e >= floor]
+        top: dict[int, int] = {}
+
+        def find(v: int) -> int:
+            while (u := top.get(v, v)) != v:
+                top[v] = v = top.get(u, u)
+            return v
+
+        links = []
+        for _, x, y in sorted(found, reverse=True):
+            u, v = find(label[x]), find(label[y])
+            if u != v:
+                both = len(np.intersect1d(sets_[x], sets_[y], assume_unique=True))
+                if 100 * both >= percent * (n[x] + n[y] - both):
+                    top[max(u, v)] = min(u, v)
+                    links.append((label[x], label[y]))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    return work
+
+
+def _across(rows: DataFrame, full: DataFrame, percent: int, floor: float) -> DataFrame:
+    """Confirmed links ``a, b`` between labels that still share a bucket.
+
+    Labels connected by shared buckets form a cluster; its rows are dealt into
+    chunks of about ``CHUNK`` and each pair of chunks is a task of its own, so
+    a cluster of any size is many small tasks that give links and no pairs."""
+    per = rows.select("band", "key", "label").distinct().groupBy("band", "key").agg(F.min("label").alias("low"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
+    shared = rows.join(per, ["band", "key"]).select("doc", "n", "sig", "label", "low").distinct()
+    shared = stored(shared, "mh-shared")
+    cluster = components(shared.select(F.col("low").alias("a"), F.col("label").alias("b"))).select(F.col("node").alias("label"), F.col("component").alias("cluster"))
+    x = stored(shared.select("doc", "n", "sig", "label").distinct().join(cluster, "label"), "mh-clusters")
+    sizes = x.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
+    x = x.join(sizes, "cluster").withColumn("own", F.pmod(F.xxhash64("doc"), F.col("chunks")).cast("int"))
+    x = x.join(full.select(F.col("doc_id").alias("doc"), "shingles"), "doc")
+    x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    x = x.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    x = x.select("cluster", "i", "j", "own", "label", "n", "sig", "shingles")
+    links = x.groupBy("cluster", "i", "j").applyInPandas(_block_links(percent, floor), "a long, b long")
+    return stored(links, "mh-across")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row ``doc_id, n_shingles, component_id, kept``; links are pairs with
     100 * intersection >= percent * union of their sets."""
@@ -215,18 +282,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     rows = rows.select("doc", "n", "sig", "band", "key").join(label, F.col("doc") == F.col("node"), "left").withColumn(
         "label", F.coalesce("component", "doc")).drop("node", "component")
     rows = stored(rows, "mh-labelled")
-    per = rows.groupBy("band", "key", "label").agg(F.count(F.lit(1)).alias("m"))
-    mixed = per.groupBy("band", "key").agg(F.max(F.struct("m", "label")).alias("big"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
-    mixed = rows.join(mixed.select("band", "key", F.col("big.label").alias("big")), ["band", "key"])
-    x = mixed.filter("label <> big").select("band", "key", F.col("doc").alias("d1"), F.col("n").alias("n1"), F.col("sig").alias("s1"), F.col("label").alias("l1"), "big")
-    y = mixed.select("band", "key", F.col("doc").alias("d2"), F.col("n").alias("n2"), F.col("sig").alias("s2"), F.col("label").alias("l2"))
-    # two rows outside the largest component meet once, with the smaller label first
-    cross = x.join(y, ["band", "key"]).filter(((F.col("l2") == F.col("big")) | (F.col("l1") < F.col("l2"))) & near("n1", "n2", "s1", "s2"))
-    cross = cross.select(F.least("d1", "d2").alias("a"), F.greatest("d1", "d2").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
-    links = confirmed(stored(cross, "mh-cross"))
-    of = lambda c: label.select(F.col("node").alias(c), F.col("component").alias(f"l{c}"))
-    links = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
-    joined = components(links).select(F.col("node").alias("l"), F.col("component").alias("top"))
+    joined = components(_across(rows, full, percent, floor)).select(F.col("node").alias("l"), F.col("component").alias("top"))
     reps = reps.select("set_id", "doc").join(label, F.col("doc") == F.col("node"), "left").withColumn("l", F.coalesce("component", "doc")).drop("component")
     reps = reps.join(joined, "l", "left").select("set_id", F.coalesce("top", "l").alias("component"))
     out = signed.select("doc_id", "n", "set_id").join(reps, "set_id", "left")
