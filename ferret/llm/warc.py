@@ -37,6 +37,7 @@ VERSION = "WARC/1.1"
 EOL = "\r\n"
 MAGIC = VERSION + EOL
 END = EOL + EOL
+MAX_BROADCAST = 500_000  # revisits of about 100 bytes
 DATE = "1970-01-01T00:00:00Z"  # pages carry no time of capture
 _BASE32 = ("0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
@@ -56,6 +57,9 @@ def write(pages: DataFrame, path: str, min_payload: int = 0, id_col: str = "page
     slim = x.select("page_id", "sha").filter(F.octet_length("payload") >= min_payload) if min_payload else x.select("page_id", "sha")
     first = slim.groupBy("sha").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1 AND first IS NOT NULL")
     again = slim.join(first, "sha").filter("page_id <> first").select("page_id", "sha", "first").distinct()
+    again = stored(again, "warc-revisits")
+    if again.count() <= MAX_BROADCAST:  # else the pages are shuffled
+        again = F.broadcast(again)
     x = x.join(again, ["page_id", "sha"], "left")
     size, name = F.octet_length("payload"), lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("null")), F.lit(">"))
     revisit = F.col("first").isNotNull()
