@@ -69,6 +69,9 @@ def numbered(docs: DataFrame, rid: str, id_col: str = "doc_id", text_col: str =
     return stored(x.withColumn(rid, F.monotonically_increasing_id()), "sa-numbered")
 
 
-def small(x: DataFrame) -> DataFrame:
-    """``x`` to be broadcast if it has few (and by the caller's word short) rows."""
-    return F.broadcast(x) if x.count() <= MAX_BROADCAST_ROWS else x
+def small(x: DataFrame, parts: str = "1") -> DataFrame:
+    """``x`` to be broadcast if it has at most ``MAX_BROADCAST_ROWS`` rows and
+    ten times as many ``parts`` (an expression, summed over the rows)."""
+    n = x.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.expr(parts)).alias("parts")).first()
+    few = n["rows"] <= MAX_BROADCAST_ROWS and (n["parts"] or 0) <= 10 * MAX_BROADCAST_ROWS
+    return F.broadcast(x) if few else x
