@@ -289,3 +289,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, columns unchanged, one of each group of
+    near-duplicates: that with the smallest ``id_col``."""
+    rid = fresh(docs, "__rid")
+    x = numbered(docs, rid, id_col, text_col)
+    found = near_duplicates(x.select(F.col(rid), F.col(text_col)), size, percent, rid, text_col)
+    gone = stored(found.filter("NOT kept").select(F.col("doc_id").alias(rid)), "mh-gone")
+    return x.join(small(gone), rid, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
