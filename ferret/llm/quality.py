@@ -138,7 +138,11 @@ def ablation(ledgers: DataFrame, led: str = "ledger", policy: Policy = POLICY, r
 
 
 def keep_clean(docs: DataFrame, text_col: str = "text", policy: Policy = POLICY) -> DataFrame:
-    """The rows of ``docs`` whose text passes ``policy``, columns unchanged."""
-    led = fresh(docs, "__ledger")
-    x = ledger(docs, text_col, out=led)
-    return x.filter(passes(led, policy)).drop(led)
+    """The rows of ``docs`` whose text passes ``policy``, columns unchanged.
+
+    A filter on the ledger would be pushed below its columns, and the rules'
+    expressions evaluated within each other; a column that is not
+    deterministic keeps it above them."""
+    led, above = fresh(docs, "__ledger"), fresh(docs, "__above")
+    x = ledger(docs, text_col, out=led).withColumn(above, F.monotonically_increasing_id())
+    return x.filter(passes(led, policy) & (F.col(above) >= 0)).drop(led, above)
