@@ -60,12 +60,9 @@ def tokenize(col: Column) -> Column:
     return F.regexp_extract_all(col, F.lit(TOKEN_RE), 0)
 
 
-def explode_tokens(df: DataFrame, text_col: str, keep: list[str], pos_offset: Column | None = None) -> DataFrame:
+def explode_tokens(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
     """One row per token: ``keep`` + ``pos`` (0-based, before filtering) + ``tok``."""
-    out = df.select(*keep, F.posexplode(tokenize(F.col(text_col))).alias("pos", "tok"))
-    if pos_offset is not None:
-        out = out.withColumn("pos", F.col("pos") + pos_offset)
-    return out
+    return df.select(*keep, F.posexplode(tokenize(F.col(text_col))).alias("pos", "tok"))
 
 
 def analyze_tokens(df: DataFrame, an: Analyzer, tok_col: str = "tok", out_col: str = "term") -> DataFrame:
@@ -107,20 +104,6 @@ def analyze_by_field(tok: DataFrame, title_an: Analyzer, untokenized: tuple[str,
     return cur.filter(keep)
 
 
-def analyze_sql(an: Analyzer, src: str, tok_col: str = "tok", out_col: str = "term") -> str:
-    """DuckDB SQL doing what :func:`analyze_tokens` does on ``src`` rows."""
-    lc = f"lower({tok_col})" if an.lowercase else tok_col
-    cur = f"SELECT *, {lc} AS {out_col} FROM ({src}) _a0"
-    if an.stemming:
-        cur = porter.stem_sql(f"SELECT * EXCLUDE ({out_col}), {out_col} AS _raw FROM ({cur}) _a1",
-                              "_raw", out_col)
-        cur = f"SELECT * EXCLUDE (_raw) FROM ({cur}) _a2"
-    if an.stopwords:
-        lst = ", ".join("'" + w.replace("'", "''") + "'" for w in an.stop_list)
-        cur = f"SELECT * FROM ({cur}) _a3 WHERE {out_col} NOT IN ({lst})"
-    return cur
-
-
 def tokens_sql(src: str, text_col: str, keep: str) -> str:
     """DuckDB SQL exploding ``text_col`` into ``pos`` / ``tok`` rows."""
     return (f"SELECT {keep}, unnest(_t) AS tok, generate_subscripts(_t, 1) - 1 AS pos "

@@ -41,10 +41,6 @@ def unescape_sql(c: str) -> str:
     return c
 
 
-def drop_trailing_dot(c: Column) -> Column:
-    return F.regexp_replace(c, r"\.$", "")
-
-
 def url_key(c: Column) -> Column:
     """The record key at the end of a record URL: drop a fixed prefix width."""
     return F.substring(c, URL_KEY_OFFSET + 1, 1 << 30)

@@ -18,11 +18,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import analyze as A
-from ..session import small
+from ..session import materialize, small
 from ..sources import tables as T
 from .index import Index
 
-MAX_BROADCAST = 2_000_000
+PASSAGES_AT_ONCE = 10_000
 
 
 def qrels_containment(spark: SparkSession, sf: str, ix: Index) -> DataFrame:
@@ -43,8 +43,22 @@ def qrels_containment(spark: SparkSession, sf: str, ix: Index) -> DataFrame:
     post = ix.postings.filter(F.col("field") == "content").select("term", "doc_id")
     cand = post.join(small(rare), "term").select("topic", "doc_id")
     docs = T.table(spark, sf, "documents").select("doc_id", "text")
-    found = cand.join(docs, "doc_id").join(b, "topic").filter(F.col("text").contains(F.col("passage")))
-    return found.select("topic", "doc_id").distinct()
+    found = cand.join(docs, "doc_id").join(b, "topic").filter(F.col("text").contains(F.col("passage"))).select("topic", "doc_id")
+    # passages without an indexed interior word (one or two words, or only stop
+    # words inside) are held against every document, a block of them at a time
+    rest, n = materialize(b.filter("passage IS NOT NULL").join(
+        inner.join(ts, "term").select("topic").distinct(), "topic", "left_anti").join(
+        _impossible(inner, ts), "topic", "left_anti"))
+    blocks = -(-n // PASSAGES_AT_ONCE)
+    for k in range(blocks):
+        part = rest.filter(F.pmod(F.xxhash64("topic"), F.lit(blocks)) == k)
+        found = found.union(docs.join(F.broadcast(part), F.col("text").contains(F.col("passage"))).select("topic", "doc_id"))
+    return found.distinct()
+
+
+def _impossible(inner: DataFrame, ts: DataFrame) -> DataFrame:
+    """Topics with an interior word that no document has."""
+    return inner.join(ts, "term", "left_anti").select("topic").distinct()
 
 
 QRELS_SQL = ("SELECT DISTINCT b.item_id AS topic, d.doc_id FROM benchmark b JOIN documents d "
@@ -119,7 +133,8 @@ def metrics(hits: DataFrame, qrels: DataFrame, topics: DataFrame, k: int = 10,
     c = curve(hits, qrels, rel)
     n = c.groupBy("topic").agg(F.max("rank").alias("N"), F.first("n_rel").alias("_nrel"))
     c = c.join(n, "topic")
-    cut = F.least(F.lit(k), F.col("N")) if k >= 0 else F.col("N") + k + 1
+    # k = 0 reads the last row, a negative k counts from the end
+    cut = F.least(F.lit(k), F.col("N")) if k > 0 else F.col("N") + min(k + 1, 0) if k < 0 else F.col("N")
     at_k = c.filter(F.col("rank") == cut).select(
         "topic", F.round("_p", 4).alias("precision"), F.round("_r", 4).alias("recall"), F.round("_f", 4).alias("f1"))
     rp_rank = F.when(F.col("_nrel") == 0, F.col("N")).otherwise(F.least(F.col("N"), F.col("_nrel")))
@@ -127,7 +142,7 @@ def metrics(hits: DataFrame, qrels: DataFrame, topics: DataFrame, k: int = 10,
     nrel = qrels.groupBy("topic").agg(F.count(F.lit(1)).alias("nrelevant_gt"))
     base = topics.select("topic").join(n.select("topic", "N"), "topic", "left").join(nrel, "topic", "left")
     out = base.join(at_k, "topic", "left").join(at_r, "topic", "left")
-    kk = F.when(F.col("N").isNull(), F.lit(k)).otherwise(cut)
+    kk = F.when(F.col("N").isNull() | F.lit(k == 0), F.lit(k)).otherwise(cut)
     return out.select("topic", F.coalesce("N", F.lit(0)).cast("long").alias("N"), kk.cast("long").alias("k"),
                       F.coalesce("nrelevant_gt", F.lit(0)).cast("long").alias("nrelevant_gt"),
                       "precision", "recall", "f1", "r_precision")

@@ -18,7 +18,6 @@ is a partial + final aggregation over postings.
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -48,13 +47,6 @@ def _postings_from_tokens(tok: DataFrame) -> DataFrame:
     return p.select("field", "term", "doc_id", "tf", "flen", "positions")
 
 
-def document_tokens(spark: SparkSession, sf_dir: str, title_an: A.Analyzer = A.DEFAULT_TITLE,
-                    partitions: int | None = None) -> DataFrame:
-    """Analyzed token rows ``(doc_id, field, pos, term)`` of title, content,
-    venue and year, hash-partitioned by doc_id."""
-    return tokens_of_documents(tables.table(spark, sf_dir, "documents"), title_an, partitions)
-
-
 def _doc_partitioned(docs: DataFrame, partitions: int | None = None) -> DataFrame:
     d = docs.select("doc_id", "text", "source", "lang")
     return d.repartition(partitions or parallelism(docs.sparkSession, d), "doc_id")
@@ -92,11 +84,6 @@ def postings_of_documents(docs: DataFrame, title_an: A.Analyzer = A.DEFAULT_TITL
             .unionByName(_postings_from_tokens(_other_tokens(_doc_partitioned(docs, partitions)))))
 
 
-def tokens_of_documents(docs: DataFrame, title_an: A.Analyzer = A.DEFAULT_TITLE,
-                        partitions: int | None = None) -> DataFrame:
-    return _title_tokens(docs, title_an, partitions).unionByName(_other_tokens(_doc_partitioned(docs, partitions)))
-
-
 def author_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Analyzed tokens of the multi-valued authors field; positions continue
     across values (gap 0), partitioned by doc_id."""
@@ -126,16 +113,17 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.table(spark, sf_dir, "documents").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
-def _fingerprint(sf_dir: str) -> str:
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Path, length and time of every file of the source tables, from the
+    file system that Spark reads them with (any URI)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     parts = []
     for name in ("documents", "conversations"):
-        p = f"{sf_dir.rstrip('/')}/{name}.parquet"
-        try:
-            st = os.stat(p)
-            parts.append(f"{p}:{st.st_size}:{int(st.st_mtime)}")
-        except OSError:
-            parts.append(p)
-    return "|".join(parts)
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            parts += [f"{s.getPath()}:{s.getLen()}:{s.getModificationTime()}" for s in fs.listStatus(path)]
+    return "|".join(sorted(parts))
 
 
 def write(ix: Index, path: str) -> None:
@@ -162,7 +150,7 @@ def read(spark: SparkSession, path: str) -> Index:
 def open_index(spark: SparkSession, sf_dir: str, title_an: A.Analyzer = A.DEFAULT_TITLE) -> Index:
     """Index of ``sf_dir`` stored under the shared checkpoint folder; built
     once (lineage cut by the written table), then read back."""
-    path = table_path(spark, "index", _fingerprint(sf_dir), title_an.key, "v1")
+    path = table_path(spark, "index", _fingerprint(spark, sf_dir), title_an.key, "v1")
     if not path_exists(spark, path + "/_done"):
         write(build(spark, sf_dir, title_an), path)
     return read(spark, path)

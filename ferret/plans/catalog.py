@@ -503,7 +503,7 @@ def q_lda_corpus_stats(spark, sf):
                  F.sum("freq").alias("n_tokens"))
 
 
-def _lda(spark, sf, k=10, max_iter=50):
+def _lda(spark, sf, k=10, max_iter=100):
     corpus, vocab, _ = SIM.lda_corpus(spark, sf)
     corpus, _ = S.materialize(corpus)
     return SIM.lda_fit(corpus, k=k, max_iter=max_iter, seed=0), corpus, vocab

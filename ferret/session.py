@@ -34,24 +34,23 @@ def get_spark(cpus: int | str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
+_LOCAL_DIRS: dict[str, str] = {}
+
 
-    Read from the session; only when it is unset (local tests) a scratch
-    folder is created and registered as the checkpoint dir.
-    """
+def shared_dir(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``, read from the
+    session. Where it is unset a local master (tests) gets a scratch folder,
+    one per application; any other master is an error."""
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    if not d:
-        d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="ferret-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(d)
-    except Exception:  # pragma: no cover - older API
-        pass
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if sc.applicationId not in _LOCAL_DIRS:
+            _LOCAL_DIRS[sc.applicationId] = tempfile.mkdtemp(prefix="ferret-ckpt-", dir="/tmp")
+        d = _LOCAL_DIRS[sc.applicationId]
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 

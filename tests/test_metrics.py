@@ -36,3 +36,23 @@ def test_no_hits_all_null(spark):
     m = E.metrics(hits, qrels, topics, k=10).first()
     assert (m.N, m.k, m.nrelevant_gt) == (0, 10, 1)
     assert m.precision is None and m.recall is None and m.f1 is None and m.r_precision is None
+
+
+def test_cutoff_zero_reads_the_last_row(spark):
+    hits = spark.createDataFrame([(1, i, float(9 - i)) for i in range(3)], "qid int, doc_id long, score double")
+    qrels = spark.createDataFrame([(1, 0), (1, 7)], "topic int, doc_id long")
+    topics = spark.createDataFrame([(1,)], "topic int")
+    zero, last = (E.metrics(hits, qrels, topics, k=k).first() for k in (0, 3))
+    assert zero.k == 0 and (zero.precision, zero.recall, zero.f1) == (last.precision, last.recall, last.f1) == (0.3333, 0.5, 0.4)
+
+
+def test_short_and_stop_word_passages_are_judged(spark, tmp_path):
+    from ferret.operators import index as I
+
+    docs = [(1, "xx alpha beta gamma yy", "en", "s", 1), (2, "to be or not to be", "en", "s", 1), (3, "nothing", "en", "s", 1)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 0, "user", "a")], "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    items = [(10, "alpha beta"), (11, "be or not to"), (12, "alpha beta gamma"), (13, "alph"), (14, "absent"), (15, "a absent z")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = E.qrels_containment(spark, str(tmp_path), I.open_index(spark, str(tmp_path))).collect()
+    assert sorted(map(tuple, got)) == [(10, 1), (11, 2), (12, 1), (13, 1)]

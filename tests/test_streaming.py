@@ -20,3 +20,20 @@ def test_stream_equals_batch(spark, tmp_path):
     b = batch.select(*cols)
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
     assert ix.corpus.first().n_docs == docs.count()
+
+
+def test_replay_and_null_language(spark, tmp_path):
+    """A batch written twice counts once; documents without a language count."""
+    from unittest import mock
+
+    rows = [(1, "alpha beta", "en", "s", 10), (2, "gamma", None, "s", 5), (3, None, None, None, None)]
+    src, out = str(tmp_path / "in"), str(tmp_path / "ix")
+    spark.createDataFrame(rows, incremental.DOC_SCHEMA).write.parquet(src)
+    kept = []
+    stream = type(spark.readStream.schema(incremental.DOC_SCHEMA).parquet(src).writeStream)
+    real = stream.foreachBatch
+    with mock.patch.object(stream, "foreachBatch", lambda self, f: real(self, lambda b, e: (f(b, e), f(b, e), kept.append(e)))):
+        incremental.start(spark, src, out, str(tmp_path / "ck")).awaitTermination(300)
+    ix = incremental.read(spark, out)
+    assert kept and ix.corpus.first().n_docs == 3
+    assert ix.postings.filter("term = 'alpha' AND field = 'content'").count() == 1
