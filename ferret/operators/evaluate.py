@@ -40,8 +40,8 @@ def qrels_containment(spark: SparkSession, sf: str, ix: Index) -> DataFrame:
     w = Window.partitionBy("topic").orderBy(F.col("df").asc(), F.col("term").asc())
     rare = (inner.join(ts, "term").withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1)
             .select("topic", "term"))
-    post = ix.postings.filter(F.col("field") == "content").select("term", "doc_id")
-    cand = post.join(small(rare), "term").select("topic", "doc_id")
+    post = ix.postings.filter(F.col("field") == "content").select("bucket", "term", "doc_id")
+    cand = post.join(small(ix.bucketed(rare)), ["bucket", "term"]).select("topic", "doc_id")
     docs = T.table(spark, sf, "documents").select("doc_id", "text")
     found = cand.join(docs, "doc_id").join(b, "topic").filter(F.col("text").contains(F.col("passage"))).select("topic", "doc_id")
     # passages without an indexed interior word (one or two words, or only stop

@@ -2,9 +2,13 @@
 
 Layout (one row per field, term, document)::
 
-    postings(field, term, doc_id, tf, flen, positions ARRAY<INT>)
+    postings(field, bucket, term, doc_id, tf, flen, positions ARRAY<INT>)
     term_stats(field, term, df)
-    corpus(n_docs)
+    corpus(n_docs, buckets)
+
+Postings are stored by field and term bucket (a hash of the term modulo a
+number that grows with the table), so a lookup prunes to the buckets of the
+terms it asks for instead of reading a field whole.
 
 ``flen`` (field length after stop words) is stored on every posting so a
 query needs no join to a per-document norm table.
@@ -20,7 +24,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import analyze as A
@@ -28,6 +32,9 @@ from ..session import parallelism, path_exists, table_path
 from ..sources import tables
 
 FIELDS = ("title", "content", "venue", "year", "authors")
+# Bounds keep the number of folders (fields x buckets) listable.
+BUCKET_BYTES, MIN_BUCKETS, MAX_BUCKETS = 64 << 20, 8, 4096
+POSTING = ("field", "bucket", "term", "doc_id", "tf", "flen", "positions")
 
 
 @dataclass
@@ -35,6 +42,21 @@ class Index:
     postings: DataFrame
     term_stats: DataFrame
     corpus: DataFrame  # one row: n_docs
+    buckets: int
+
+    def bucketed(self, terms: DataFrame) -> DataFrame:
+        """``terms`` plus the bucket of each ``term``: join postings on it too."""
+        return terms.withColumn("bucket", bucket_of(F.col("term"), self.buckets))
+
+
+def bucket_of(term: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
+
+def bucket_count(docs: DataFrame) -> int:
+    """One bucket per 64 MB of documents (the optimizer's estimate)."""
+    size = parallelism(docs.sparkSession, docs, BUCKET_BYTES)
+    return max(MIN_BUCKETS, min(MAX_BUCKETS, size))
 
 
 def _postings_from_tokens(tok: DataFrame) -> DataFrame:
@@ -100,9 +122,11 @@ def author_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def build(spark: SparkSession, sf_dir: str, title_an: A.Analyzer = A.DEFAULT_TITLE) -> Index:
     """Lazy index DataFrames straight from the tables."""
-    post = postings_of_documents(tables.table(spark, sf_dir, "documents"), title_an).unionByName(
-        _postings_from_tokens(author_tokens(spark, sf_dir)))
-    return Index(post, term_stats(post), corpus(spark, sf_dir))
+    docs = tables.table(spark, sf_dir, "documents")
+    post = postings_of_documents(docs, title_an).unionByName(_postings_from_tokens(author_tokens(spark, sf_dir)))
+    n = bucket_count(docs)
+    post = post.withColumn("bucket", bucket_of(F.col("term"), n))
+    return Index(post, term_stats(post), corpus(spark, sf_dir).withColumn("buckets", F.lit(n)), n)
 
 
 def term_stats(postings: DataFrame) -> DataFrame:
@@ -127,10 +151,8 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
 
 
 def write(ix: Index, path: str) -> None:
-    """Write postings term-sorted within files (tight parquet min/max on
-    ``term`` for lookups), partitioned by field; stats beside them."""
-    (ix.postings.sortWithinPartitions("field", "term", "doc_id")
-     .write.mode("overwrite").partitionBy("field").parquet(f"{path}/postings"))
+    """Write postings and, beside them, the statistics."""
+    write_postings(ix.postings, f"{path}/postings")
     # stats from the written postings (no second pass over the raw text)
     spark = ix.postings.sparkSession
     written = spark.read.parquet(f"{path}/postings")
@@ -140,17 +162,25 @@ def write(ix: Index, path: str) -> None:
     ix.corpus.limit(0).write.mode("overwrite").parquet(path + "/_done")
 
 
+def write_postings(post: DataFrame, path: str) -> None:
+    """Term-sorted files in folders by field and bucket. ``rebalance`` brings a
+    bucket's postings together and lets the adaptive planner split a bucket
+    with a hot term over several tasks and join small ones."""
+    (post.hint("rebalance", "field", "bucket").sortWithinPartitions("field", "bucket", "term", "doc_id")
+     .write.mode("overwrite").partitionBy("field", "bucket").parquet(path))
+
+
 def read(spark: SparkSession, path: str) -> Index:
     post = spark.read.parquet(f"{path}/postings")
     ts = spark.read.parquet(f"{path}/term_stats")
-    cols = ["field", "term", "doc_id", "tf", "flen", "positions"]
-    return Index(post.select(*cols), ts.select("field", "term", "df"), spark.read.parquet(f"{path}/corpus"))
+    corpus = spark.read.parquet(f"{path}/corpus")
+    return Index(post.select(*POSTING), ts.select("field", "term", "df"), corpus, corpus.first()["buckets"])
 
 
 def open_index(spark: SparkSession, sf_dir: str, title_an: A.Analyzer = A.DEFAULT_TITLE) -> Index:
     """Index of ``sf_dir`` stored under the shared checkpoint folder; built
     once (lineage cut by the written table), then read back."""
-    path = table_path(spark, "index", _fingerprint(spark, sf_dir), title_an.key, "v1")
+    path = table_path(spark, "index", _fingerprint(spark, sf_dir), title_an.key, "v2")
     if not path_exists(spark, path + "/_done"):
         write(build(spark, sf_dir, title_an), path)
     return read(spark, path)

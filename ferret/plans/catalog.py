@@ -850,5 +850,5 @@ def q_phrase_slop(spark, sf):
 
     ix = I.open_index(spark, sf)
     lv, _ = S.materialize(Q.leaves(QS.phrase(spark, sf)))
-    f = S.sloppy_phrase_freq(lv, ix.postings, slop=2, term_stats=ix.term_stats)
+    f = S.sloppy_phrase_freq(lv, ix, slop=2)
     return f.select("qid", "doc_id", F.round("freq", 6).alias("freq"))

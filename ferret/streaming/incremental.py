@@ -18,6 +18,7 @@ from ..functions import analyze as A
 from ..operators import index as I
 
 DOC_SCHEMA = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
+BUCKETS = 64  # of a streamed index, whose final size is not known
 
 
 def start(spark: SparkSession, source_dir: str, index_path: str, checkpoint: str,
@@ -26,9 +27,8 @@ def start(spark: SparkSession, source_dir: str, index_path: str, checkpoint: str
     docs = spark.readStream.schema(DOC_SCHEMA).parquet(source_dir)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        post = I.postings_of_documents(batch, title_an)
-        (post.sortWithinPartitions("field", "term", "doc_id").write.mode("overwrite")
-         .partitionBy("field").parquet(f"{index_path}/postings/epoch={epoch_id}"))
+        post = I.postings_of_documents(batch, title_an).withColumn("bucket", I.bucket_of(F.col("term"), BUCKETS))
+        I.write_postings(post, f"{index_path}/postings/epoch={epoch_id}")
         batch.select("doc_id").write.mode("overwrite").parquet(f"{index_path}/documents/epoch={epoch_id}")
 
     w = docs.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
@@ -38,6 +38,6 @@ def start(spark: SparkSession, source_dir: str, index_path: str, checkpoint: str
 
 def read(spark: SparkSession, index_path: str) -> I.Index:
     """The streamed index with statistics derived from its postings."""
-    post = spark.read.parquet(f"{index_path}/postings").select("field", "term", "doc_id", "tf", "flen", "positions")
+    post = spark.read.parquet(f"{index_path}/postings").select(*I.POSTING)
     corpus = spark.read.parquet(f"{index_path}/documents").agg(F.count(F.lit(1)).alias("n_docs"))
-    return I.Index(post, I.term_stats(post), corpus)
+    return I.Index(post, I.term_stats(post), corpus, BUCKETS)
