@@ -12,6 +12,8 @@ interval of the code range:
 Orders 2 and 1 get a share of the range by how often each has been right
 lately; the rest is order 0. Blocks do not depend on each other, so all blocks
 of a group advance together, one array operation per step for all of them.
+The encoder has the ids, so it finds all predictions beforehand, block by
+block; the decoder keeps the tables that give it the same ones step by step.
 """
 
 from __future__ import annotations
@@ -25,78 +27,116 @@ EPOCHS = (64, 256, 1024)
 GAIN = 48
 SLOTS = 8192  # of each context table, a power of two
 SHARE = 1024  # parts of the range that the three orders divide
+_CELL = 5  # order-0 starts lie ``GAIN`` apart at least: one per 2**_CELL at most
 _WORD, _LOW = np.uint64(32), np.uint64(2**32 - 1)
 
 
-class Models:
-    """Models of ``lanes`` blocks; encoder and decoder drive them alike."""
+def _slots(x1, x2):
+    """Places of the order-1 and order-2 contexts in their tables."""
+    a = x1.astype(np.int64) * 40503
+    return (a >> 3) & (SLOTS - 1), (a + x2.astype(np.int64) * 30011 >> 3) & (SLOTS - 1)
+
+
+def _shares(hit):
+    """Range shares of order 1 and 2 by their hit rates ``hit[0], hit[1]``."""
+    a2 = (hit[1] * 960 >> 16) + 1
+    return ((960 - a2) * hit[0] >> 16) + 1, a2
+
+
+def _learn_hits(hit: np.ndarray, right: np.ndarray) -> None:
+    hit += (right * 65535 - hit) >> 5
+
+
+def _told(slots: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """What each context's table slot says at every place of a block: the id
+    at the last earlier place with this slot, 0 for none."""
+    order = np.argsort(slots.astype(np.uint16), kind="stable")
+    by = slots[order]
+    out = np.zeros_like(ids)
+    again = np.flatnonzero(by[1:] == by[:-1])
+    out[order[again + 1]] = ids[order[again]]
+    return out
+
+
+def _foresee(ids: np.ndarray):
+    """Of a block: where order 1 and order 2 are right, and the order-0 start
+    and width of every id."""
+    x1 = np.concatenate([[0], ids[:-1]])
+    s1, s2 = _slots(x1, np.concatenate([[0], x1[:-1]]))
+    start, width = ids.copy(), np.ones_like(ids)
+    for m, end in zip(EPOCHS, (*EPOCHS[1:], BLOCK), strict=True):
+        now = ids[m:end]
+        seen, times = np.unique(ids[:m], return_counts=True)
+        first = np.concatenate([[0], np.cumsum(times)])
+        k = np.searchsorted(seen, now)
+        known = seen[np.minimum(k, len(seen) - 1)] == now
+        start[m:end] += GAIN * first[k]
+        width[m:end] += np.where(known, GAIN * (first[np.minimum(k + 1, len(seen))] - first[k]), 0)
+    return _told(s1, ids) == ids, _told(s2, ids) == ids, start, width
+
+
+class Tables:
+    """What the decoder of ``lanes`` blocks keeps."""
 
     def __init__(self, lanes: int, alphabet: int):
         self.lanes, self.alphabet = lanes, alphabet
-        self.stride = alphabet + GAIN * BLOCK + 1
         self.base = np.arange(lanes, dtype=np.int64) * SLOTS
-        self.ahead = np.arange(lanes, dtype=np.int64) * self.stride
-        self.last1, self.last2 = np.zeros(lanes * SLOTS, np.int64), np.zeros(lanes * SLOTS, np.int64)
-        self.hit1, self.hit2 = np.full(lanes, 4096, np.int64), np.full(lanes, 4096, np.int64)
+        self.last1, self.last2 = np.zeros(lanes * SLOTS, np.int32), np.zeros(lanes * SLOTS, np.int32)
+        self.hit = np.full((2, lanes), 4096, np.int64)
         self.x1 = self.x2 = np.zeros(lanes, np.int64)
         self.m, self.total0 = 0, alphabet
-        self.starts = self.sorted = self.first = self.last = np.zeros(0, np.int64)
 
     def epoch(self, history: np.ndarray) -> None:
-        """Order 0 from the ids seen so far, ``history[lane, t]``."""
-        lanes, self.m = history.shape
+        """Order 0 from the ids seen so far, ``history[lane, t]``: per lane the
+        sorted ids, their starts, and how many starts lie below each cell."""
+        lanes, m = history.shape
+        self.m = m
+        self.total0 = self.alphabet + GAIN * m
         seen = np.sort(history, axis=1)
         new = np.ones(seen.shape, bool)
         new[:, 1:] = seen[:, 1:] != seen[:, :-1]
-        place = np.arange(self.m)
-        self.first = np.maximum.accumulate(np.where(new, place, 0), axis=1).ravel()
+        place = np.arange(m)
         end = np.ones(seen.shape, bool)
         end[:, :-1] = new[:, 1:]
-        after = np.where(end, place + 1, self.m)
-        self.last = np.minimum.accumulate(after[:, ::-1], axis=1)[:, ::-1].ravel()
-        self.starts = (seen + GAIN * place + self.ahead[:lanes, None]).ravel()
-        self.sorted = (seen + self.ahead[:lanes, None]).ravel()
-        self.total0 = self.alphabet + GAIN * self.m
+        self.first = np.maximum.accumulate(np.where(new, place, 0), axis=1).astype(np.int32).ravel()
+        after = np.where(end, place + 1, m)
+        self.last = np.minimum.accumulate(after[:, ::-1], axis=1)[:, ::-1].astype(np.int32).ravel()
+        self.sorted = seen.astype(np.int32).ravel()
+        starts = np.full((lanes, m + 1), np.iinfo(np.int32).max, np.int32)
+        starts[:, :m] = seen + GAIN * place
+        self.cells = (self.total0 >> _CELL) + 1
+        below = np.zeros((lanes, self.cells + 1), np.int32)
+        below[np.arange(lanes)[:, None], (starts[:, :m] >> _CELL) + 1] = 1
+        self.below = np.cumsum(below, axis=1, dtype=np.int32).ravel()
+        self.starts = starts.ravel()
+        lane = np.arange(lanes, dtype=np.int64)
+        self.cell_at, self.start_at, self.id_at = lane * (self.cells + 1), lane * (m + 1), lane * m
 
     def predict(self, n: int):
         """For the first ``n`` lanes: predicted ids, range shares."""
-        x1 = self.x1[:n]
-        self.at1 = self.base[:n] + (x1 * 40503 >> 3) & (SLOTS - 1)
-        self.at2 = self.base[:n] + (x1 * 40503 + self.x2[:n] * 30011 >> 3) & (SLOTS - 1)
-        a2 = (self.hit2[:n] * 960 >> 16) + 1
-        a1 = ((960 - a2) * self.hit1[:n] >> 16) + 1
-        return self.last1[self.at1], self.last2[self.at2], a1, a2
+        s1, s2 = _slots(self.x1[:n], self.x2[:n])
+        self.at1, self.at2 = s1 + self.base[:n], s2 + self.base[:n]
+        return self.last1[self.at1], self.last2[self.at2], *_shares(self.hit[:, :n])
 
     def update(self, n: int, x: np.ndarray, p1: np.ndarray, p2: np.ndarray) -> None:
         self.last1[self.at1] = x
         self.last2[self.at2] = x
-        h1, h2 = self.hit1[:n], self.hit2[:n]
-        h1 += ((p1 == x) * 65535 - h1) >> 5
-        h2 += ((p2 == x) * 65535 - h2) >> 5
+        if n < self.hit.shape[1]:
+            self.hit = self.hit[:, :n].copy()
+        _learn_hits(self.hit, np.stack([p1 == x, p2 == x]))
         self.x2, self.x1 = self.x1[:n], x
 
-    def of_id(self, lanes: np.ndarray, x: np.ndarray):
-        """Order-0 start and width of ids."""
-        if not self.m:
-            return x, np.ones_like(x)
-        key = x + self.ahead[lanes]
-        lo = np.searchsorted(self.sorted, key, "left") - lanes * self.m
-        hi = np.searchsorted(self.sorted, key, "right") - lanes * self.m
-        return x + GAIN * lo, 1 + GAIN * (hi - lo)
-
     def of_value(self, n: int, u: np.ndarray):
         """Id, order-0 start and width at value ``u`` of the first ``n`` lanes."""
         if not self.m:
             return u, u, np.ones_like(u)
-        lanes = np.arange(n)
-        j = np.searchsorted(self.starts, u + self.ahead[:n], "right")
-        own = j - lanes * self.m
-        some = own > 0
-        k = np.where(some, j - 1, 0)
-        a, lo, hi = self.sorted[k] - self.ahead[:n], self.first[k], self.last[k]
-        inside = some & (u < a + GAIN * hi + 1)
-        x = np.where(inside, a, u - GAIN * own)
-        return x, np.where(inside, a + GAIN * lo, u), np.where(inside, 1 + GAIN * (hi - lo), 1)
+        own = self.below[self.cell_at[:n] + (u >> _CELL)]
+        own = own + (self.starts[self.start_at[:n] + own] <= u)
+        k = self.id_at[:n] + np.maximum(own - 1, 0)
+        a, lo, hi = self.sorted[k], self.first[k], self.last[k]
+        inside = (own > 0) & (u < a + GAIN * hi + 1)
+        return (np.where(inside, a, u - GAIN * own), np.where(inside, a + GAIN * lo, u),
+                np.where(inside, 1 + GAIN * (hi - lo), 1))
 
 
 def _blocks(n: int) -> np.ndarray:
@@ -111,25 +151,28 @@ def encode(ids: np.ndarray, alphabet: int) -> tuple[np.ndarray, np.ndarray, byte
     lanes = len(sizes)
     if not lanes:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), b""
-    x = np.zeros((lanes, BLOCK), np.int64)
-    x.ravel()[:len(ids)] = ids
-    x = np.ascontiguousarray(x.T)  # a step's ids side by side
-    model, low, rng = Models(lanes, alphabet), np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
+    right = np.zeros((BLOCK, 2, lanes), bool)  # a step's blocks side by side
+    start0, width0 = np.zeros((BLOCK, lanes), np.int32), np.ones((BLOCK, lanes), np.int32)
+    at = 0
+    for k, size in enumerate(sizes.tolist()):
+        one = _foresee(ids[at:at + size].astype(np.int64))
+        right[:size, 0, k], right[:size, 1, k], start0[:size, k], width0[:size, k] = one
+        at += size
+    hit, low, rng = np.full((2, lanes), 4096, np.int64), np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
     out, used = np.zeros((lanes, BLOCK + 8), np.uint32), np.zeros(lanes, np.int64)
     every = np.arange(lanes)
+    total0 = alphabet
     for t in range(int(sizes[0])):
         n = lanes if t < sizes[-1] else lanes - 1
         if t in EPOCHS:
-            model.epoch(np.ascontiguousarray(x[:t, :n].T))
-        now, lane = x[t, :n], every[:n]
-        p1, p2, a1, a2 = model.predict(n)
-        start0, width0 = model.of_id(lane, now)
-        a0, total0 = SHARE - a1 - a2, model.total0
-        is2 = p2 == now
-        is1 = (p1 == now) & ~is2
-        start = np.where(is2, 0, np.where(is1, total0 * a2, total0 * (a1 + a2) + a0 * start0))
-        width = np.where(is2, total0 * a2, np.where(is1, total0 * a1, a0 * width0))
-        low, rng = low[:n], rng[:n]
+            total0 = alphabet + GAIN * t
+        if n < len(low):
+            low, rng, hit = low[:n], rng[:n], hit[:, :n].copy()
+        is1, is2 = right[t, 0, :n], right[t, 1, :n]
+        a1, a2 = _shares(hit)
+        a0, two = SHARE - a1 - a2, total0 * a2
+        start = np.where(is2, 0, np.where(is1, two, two + total0 * a1 + a0 * start0[t, :n]))
+        width = np.where(is2, two, np.where(is1, total0 * a1, a0 * width0[t, :n]))
         part = rng // np.uint64(total0 * SHARE)
         low = low + start.astype(np.uint64) * part
         rng = width.astype(np.uint64) * part
@@ -137,7 +180,7 @@ def encode(ids: np.ndarray, alphabet: int) -> tuple[np.ndarray, np.ndarray, byte
         out[go, used[go]] = lo >> _WORD
         used[go] += 1
         low[go], rng[go] = lo << _WORD, r << _WORD
-        model.update(n, now, p1, p2)
+        _learn_hits(hit, right[t, :, :n])
         if t + 1 == sizes[-1]:
             short = low[-1:].copy()
     ends = np.concatenate([low[:lanes - 1], short])
@@ -168,7 +211,7 @@ def decode(n: int, alphabet: int, words: np.ndarray, crcs: np.ndarray, code: byt
     src = np.zeros((lanes, int(words.max()) + 8), np.uint64)
     for k in range(lanes):
         src[k, :words[k]] = raw[begin[k]:begin[k] + words[k]]
-    model, low, rng = Models(lanes, alphabet), np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
+    model, low, rng = Tables(lanes, alphabet), np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
     used = np.full(lanes, 2, np.int64)
     value = (src[:, 0] << _WORD) | src[:, 1]
     x = np.zeros((BLOCK, lanes), np.int64)

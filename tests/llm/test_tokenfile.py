@@ -59,3 +59,16 @@ def test_empty_table(spark):
     out = run_dir(spark, "ids-test")
     tokenfile.write(spark.createDataFrame([], "doc_id long, text string"), out, public_tokenizers.path("word_bpe_49k.json"))
     assert tokenfile.read(spark, out).count() == 0
+
+
+def test_blocks_are_independent():
+    """A block's code is the same alone and among others."""
+    rng = np.random.default_rng(3)
+    ids = rng.integers(0, 60, 3 * idcoder.BLOCK + 100)
+    words, crcs, code = idcoder.encode(ids, 500)
+    at = 0
+    for k, block in enumerate(np.split(ids, np.arange(1, 4) * idcoder.BLOCK)):
+        one = idcoder.encode(block, 500)
+        assert (one[0][0], one[1][0]) == (words[k], crcs[k]) and one[2] == code[4 * at:4 * (at + words[k])]
+        assert (idcoder.decode(len(block), 500, *one) == block).all()
+        at += words[k]
