@@ -26,12 +26,15 @@ archives without records and reads none; other columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import stored, text_or_empty
+from .common import cores, stored, text_or_empty
 
 VERSION = "WARC/1.1"
 EOL = "\r\n"
@@ -83,8 +86,22 @@ def _scan(spark: SparkSession, path: str) -> DataFrame:
                       F.monotonically_increasing_id().alias("seq"), "value")
 
 
+@contextmanager
+def _same_splits(spark: SparkSession) -> Iterator[None]:
+    """Scans within cut files alike: Spark sizes splits by the cores it has at
+    the time, which change when an executor is lost between two scans."""
+    key = "spark.sql.files.minPartitionNum"
+    had = spark.conf.get(key, None)
+    spark.conf.set(key, had or str(cores(spark)))
+    try:
+        yield
+    finally:
+        if had is None:
+            spark.conf.unset(key)
+
+
 def _field(name: str, value: str = r"([^\r\n]*)") -> Column:
-    return F.regexp_extract("head", rf"(?im)^{name}:[ \t]*{value}[ \t]*\r?$", 1)
+    return F.regexp_extract("head", rf"(?imd)^{name}:[ \t]*{value}[ \t]*\r?$", 1)
 
 
 def candidates(spark: SparkSession, path: str) -> DataFrame:
@@ -98,8 +115,8 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
     payload = F.substring(F.col("value").cast("binary"), F.col("head_len") + 1, F.col("size").cast("int"))
     return x.select(
         "file", "block", "seq", F.col("row_len").cast("long").alias("row_len"), F.col("head_len").cast("long").alias("head_len"), "size",
-        F.lower(_field("WARC-Type")).alias("type"), F.expr(r"try_cast(regexp_extract(head, '(?im)^WARC-Record-ID:[ \t]*<urn:page:(\\d+)>', 1) AS BIGINT)").alias("page_id"),
-        F.expr(r"try_cast(regexp_extract(head, '(?im)^WARC-Refers-To:[ \t]*<urn:page:(\\d+)>', 1) AS BIGINT)").alias("refers_to"),
+        F.lower(_field("WARC-Type")).alias("type"), F.expr(r"try_cast(regexp_extract(head, '(?imd)^WARC-Record-ID:[ \t]*<urn:page:(-?\\d+)>', 1) AS BIGINT)").alias("page_id"),
+        F.expr(r"try_cast(regexp_extract(head, '(?imd)^WARC-Refers-To:[ \t]*<urn:page:(-?\\d+)>', 1) AS BIGINT)").alias("refers_to"),
         F.upper(_field("WARC-Payload-Digest", r"sha1:([A-Za-z2-7]{32})")).alias("said"), _field("X-Payload-Length", r"(\d{1,18})").alias("full"),
         F.when(whole, base32(F.sha1(payload))).alias("digest"))
 
@@ -140,6 +157,11 @@ def _walk(key, rows: pd.DataFrame) -> pd.DataFrame:
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The records: ``page_id, payload_bytes, payload_digest, record_type,
     refers_to``. Raises (when run) where a payload and its digest differ."""
+    with _same_splits(spark):
+        return _records(spark, path)
+
+
+def _records(spark: SparkSession, path: str) -> DataFrame:
     cand = stored(candidates(spark, path), "warc-candidates")
     step = len(MAGIC)
     blocks = cand.groupBy("file", "block").agg(F.sum(F.col("row_len") + step).alias("n"))
@@ -171,7 +193,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     real = x.join(walked.filter("real").select("file", "start"), ["file", "start"])
     cut = real.filter("digest IS NULL").select("file", "start", "succ", "head_len", "size")
     if cut.head(1):
-        real = real.join(_mend(spark, path, walked, stored(cut, "warc-cut")), ["file", "start"], "left").withColumn("digest", F.coalesce("digest", "mended"))
+        mended = stored(_mend(spark, path, walked, stored(cut, "warc-cut")), "warc-mended")
+        real = real.join(mended, ["file", "start"], "left").withColumn("digest", F.coalesce("digest", "mended"))
     full = F.coalesce(F.expr("try_cast(nullif(full, '') AS BIGINT)"), F.col("size"))
     revisit = F.col("type") == "revisit"
     fits = F.when(revisit | (F.col("digest") == F.col("said")), F.col("said"))
