@@ -69,41 +69,66 @@ def _postings_from_tokens(tok: DataFrame) -> DataFrame:
     return p.select("field", "term", "doc_id", "tf", "flen", "positions")
 
 
-def _doc_partitioned(docs: DataFrame, partitions: int | None = None) -> DataFrame:
-    d = docs.select("doc_id", "text", "source", "lang")
-    return d.repartition(partitions or parallelism(docs.sparkSession, d), "doc_id")
+def _by_doc(rows: DataFrame, partitions: int | None = None) -> DataFrame:
+    return rows.repartition(partitions or parallelism(rows.sparkSession, rows), "doc_id")
 
 
-def _title_tokens(docs: DataFrame, title_an: A.Analyzer, partitions: int | None = None) -> DataFrame:
+def _title_tokens(rec: DataFrame, title_an: A.Analyzer, partitions: int | None = None) -> DataFrame:
     """Title tokens through the configurable chain (the only stemmed field).
-    The title (first line) is cut before its exchange, so this branch moves
-    about one percent of the text."""
-    d = docs.select("doc_id", tables.title_col().alias("title"))
-    d = d.repartition(partitions or parallelism(docs.sparkSession, d), "doc_id")
+    Titles are cut before their exchange, so this branch moves about one
+    percent of the text."""
+    d = _by_doc(rec.select("doc_id", "title"), partitions)
     t = d.select("doc_id", F.lit("title").alias("field"), F.posexplode(A.tokenize(F.col("title"))).alias("pos", "tok"))
     return A.analyze_tokens(t, title_an).select("doc_id", "field", "pos", "term")
 
 
 def _other_tokens(d: DataFrame) -> DataFrame:
     """Content, venue (standard chain) and the untokenized year."""
-    fv = d.select("doc_id", F.explode(F.array(
-        F.struct(F.lit("content").alias("field"), F.col("text").alias("v")),
-        F.struct(F.lit("venue").alias("field"), F.col("source").alias("v")),
-        F.struct(F.lit("year").alias("field"), F.col("lang").alias("v")),
-    )).alias("fv")).select("doc_id", "fv.field", "fv.v")
+    fv = d.select("doc_id", F.explode(F.array(*[
+        F.struct(F.lit(f).alias("field"), F.col(f).alias("v")) for f in ("content", "venue", "year")
+    ])).alias("fv")).select("doc_id", "fv.field", "fv.v")
     toks = F.when(F.col("field") == "year", F.array(F.col("v"))).otherwise(A.tokenize(F.col("v")))
     tok = fv.filter(F.col("v").isNotNull()).select("doc_id", "field", F.posexplode(toks).alias("pos", "tok"))
     return A.analyze_by_field(tok, A.STANDARD).select("doc_id", "field", "pos", "term")
 
 
+def _author_array_tokens(rec: DataFrame) -> DataFrame:
+    """Tokens of ``authors`` (array, in order); positions continue across values."""
+    toks = F.flatten(F.transform("authors", A.tokenize))
+    tok = rec.select("doc_id", F.lit("authors").alias("field"), F.posexplode(toks).alias("pos", "tok"))
+    return A.analyze_by_field(tok, A.STANDARD).select("doc_id", "field", "pos", "term")
+
+
+def postings_of_records(rec: DataFrame, title_an: A.Analyzer = A.DEFAULT_TITLE,
+                        partitions: int | None = None) -> DataFrame:
+    """Postings of ``doc_id, title, content, venue, year`` and, where the table
+    has it, ``authors`` (array<string>); ``doc_id`` of any type. Titles and
+    the other fields are analyzed in doc_id-partitioned branches (the title
+    branch shuffles only the titles), so the stemmer only sees titles; each
+    branch groups without a further exchange."""
+    post = _postings_from_tokens(_title_tokens(rec, title_an, partitions)).unionByName(
+        _postings_from_tokens(_other_tokens(_by_doc(rec.select("doc_id", "content", "venue", "year"), partitions))))
+    if "authors" in rec.columns:
+        post = post.unionByName(_postings_from_tokens(_author_array_tokens(_by_doc(rec.select("doc_id", "authors"), partitions))))
+    return post
+
+
 def postings_of_documents(docs: DataFrame, title_an: A.Analyzer = A.DEFAULT_TITLE,
                           partitions: int | None = None) -> DataFrame:
-    """Postings of any documents table (batch or a micro-batch). Titles and
-    the other fields are analyzed in two doc_id-partitioned branches (the
-    title branch shuffles only the first lines), so the stemmer only sees
-    titles; each branch groups without a further exchange."""
-    return (_postings_from_tokens(_title_tokens(docs, title_an, partitions))
-            .unionByName(_postings_from_tokens(_other_tokens(_doc_partitioned(docs, partitions)))))
+    """Postings of any documents table (batch or a micro-batch)."""
+    rec = docs.select("doc_id", tables.title_col().alias("title"), F.col("text").alias("content"),
+                      F.col("source").alias("venue"), F.col("lang").alias("year"))
+    return postings_of_records(rec, title_an, partitions)
+
+
+def index_records(rec: DataFrame, title_an: A.Analyzer = A.DEFAULT_TITLE) -> Index:
+    """Lazy index of records (``id, title, content, authors, year, venue``),
+    as :func:`ferret.sources.xml.clean_records` gives them."""
+    rec = rec.withColumnRenamed("id", "doc_id")
+    n = bucket_count(rec)
+    post = postings_of_records(rec, title_an).withColumn("bucket", bucket_of(F.col("term"), n))
+    count = rec.agg(F.count(F.lit(1)).alias("n_docs"), F.lit(n).alias("buckets"))
+    return Index(post, term_stats(post), count, n)
 
 
 def author_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

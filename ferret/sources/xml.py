@@ -1,7 +1,9 @@
 """Semi-structured sources: bibliographic XML records, search-hit XML, TREC
 topics, tab-separated judgments and one-per-line lists. Every reader
 declares its schema (never inferred: a declared ``title STRING`` keeps inner
-markup as text in document order) and is a splittable, distributed scan.
+markup as text in document order). Records are read by a splittable scan that
+cuts files at the key attribute, so a file of any size is many tasks; hits and
+topics are small files, read by one task each.
 """
 
 from __future__ import annotations
@@ -15,6 +17,10 @@ from ..functions import text as TX
 # Record row tags indexed, and hit types kept from a remote list.
 RECORD_TAGS = ("article", "inproceedings")
 HIT_TYPES = ("Conference and Workshop Papers", "Journal Articles")
+# The attribute that every record begins with, and all record elements.
+KEY = ' key="'
+ALL_TAGS = ("article", "inproceedings", "proceedings", "book", "incollection", "phdthesis", "mastersthesis", "www",
+            "person", "data")
 
 RECORD_SCHEMA = T.StructType([
     T.StructField("_key", T.StringType()),
@@ -52,28 +58,57 @@ QRELS_SCHEMA = T.StructType([
 ])
 
 
-def read_xml_records(spark: SparkSession, path: str, tags=RECORD_TAGS) -> DataFrame:
-    """One row per record element of the given row tags (other elements, e.g.
-    ``book``, are never read), with a ``tag`` column; malformed records are
-    kept in ``_corrupt_record`` instead of failing the scan."""
-    parts = []
-    for t in tags:
-        parts.append(spark.read.format("xml").option("rowTag", t).option("mode", "PERMISSIVE")
-                     .option("columnNameOfCorruptRecord", "_corrupt_record")
-                     .schema(RECORD_SCHEMA).load(path).withColumn("tag", F.lit(t)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def _record_texts(spark: SparkSession, path: str, tags: tuple[str, ...], encoding: str) -> DataFrame:
+    """``tag, xml``: the text of each record element of ``tags``; ``tag`` is null
+    where a record is never closed. Elements without a key lie behind the
+    record before them."""
+    value = F.col("value") if encoding.upper() == "UTF-8" else F.decode(F.col("value").cast("binary"), encoding)
+    # a few files may write the attribute otherwise; their rows are cut again
+    pieces = F.split(value, r"\skey\s*=\s*(?=['\"])")
+    rows = spark.read.option("lineSep", KEY).text(path).select(F.posexplode(pieces).alias("n", "p"))
+    # the separator takes the opening quote with it
+    rows = rows.select(F.when(F.col("n") > 0, F.substring("p", 2, 1 << 30)).otherwise(F.col("p")).alias("p"))
+    names = "|".join(tags)
+    end = rf"</({'|'.join(ALL_TAGS)})\s*>"
+    key, tag = F.regexp_extract("p", "^([^<>\"']*)[\"']", 1), F.regexp_extract("p", end, 1)
+    begins = F.regexp_like("p", F.lit("^[^<>\"']*[\"']"))
+    body = F.regexp_replace(F.regexp_extract("p", rf"(?s)^[^\"']*[\"']([^>]*>.*?){end}", 1), r"^[^>]*>", "")
+    keyed = F.when(begins & tag.isin(*tags), F.struct(tag.alias("tag"), F.concat(
+        F.lit("<"), tag, F.lit(' key="'), key, F.lit('">'), body, F.lit("</"), tag, F.lit(">")).alias("xml")))
+    torn = F.when(begins & (tag == "") & ~F.regexp_like("p", F.lit(r"^[^>]*/>")),
+                  F.struct(F.lit(None).cast("string").alias("tag"), F.col("p").alias("xml")))
+    rest = F.when(begins, F.regexp_replace("p", rf"(?s)^.*?{end}", "")).otherwise(F.col("p"))
+    loose = F.transform(F.regexp_extract_all(rest, F.lit(rf"(?s)<(?:{names})\b[^>]*>.*?</(?:{names})\s*>"), 0),
+                        lambda x: F.struct(F.regexp_extract(x, rf"^<({names})\b", 1).alias("tag"), x.alias("xml")))
+    found = F.filter(F.concat(F.array(keyed, torn), loose), lambda x: x.isNotNull())
+    return rows.select(F.explode(found).alias("r")).select("r.tag", "r.xml")
+
+
+def read_xml_records(spark: SparkSession, path: str, tags=RECORD_TAGS, encoding: str = "UTF-8") -> DataFrame:
+    """One row per record element of the given tags, whose other elements (e.g.
+    ``book``) are left out, from one scan, with a ``tag`` column and the texts
+    of all children in order as ``content``. Named character entities need no
+    DTD. A record that cannot be parsed, or is never closed, keeps its own text in
+    ``_corrupt_record`` and fails nothing."""
+    x = _record_texts(spark, path, tuple(tags), encoding)
+    x = x.withColumn("xml", TX.declare_entities(F.col("xml")))
+    how = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    x = x.withColumn("r", F.when(F.col("tag").isNotNull(), F.from_xml("xml", RECORD_SCHEMA.simpleString(), how)))
+    texts = F.regexp_replace(TX.strip_markup(F.regexp_replace("xml", r"(?s)^<[^>]*>|</[^<]*>$", "")), "<[^>]*>", " ")
+    content = TX.unescape(TX.decode_numeric(F.trim(F.regexp_replace(texts, r"\s+", " "))))
+    corrupt = F.when(F.col("tag").isNull(), F.col("xml")).otherwise(F.col("r._corrupt_record"))
+    return x.select(*[F.col(f"r.{f.name}").alias(f.name) for f in RECORD_SCHEMA if f.name != "_corrupt_record"],
+                    corrupt.alias("_corrupt_record"), content.alias("content"), "tag")
 
 
 def clean_records(raw: DataFrame) -> DataFrame:
     """Record -> stored fields: id, title (inline markup stripped, entities
-    decoded), authors (in order), year, venue (journal or booktitle by tag)."""
+    decoded), content (all texts in order), authors (in order), year, venue
+    (journal or booktitle by tag)."""
     venue = F.when(F.col("tag") == "article", F.col("journal")).when(
         F.col("tag") == "inproceedings", F.col("booktitle")).otherwise(F.coalesce("journal", "booktitle"))
-    return raw.select(F.col("_key").alias("id"), TX.unescape(TX.strip_markup(F.col("title"))).alias("title"),
-                      F.coalesce(F.col("author"), F.array().cast("array<string>")).alias("authors"),
+    return raw.select(F.nullif(F.col("_key"), F.lit("")).alias("id"), TX.unescape(TX.strip_markup(F.col("title"))).alias("title"),
+                      "content", F.coalesce(F.col("author"), F.array().cast("array<string>")).alias("authors"),
                       "year", venue.alias("venue"), "tag", "_corrupt_record")
 
 
