@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import analyze as A
-from ..session import materialize, small
+from ..session import materialize, parallelism, small
 from ..sources import tables as T
 from .index import Index
 
@@ -79,7 +79,7 @@ def running_ranks(j: DataFrame) -> DataFrame:
     spark = j.sparkSession
     s = j.withColumn("_s6", F.round("score", 6))
     r = s.repartitionByRange(parallelism(spark), F.col("topic"), F.col("_s6").desc(), F.col("doc_id"))
-    r = r.withColumn("_pid", F.spark_partition_id())
+    r, _ = materialize(r.withColumn("_pid", F.spark_partition_id()))
     w = Window.partitionBy("topic", "_pid").orderBy(F.col("_s6").desc(), F.col("doc_id").asc())
     r = (r.withColumn("_lr", F.row_number().over(w))
          .withColumn("_lrel", F.sum("rel").over(w.rowsBetween(Window.unboundedPreceding, 0))))
@@ -96,12 +96,14 @@ def running_ranks(j: DataFrame) -> DataFrame:
 
 def contains_relevance(hits: DataFrame, qrels: DataFrame) -> DataFrame:
     """The reference's original rule: a hit is relevant when some judged
-    document of its topic contains the hit's id as a substring. Joined per
-    topic (a topic's judgments are few), distinct per hit."""
-    h = hits.select(F.col("qid").alias("topic"), "doc_id")
-    q = qrels.select("topic", F.col("doc_id").cast("string").alias("_judged"))
-    j = h.join(q, "topic").filter(F.col("_judged").contains(F.col("doc_id").cast("string")))
-    return j.select("topic", "doc_id").distinct()
+    document of its topic contains the hit's id as a substring. Judged ids
+    (short strings) are taken apart, so hits join on topic and substring."""
+    h = hits.select(F.col("qid").alias("topic"), "doc_id", F.col("doc_id").cast("string").alias("_part"))
+    q = qrels.select("topic", F.col("doc_id").cast("string").alias("_j")).filter(F.length("_j") > 0)
+    parts = F.flatten(F.transform(F.sequence(F.lit(1), F.length("_j")), lambda i: F.transform(
+        F.sequence(F.lit(1), F.length("_j") - i + 1), lambda n: F.substring(F.col("_j"), i, n))))
+    q = q.select("topic", F.explode(F.array_distinct(parts)).alias("_part")).distinct()
+    return h.join(q, ["topic", "_part"], "left_semi").select("topic", "doc_id").distinct()
 
 
 def curve(hits: DataFrame, qrels: DataFrame, rel: DataFrame | None = None) -> DataFrame:
@@ -130,18 +132,18 @@ def metrics(hits: DataFrame, qrels: DataFrame, topics: DataFrame, k: int = 10,
             rel: DataFrame | None = None) -> DataFrame:
     """One row per topic: ``N, k, nrelevant_gt, precision, recall, f1,
     r_precision`` (4 digits, NULL where undefined)."""
-    c = curve(hits, qrels, rel)
+    c, _ = materialize(curve(hits, qrels, rel).select("topic", "rank", "n_rel", "_p", "_r", "_f"))
     n = c.groupBy("topic").agg(F.max("rank").alias("N"), F.first("n_rel").alias("_nrel"))
-    c = c.join(n, "topic")
     # k = 0 reads the last row, a negative k counts from the end
     cut = F.least(F.lit(k), F.col("N")) if k > 0 else F.col("N") + min(k + 1, 0) if k < 0 else F.col("N")
-    at_k = c.filter(F.col("rank") == cut).select(
-        "topic", F.round("_p", 4).alias("precision"), F.round("_r", 4).alias("recall"), F.round("_f", 4).alias("f1"))
     rp_rank = F.when(F.col("_nrel") == 0, F.col("N")).otherwise(F.least(F.col("N"), F.col("_nrel")))
-    at_r = c.filter(F.col("rank") == rp_rank).select("topic", F.round("_p", 4).alias("r_precision"))
+    at = lambda here, col: F.round(F.max(F.when(F.col("rank") == here, F.col(col))), 4)
+    read = c.join(n, "topic").groupBy("topic").agg(
+        at(cut, "_p").alias("precision"), at(cut, "_r").alias("recall"), at(cut, "_f").alias("f1"),
+        at(rp_rank, "_p").alias("r_precision"))
     nrel = qrels.groupBy("topic").agg(F.count(F.lit(1)).alias("nrelevant_gt"))
     base = topics.select("topic").join(n.select("topic", "N"), "topic", "left").join(nrel, "topic", "left")
-    out = base.join(at_k, "topic", "left").join(at_r, "topic", "left")
+    out = base.join(read, "topic", "left")
     kk = F.when(F.col("N").isNull() | F.lit(k == 0), F.lit(k)).otherwise(cut)
     return out.select("topic", F.coalesce("N", F.lit(0)).cast("long").alias("N"), kk.cast("long").alias("k"),
                       F.coalesce("nrelevant_gt", F.lit(0)).cast("long").alias("nrelevant_gt"),

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import analyze as A
-from ..session import small
+from ..session import materialize, small
 from ..sources import tables as T
 
 BOW_RE = r"[\p{L}\p{N}_]{2,}"
@@ -65,10 +65,40 @@ def cosine_requests(vecs: DataFrame, reqs: DataFrame, keys: list[str], dim: str,
 
 
 def centroids(emb: DataFrame) -> DataFrame:
-    """Mean vector per label, long form ``(r_label, i, x)`` (labels x dims rows)."""
+    """Mean vector per label, ``(r_label, r_vec array<double>)``: labels rows."""
     e = emb.select("label", F.posexplode("embedding").alias("i", "x"))
-    return e.groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("x")).withColumnRenamed(
-        "label", "r_label")
+    e = e.groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    vec = F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"])  # one value per dimension
+    return e.groupBy(F.col("label").alias("r_label")).agg(vec.alias("r_vec"))
+
+
+def _dot(a, b):
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.coalesce(x * y, F.lit(0.0))), F.lit(0.0), lambda acc, v: acc + v)
+
+
+REQUESTS_AT_ONCE = 1_000
+
+
+def dense_topk(vecs: DataFrame, key: str, vec: str, reqs: DataFrame, k: int = 10) -> DataFrame:
+    """Top-k cosine of every request ``(r_label, r_vec)`` against all vectors.
+    Vectors stay arrays: a block of requests is one broadcast row, scored
+    within each vector's row, and Spark limits a request's rows before its
+    exchange."""
+    reqs, n = materialize(reqs.withColumn("r_norm", F.sqrt(_dot(F.col("r_vec"), F.col("r_vec")))))
+    x = vecs.select(key, F.col(vec).cast("array<double>").alias("_v"))
+    x = x.withColumn("_n", F.sqrt(_dot(F.col("_v"), F.col("_v"))))
+    blocks, found = max(1, -(-n // REQUESTS_AT_ONCE)), None
+    for b in range(blocks):
+        block = reqs.filter(F.pmod(F.xxhash64("r_label"), F.lit(blocks)) == b).agg(
+            F.collect_list(F.struct("r_label", "r_vec", "r_norm")).alias("_reqs"))
+        s = x.join(F.broadcast(block)).select(key, F.explode(F.transform("_reqs", lambda r: F.struct(
+            r["r_label"].alias("r_label"),
+            F.try_divide(_dot(F.col("_v"), r["r_vec"]), F.col("_n") * r["r_norm"]).alias("similarity")))).alias("_s"))
+        s = s.select("_s.r_label", key, "_s.similarity")
+        found = s if found is None else found.unionByName(s)
+    w = Window.partitionBy("r_label").orderBy(F.round("similarity", 6).desc(), F.col(key))
+    found = found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return found.select("r_label", key, F.round("similarity", 6).alias("similarity"), "rank")
 
 
 def lda_corpus(spark: SparkSession, sf: str, min_df: int = 10) -> tuple[DataFrame, DataFrame, int]:
@@ -77,8 +107,6 @@ def lda_corpus(spark: SparkSession, sf: str, min_df: int = 10) -> tuple[DataFram
     from pyspark.ml.functions import array_to_vector
 
     b = bow(spark, sf, min_df)
-    from ..session import materialize
-
     # the vocabulary after min_df (bounded by the dictionary size) gets
     # dense indexes; a global window over distinct terms only
     vocab, v = materialize(b.select("term").distinct().withColumn(

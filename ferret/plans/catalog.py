@@ -478,20 +478,9 @@ def q_similar_groups_bow(spark, sf):
     "SELECT r_label, vec_id, round(sim, 6) AS similarity, rank FROM (SELECT *, row_number() OVER "
     "(PARTITION BY r_label ORDER BY round(sim, 6) DESC, vec_id) AS rank FROM s) x WHERE rank <= 10"))
 def q_cosine_topk(spark, sf):
-    """Top-10 vectors by cosine against each label's centroid; long-form dot
-    products joined on the dimension (the centroid side is labels x dims)."""
+    """Top-10 vectors by cosine against each label's centroid."""
     emb = T.table(spark, sf, "embeddings")
-    vec = emb.select("vec_id", F.posexplode("embedding").alias("i", "x")).withColumn("x", F.col("x").cast("double"))
-    reqs = SIM.centroids(emb)
-    norms = vec.groupBy("vec_id").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("_n"))
-    rn = reqs.groupBy("r_label").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("_rn"))
-    dots = (vec.join(small(reqs.withColumnRenamed("x", "_c")), "i")
-            .groupBy("r_label", "vec_id").agg(F.sum(F.col("x") * F.col("_c")).alias("_dot")))
-    s = dots.join(norms, "vec_id").join(small(rn), "r_label")
-    s = s.withColumn("similarity", F.col("_dot") / F.col("_n") / F.col("_rn"))
-    w = Window.partitionBy("r_label").orderBy(F.round("similarity", 6).desc(), F.col("vec_id"))
-    s = s.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= 10)
-    return s.select("r_label", "vec_id", F.round("similarity", 6).alias("similarity"), "rank")
+    return SIM.dense_topk(emb, "vec_id", "embedding", SIM.centroids(emb), k=10)
 
 
 @register("lda_corpus_stats", sql=(
