@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import idcoder
-from .common import partitions, text_or_empty
+from .common import partitions, small, text_or_empty
 from .pieces import PiecePool, chunks
 
 GROUP = 1000 * idcoder.BLOCK
@@ -136,6 +136,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     in_part = Window.partitionBy("part").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)
     groups = groups.select("part", "grp", F.coalesce(F.sum("n_tokens").over(in_part), F.lit(0)).alias("grp_start")).join(parts, "part")
 
+    groups = groups.select("part", "grp", (F.col("part_start") + F.col("grp_start")).alias("first"))
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -146,12 +148,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 for a in range(0, len(lens), 500):
                     cut = slice(a, a + 500)
                     raw = [ids[e - n:e].tobytes() for e, n in zip(ends[cut], lens[cut], strict=True)]
-                    k = len(raw)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([row["part"]] * k, pa.int32()), pa.array([row["grp"]] * k, pa.int32()), pa.array(row["doc_ids"][cut], pa.int64()),
-                         pa.array(ends[cut] - lens[cut]), pa.array(lens[cut]), pa.array(raw, pa.binary())],
-                        names=["part", "grp", "doc_id", "off", "n_tokens", "ids"])
+                        [pa.array(row["doc_ids"][cut], pa.int64()), pa.array(row["first"] + ends[cut] - lens[cut]), pa.array(lens[cut]), pa.array(raw, pa.binary())],
+                        names=["doc_id", "start", "n_tokens", "ids"])
 
-    rows = files.mapInArrow(work, "part int, grp int, doc_id long, off long, n_tokens long, ids binary")
-    return rows.join(groups, ["part", "grp"]).select(
-        "doc_id", (F.col("part_start") + F.col("grp_start") + F.col("off")).alias("start"), "n_tokens", "ids")
+    # places join the coded groups, so what may be shuffled is the code, never the ids
+    return files.join(small(groups), ["part", "grp"]).mapInArrow(work, "doc_id long, start long, n_tokens long, ids binary")
