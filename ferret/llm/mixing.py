@@ -1,16 +1,20 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Each source's documents form blocks of ``block`` documents. In a round of
-``RESOLUTION`` slots a source of weight w gets ``w * RESOLUTION`` slots; its
-j-th block of the round is released at floor((j - 1) / w) and due at
-ceil(j / w), and the earliest due of the released blocks takes the slot. So at
-every slot each source is less than one block from its target. Rounds repeat.
-When a source has no block left, the rest go on with their weights in
-proportion, in a new phase.
-
-One round's schedule per phase is worked out on the driver (``RESOLUTION``
-slots; as many phases as sources at most) from the sources' row counts; the
-place of a block then is arithmetic on its number, done by Spark for all rows.
+Each source's documents form blocks of ``block`` documents. A source of weight
+w (its share of all weights, an exact fraction) has its j-th block released at
+floor((j - 1) / w) and due at ceil(j / w), and the earliest due of the released
+blocks takes the slot. So at every slot each source is less than one block from
+its target. When a source has no block left, the rest go on with their weights
+in proportion, in a new phase.
+
+Exact shares repeat after a round of as many slots as the weights add up to,
+taken as whole numbers without a common factor. The driver works out one round
+per phase, or the phase alone where it ends within its first round, from the
+sources' row counts; nothing is rounded, so the bound holds over any number of
+rounds. It holds one slot per block at most, and no more than a round. The
+place of a block then is arithmetic on its number, done by Spark for all rows;
+rounds over ``INLINE`` slots are joined in pieces of ``PIECE`` slots.
+
 Rows are numbered within a source in hash order without gathering a source in
 one task: hash ranges of a source are counted first, and a window numbers each
 range, so a source with a third of the rows is many small groups.
@@ -24,20 +28,27 @@ table stays empty; helper columns take names that the table does not have.
 from __future__ import annotations
 
 import heapq
+import math
+from array import array
 from collections.abc import Mapping
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import fresh, partitions
 
-RESOLUTION = 2520
+RESOLUTION = 2520  # slots of a round in :func:`quotas`
+INLINE = 2520  # slots of a round that rows find without a join by piece
+PIECE = 256
+MAX_PIECES = 20_000  # broadcast up to here
 RANGE_ROWS = 50_000  # wished rows of a hash range
 MAX_SOURCES = 2_000
 
 
 def quotas(weights: Mapping[int, float]) -> dict[int, int]:
-    """Slots of a round per source: largest remainders, one at least."""
+    """Slots of a round per source: largest remainders, one at least. Rounded,
+    so no schedule uses it; a plain round to compare :func:`shares` with."""
     total = sum(weights.values())
     slots = max(RESOLUTION, len(weights))
     exact = {s: w / total * slots for s, w in weights.items()}
@@ -48,34 +59,55 @@ def quotas(weights: Mapping[int, float]) -> dict[int, int]:
     return out
 
 
-def pfair_round(quota: Mapping[int, int]) -> dict[int, list[int]]:
-    """Slots of each source's blocks in one round, earliest deadline first."""
+def shares(weights: Mapping[int, float]) -> dict[int, int]:
+    """The weights (as written in decimals, or fractions) in whole numbers
+    without a common factor: slots per source of the shortest exact round."""
+    exact = {s: Fraction(str(w)) for s, w in weights.items()}
+    scale = math.lcm(*(w.denominator for w in exact.values()))
+    whole = {s: int(w * scale) for s, w in exact.items()}
+    common = math.gcd(*whole.values())
+    return {s: n // common for s, n in whole.items()}
+
+
+def pfair_round(quota: Mapping[int, int], blocks: Mapping[int, int] | None = None) -> dict[int, array]:
+    """Slots of each source's blocks in one round, earliest deadline first, up
+    to the slot where a source has none of its ``blocks`` left."""
     slots = sum(quota.values())
     due: list[tuple[int, int, int]] = []
     release: dict[int, list[tuple[int, int]]] = {0: [(s, 1) for s in quota]}
-    out: dict[int, list[int]] = {s: [] for s in quota}
-    for slot in range(slots):
+    out = {s: array("q") for s in quota}
+    slot = 0
+    while slot < slots:
         for s, j in release.pop(slot, ()):
             heapq.heappush(due, (-(-j * slots // quota[s]), s, j))
         _, s, j = heapq.heappop(due)
         out[s].append(slot)
+        slot += 1
+        if blocks is not None and j == blocks[s]:
+            break
         if j < quota[s]:
-            release.setdefault(max(slot + 1, j * slots // quota[s]), []).append((s, j + 1))
+            release.setdefault(max(slot, j * slots // quota[s]), []).append((s, j + 1))
     return out
 
 
 def phases(blocks: Mapping[int, int], weights: Mapping[int, float]) -> list[dict]:
-    """Per phase: first slot, and per source its first block, its blocks, its
-    quota and its slots of a round."""
+    """Per phase: first slot, slots of a round, and per source its first block,
+    its blocks, its blocks of a round and their slots. A phase that ends within
+    its first round counts as one round."""
     left, begun, out, first = {s: n for s, n in blocks.items() if n}, dict.fromkeys(blocks, 0), [], 0
     while left:
-        quota = quotas({s: weights[s] for s in left})
-        slots, size = pfair_round(quota), sum(quota.values())
-        place = lambda s, k: k // quota[s] * size + slots[s][k % quota[s]]
-        end = min(place(s, n - 1) for s, n in left.items()) + 1
-        rounds, rest = divmod(end, size)
-        done = {s: rounds * quota[s] + sum(x < rest for x in slots[s]) for s in left}
-        out.append({"slot": first, "size": size, "of": {s: (begun[s], done[s], quota[s], slots[s]) for s in left}})
+        quota = shares({s: weights[s] for s in left})
+        slots, size = pfair_round(quota, left), sum(quota.values())
+        over = [s for s, n in left.items() if len(slots[s]) == n]
+        if over:
+            end = size = slots[over[0]][-1] + 1
+            done = quota = {s: len(x) for s, x in slots.items()}
+        else:
+            place = lambda s, k: k // quota[s] * size + slots[s][k % quota[s]]
+            end = min(place(s, n - 1) for s, n in left.items()) + 1
+            rounds, rest = divmod(end, size)
+            done = {s: rounds * quota[s] + sum(x < rest for x in slots[s]) for s in left}
+        out.append({"slot": first, "size": size, "of": {s: (begun[s], n, quota[s], slots[s]) for s, n in done.items() if n}})
         for s, n in done.items():
             begun[s] += n
             left[s] -= n
@@ -114,24 +146,40 @@ def schedule(docs: DataFrame, weights: Mapping[str | None, float] | None = None,
     x = x.join(sizes, (src_of.eqNullSafe(F.col(src))) & (F.col(part) == F.col(f"{part}r")))
     x = x.withColumn(n, F.col(n) + F.col(base))
     plan = phases({k: -(-r.n // block) for k, r in enumerate(counts)}, {k: weights.get(r.s, default) for k, r in enumerate(counts)})
-    # one row per source, its phases with the slots of a round: bounded by
-    # MAX_SOURCES sources, as many phases, and the slots of a round
+    # one row per source, its phases with the slots of a round where they are
+    # few: bounded by MAX_SOURCES sources, as many phases, and INLINE slots
     own: dict[int, list] = {k: [] for k in range(len(counts))}
     short = []  # slots of short last blocks and what each lacks
-    for p in plan:
+    pieces = []  # slots of long rounds
+    for i, p in enumerate(plan):
         for k, (first, many, quota, slots) in p["of"].items():
-            own[k].append((first, first + many, quota, p["slot"], p["size"], slots))
+            inline = p["size"] <= INLINE
+            own[k].append((i, first, first + many, quota, p["slot"], p["size"], slots.tolist() if inline else None))
+            if not inline:
+                pieces += [(k, i, a // PIECE, slots[a:a + PIECE].tolist()) for a in range(0, len(slots), PIECE)]
             if first + many == -(-counts[k].n // block) and counts[k].n % block:
                 short.append((p["slot"] + (many - 1) // quota * p["size"] + slots[(many - 1) % quota], block - counts[k].n % block))
     plans, lacks = fresh(x, "__plans"), F.expr("array(" + ", ".join(f"named_struct('s', {s}L, 'n', {m}L)" for s, m in sorted(short)) + ")")
-    table = spark.createDataFrame([(counts[k].s, v) for k, v in own.items()], f"`{src}` string, `{plans}` array<struct<lo:long,hi:long,quota:long,s0:long,size:long,at:array<long>>>")
+    who = fresh(x, "__who")
+    table = spark.createDataFrame([(counts[k].s, k, v) for k, v in own.items()], f"`{src}` string, `{who}` int, `{plans}` array<struct<i:int,lo:long,hi:long,quota:long,s0:long,size:long,at:array<long>>>")
     x = x.drop(src).join(F.broadcast(table), src_of.eqNullSafe(F.col(src)))
     number, phase, slot = fresh(x, "__block"), fresh(x, "__phase"), fresh(x, "__slot")
     x = x.withColumn(number, F.floor(F.col(n) / block).cast("long"))
-    x = x.withColumn(phase, F.filter(plans, lambda p: (p["lo"] <= F.col(number)) & (F.col(number) < p["hi"]))[0])
+    x = x.withColumn(phase, F.filter(plans, lambda p: (p["lo"] <= F.col(number)) & (F.col(number) < p["hi"]))[0]).drop(plans)
     at = lambda f: F.col(phase)[f]
     k = F.col(number) - at("lo")
-    x = x.withColumn(slot, at("s0") + F.floor(k / at("quota")).cast("long") * at("size") + F.element_at(at("at"), (k % at("quota") + 1).cast("int")))
+    slots, within = at("at"), k % at("quota")
+    if pieces:
+        keys = [fresh(x, f"__{c}") for c in ("pwho", "pphase", "ppiece", "pat")]
+        long = spark.createDataFrame(pieces, f"`{keys[0]}` int, `{keys[1]}` int, `{keys[2]}` long, `{keys[3]}` array<long>")
+        # rows of short rounds find no piece, by keys that spread them
+        piece = F.when(slots.isNull(), F.floor(within / PIECE).cast("long")).otherwise(-1 - F.col(n))
+        x = x.join(F.broadcast(long) if len(pieces) <= MAX_PIECES else long,
+                   (F.col(who) == F.col(keys[0])) & (at("i") == F.col(keys[1])) & (piece == F.col(keys[2])), "left")
+        found = F.when(slots.isNull(), F.element_at(keys[3], (within % PIECE + 1).cast("int"))).otherwise(F.element_at(slots, (within + 1).cast("int")))
+    else:
+        found = F.element_at(slots, (within + 1).cast("int"))
+    x = x.withColumn(slot, at("s0") + F.floor(k / at("quota")).cast("long") * at("size") + found)
     less = F.aggregate(lacks, F.lit(0).cast("long"), lambda acc, y: acc + F.when(y["s"] < F.col(slot), y["n"]).otherwise(F.lit(0))) if short else F.lit(0)
     return x.select(*[F.col(f"`{c}`") for c in docs.columns], F.col(number).alias(out[0]), F.col(slot).alias(out[1]),
                     (F.col(slot) * block + F.col(n) % block - less).cast("long").alias(out[2]))

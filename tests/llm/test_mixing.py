@@ -67,3 +67,36 @@ def test_mixed_keeps_rows_and_columns(spark):
     df = spark.createDataFrame(ROWS, "doc_id long, source string, __row string, position int")
     got = mixing.mixed(df, block=8)
     assert got.columns == df.columns and sorted(map(str, got.collect())) == sorted(map(str, df.collect()))
+
+
+SKEWED = {0: 1.0, 1: 0.0001, 2: 0.37, 3: 3.3333}
+
+
+@pytest.mark.parametrize("weights", [*(dict.fromkeys(range(n), 1.0) for n in (11, 19, 20, 2000)), SKEWED])
+def test_lag_to_true_weights_over_many_rounds(weights):
+    many = {s: 60_000 * w / sum(weights.values()) for s, w in weights.items()}
+    blocks = {s: int(n) + 1 + (s == 3) * 500 for s, n in many.items()} | ({19: 1} if len(weights) == 20 else {})
+    served, taken = dict.fromkeys(weights, 0), 0
+    for p in mixing.phases(blocks, weights):
+        live = sum(weights[s] for s in weights if served[s] < blocks[s])
+        for s, (first, n, quota, slots) in p["of"].items():
+            assert first == served[s]
+            w = weights[s] / live
+            for j in range(n):  # j blocks of the phase served before slot ``at``
+                at = j // quota * p["size"] + slots[j % quota]
+                assert j - w * at < 1 + 1e-9 and w * (at + 1) - (j + 1) < 1 + 1e-9
+            served[s] += n
+            taken += n
+    assert served == blocks and taken == sum(blocks.values())
+
+
+def test_pieces_of_long_rounds(spark, monkeypatch):
+    df = spark.createDataFrame(ROWS, "doc_id long, source string, block string, position int")
+    run = lambda: sorted(map(tuple, mixing.schedule(df, {"a": 5.0, "c": 0.123}, block=2, out=("b", "slot", "pos")).collect()), key=str)
+    want = run()
+    assert sorted(r[-1] for r in want) == list(range(len(ROWS)))
+    monkeypatch.setattr(mixing, "INLINE", 2)
+    monkeypatch.setattr(mixing, "PIECE", 8)
+    assert run() == want
+    monkeypatch.setattr(mixing, "MAX_PIECES", 0)
+    assert run() == want
