@@ -40,8 +40,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts become token ids and back; digests of both instead of the text."""
-    return bpe.digests(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    """Texts become token ids and back; digests of both instead of the text, and
+    the row's place in the mixture, which its predecessor left in the files."""
+    return bpe.digests(mixing.placed(docs, "mix_position"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
 STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates), ("repeated_strings", repeated_strings),

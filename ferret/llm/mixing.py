@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import re
 from array import array
 from collections.abc import Mapping
 from fractions import Fraction
@@ -191,3 +192,27 @@ def mixed(docs: DataFrame, **how) -> DataFrame:
     names = tuple(fresh(docs, f"__{x}") for x in ("mix_block", "mix_slot", "mix_position"))
     x = schedule(docs, out=names, **how)
     return x.repartitionByRange(partitions(docs.sparkSession), names[2]).sortWithinPartitions(names[2]).drop(*names)
+
+
+def placed(docs: DataFrame, out: str = "mix_position") -> DataFrame:
+    """``docs``, read back from the files that :func:`mixed` was written to,
+    plus ``out``, the place of each row in the mixture. A scan promises no order
+    of files, so the place is the row's index in its file after the rows of the
+    files with smaller part numbers (one row per file goes to the driver)."""
+    meta, path, at, before = docs.metadataColumn("_metadata"), *(fresh(docs, f"__{c}") for c in ("path", "at", "before"))
+    x = docs.withColumns({path: meta.getField("file_path"), at: meta.getField("row_index")})
+    files = x.groupBy(path).agg(F.count(F.lit(1)).alias("n")).collect()
+
+    def order(f) -> tuple[int, int]:  # part number, and the number of the part's file
+        name = re.search(r"part-(\d+)-[^/]*?-c(\d+)[^/]*$", f[path])
+        if name is None:
+            raise ValueError(f"not a file that a mixture was written to: {f[path]}")
+        return int(name[1]), int(name[2])
+
+    rows, total = [], 0
+    for f in sorted(files, key=order):
+        rows.append((f[path], total))
+        total += f.n
+    starts = docs.sparkSession.createDataFrame(rows, f"`{path}` string, `{before}` long")
+    x = x.join(F.broadcast(starts), path)
+    return x.select(*[F.col(f"`{c}`") for c in docs.columns], (F.col(before) + F.col(at)).alias(out))

@@ -10,6 +10,7 @@ import public_tokenizers
 import tiktoken
 
 import corpus_pipeline
+from ferret.llm import mixing
 from ferret.llm.common import stored
 from tests.llm import test_minhash, test_suffix
 
@@ -65,3 +66,23 @@ def test_stages_and_run(spark, tmp_path):
         ids = enc.encode_ordinary(cuts[r.doc_id])
         assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(cuts[r.doc_id].encode()).hexdigest()
+
+
+def test_rows_carry_the_mixture(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "MIX_BLOCK", 4)
+    spark.createDataFrame(rows(), COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        docs = stored(stage(spark, docs, str(tmp_path)), name)
+    want = {r.doc_id: r.position for r in mixing.schedule(docs, block=4).collect()}
+    got = {r.doc_id: r.mix_position for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert got == want and sorted(got.values()) == list(range(len(want)))
+
+
+def test_place_of_split_and_empty_files(spark, tmp_path):
+    df = spark.createDataFrame(rows(), COLUMNS)
+    mixing.mixed(df, block=4).write.option("maxRecordsPerFile", 3).parquet(f"{tmp_path}/mixed")
+    want = {r.doc_id: r.position for r in mixing.schedule(df, block=4).collect()}
+    assert {r.doc_id: r.at for r in mixing.placed(spark.read.parquet(f"{tmp_path}/mixed"), "at").collect()} == want
+    mixing.mixed(df.limit(0)).write.parquet(f"{tmp_path}/none")
+    assert mixing.placed(spark.read.schema(df.schema).parquet(f"{tmp_path}/none")).collect() == []
