@@ -35,8 +35,8 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows in the order of a mixture with equal weights."""
-    return mixing.mixed(docs, block=MIX_BLOCK)
+    """All rows in the order of a mixture to the weights of ``mixing.WEIGHTS``."""
+    return mixing.mixed(docs, weights=mixing.WEIGHTS, block=MIX_BLOCK)
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

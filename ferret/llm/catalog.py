@@ -107,8 +107,8 @@ MIX_BLOCK = 64
 
 @register("op3_mix_sources")
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All sources to equal weights."""
-    return mixing.schedule(table(spark, sf_dir, "documents").select("doc_id", "source"), block=MIX_BLOCK)
+    """All sources to the weights of ``mixing.WEIGHTS``."""
+    return mixing.schedule(table(spark, sf_dir, "documents").select("doc_id", "source"), mixing.WEIGHTS, block=MIX_BLOCK)
 
 
 # ---------------------------------------------------------------- 6: token-id files

@@ -45,6 +45,9 @@ PIECE = 256
 MAX_PIECES = 20_000  # broadcast up to here
 RANGE_ROWS = 50_000  # wished rows of a hash range
 MAX_SOURCES = 2_000
+# Target weights of op3_mix_sources and the pipeline: the main source four
+# times, the next four twice a plain source (weight 1), rows without a source half.
+WEIGHTS: dict[str | None, float] = {None: 0.5, "src0": 4.0, "src1": 2.0, "src2": 2.0, "src3": 2.0, "src4": 2.0}
 
 
 def quotas(weights: Mapping[int, float]) -> dict[int, int]:

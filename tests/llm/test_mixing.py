@@ -1,10 +1,12 @@
 """Pfair mixing against a slot-by-slot simulation and its lag bound."""
 
+from collections import Counter
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ferret.llm import mixing
+from ferret.llm import catalog, mixing
 
 
 @settings(max_examples=60, deadline=None)
@@ -100,3 +102,11 @@ def test_pieces_of_long_rounds(spark, monkeypatch):
     assert run() == want
     monkeypatch.setattr(mixing, "MAX_PIECES", 0)
     assert run() == want
+
+
+def test_registered_weights_differ(spark, tmp_path):
+    rows = [(k, [None, "src0", "src1", "src5"][k % 4], "t") for k in range(3200)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = catalog.QUERIES["op3_mix_sources"](spark, str(tmp_path)).select("source", "slot").distinct().collect()
+    first = sorted((r.slot, r.source) for r in got)[:15]  # a round of 1 + 8 + 4 + 2 slots
+    assert Counter(s for _, s in first) == {None: 1, "src0": 8, "src1": 4, "src5": 2}

@@ -74,7 +74,7 @@ def test_rows_carry_the_mixture(spark, tmp_path, monkeypatch):
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:3]:
         docs = stored(stage(spark, docs, str(tmp_path)), name)
-    want = {r.doc_id: r.position for r in mixing.schedule(docs, block=4).collect()}
+    want = {r.doc_id: r.position for r in mixing.schedule(docs, mixing.WEIGHTS, block=4).collect()}
     got = {r.doc_id: r.mix_position for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert got == want and sorted(got.values()) == list(range(len(want)))
 
