@@ -4,7 +4,11 @@ A tree splits its space at the median of random projections. Vectors within a
 margin of a split go to both sides (spill), so linked vectors are rarely
 parted in a tree and hardly ever in all ``TREES``. Trees are fitted on a
 bounded sample (``SAMPLE`` vectors, by hash of the id); every vector is then
-led to its leaves. Vectors are compared within leaves, in double precision,
+led to its leaves. Inside a loose dense cluster most vectors lie within the
+margin of any split, so a split whose sides together exceed ``SPREAD`` times
+their parent is none, and the largest parts are split first until a tree has
+``FLOATS / TREES`` numbers in its directions or its leaves hold ``COPIES`` times
+the sample. What stays together is compared in chunk pairs. Vectors are compared within leaves, in double precision,
 and all links found are exact.
 
 Equal vectors become one row with a count first. A leaf of any size is dealt
@@ -23,6 +27,7 @@ stays empty.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +45,10 @@ LEAF = 200  # wished rows of a leaf
 CHUNK = 512
 SPILL = 0.6  # margin, in standard deviations of a linked pair's projected distance
 STUCK = 0.85  # a split that leaves a child this share of its parent is none
+SPREAD = 1.3  # nor is one whose children together are more than this of it
+COPIES = 8  # a tree's leaves hold this many times the sample at most
+FLOATS = 8_000_000  # of the directions of a forest: 64 MB
+TRIES = 8  # directions after the first that a part is tried with
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -59,23 +68,46 @@ class Forest:
         self.nodes: list[tuple | int] = []  # (direction, split, left, right) or the leaf's number
         self.roots, self.leaves = [], 0
         for _ in range(TREES):
-            self.roots.append(self._grow(sample, np.arange(len(sample)), least, rng, dim))
-
-    def _grow(self, x, idx, least, rng, dim) -> int:
-        at = len(self.nodes)
-        self.nodes.append(-1)
-        if len(idx) > least:
+            self.roots.append(self._grow(sample, least, rng, dim))
+
+    def _split(self, x, idx, rng, dim) -> tuple | None:
+        """A direction, a split and the two sides: the median of the first
+        direction, else the allowed one of other places and directions that
+        leaves the fewest pairs."""
+        best = None
+        for k in range(1 + TRIES):
             direction = rng.standard_normal(dim)
             direction /= np.linalg.norm(direction)
             p = x[idx] @ direction
-            split = float(np.median(p))
-            left, right = idx[p <= split + self.margin], idx[p >= split - self.margin]
-            if max(len(left), len(right)) <= STUCK * len(idx):
-                self.nodes[at] = (direction, split, self._grow(x, left, least, rng, dim), self._grow(x, right, least, rng, dim))
-                return at
-        self.nodes[at] = self.leaves
-        self.leaves += 1
-        return at
+            for split in np.quantile(p, [0.5] if k == 0 else [0.5, 0.35, 0.65, 0.2, 0.8]).tolist():
+                left, right = p <= split + self.margin, p >= split - self.margin
+                a, b = int(left.sum()), int(right.sum())
+                if max(a, b) <= STUCK * len(idx) and a + b <= SPREAD * len(idx) and (best is None or a * a + b * b < best[0]):
+                    best = (a * a + b * b, direction, split, idx[left], idx[right])
+            if k == 0 and best:
+                break
+        return best and best[1:]
+
+    def _grow(self, x, least, rng, dim) -> int:
+        root, held = len(self.nodes), len(x)
+        budget = max(1, FLOATS // (TREES * dim))  # splits left
+        self.nodes.append(-1)
+        todo = [(-len(x), root, np.arange(len(x)))]
+        while todo:
+            _, at, idx = heapq.heappop(todo)
+            found = self._split(x, idx, rng, dim) if len(idx) > least and budget and held < COPIES * len(x) else None
+            if found is None:
+                self.nodes[at] = self.leaves
+                self.leaves += 1
+                continue
+            direction, split, *sides = found
+            budget -= 1
+            held += len(sides[0]) + len(sides[1]) - len(idx)
+            self.nodes[at] = (direction, split, len(self.nodes), len(self.nodes) + 1)
+            for side in sides:
+                heapq.heappush(todo, (-len(side), len(self.nodes), side))
+                self.nodes.append(-1)
+        return root
 
     def route(self, x: np.ndarray) -> list[list[int]]:
         """Leaves of each vector, ascending."""
@@ -157,7 +189,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
         sample = reps.filter(F.size("vec") == d).orderBy(F.xxhash64("vec_id")).limit(SAMPLE).select("vec").collect()
         forests[d] = (first, Forest(unit(np.array([r.vec for r in sample])), n, threshold))
         first += forests[d][1].leaves
-    sent = spark.sparkContext.broadcast(forests)  # bounded by the sample and the number of lengths
+    sent = spark.sparkContext.broadcast(forests)  # 64 MB of directions per length of vectors at most (FLOATS)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

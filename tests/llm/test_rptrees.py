@@ -61,3 +61,16 @@ def test_dense_cluster_and_edges(spark, monkeypatch):
 
 def test_empty(spark):
     assert run(spark, []) == []
+
+
+def test_leaves_stay_few_in_a_loose_cluster(monkeypatch):
+    rng = np.random.default_rng(5)
+    loose = rng.standard_normal(64) / 8 + rng.standard_normal((500, 64)) * 0.25 / 8  # mean cosine 0.94
+    x = rptrees.unit(np.concatenate([loose, rng.standard_normal((1000, 64))]))
+    monkeypatch.setattr(rptrees, "TREES", 2)
+    forest = rptrees.Forest(x, 1e9, 0.95)
+    led = forest.route(x)
+    assert sum(map(len, led)) <= 2 * (rptrees.COPIES + 1) * len(x) and max(map(len, led)) < 100
+    assert 20 < forest.leaves < 2 * len(x)  # the rest of the table is still split
+    monkeypatch.setattr(rptrees, "FLOATS", 2 * 64 * 10)
+    assert rptrees.Forest(x, 1e9, 0.95).leaves == 2 * 11
