@@ -806,15 +806,10 @@ def q_range_match(spark, sf):
 # characters; tests/test_terms.py checks this query against a brute force.
 @register("fuzzy_match")
 def q_fuzzy_match(spark, sf):
-    """Fuzzy query (edit distance <= 2) for the rarest interior word of
-    every passage: its vocabulary variants with their document frequency."""
+    """Fuzzy query (edit distance <= 2) for every term of every passage: its
+    vocabulary variants with their document frequency."""
     ix = I.open_index(spark, sf)
-    pt = TM.passage_terms(spark, sf)
-    ts = ix.term_stats.filter(F.col("field") == "content")
-    w = Window.partitionBy("qid").orderBy(F.col("df").asc(), F.col("term").asc())
-    rare = (pt.select("qid", "term").distinct().join(ts, "term").withColumn("_r", F.row_number().over(w))
-            .filter(F.col("_r") == 1).select("qid", "term"))
-    return TM.fuzzy_expand(rare, ix, 2)
+    return TM.fuzzy_expand(TM.passage_terms(spark, sf).select("qid", "term").distinct(), ix, 2)
 
 
 @register("phrase_slop", sql=(
