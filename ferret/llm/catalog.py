@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import bpe, langid, minhash, mixing, quality, rptrees, suffix, tokenfile, urls, warc
+from . import bpe, langid, merkle, minhash, mixing, quality, rptrees, suffix, tokenfile, urls, warc
 from .common import run_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +159,57 @@ def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_suffix_dedup")
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+# ---------------------------------------------------------------- 12: Merkle manifest
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _leaf_sql(text: str) -> str:
+    parts = [f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode(CAST({c} AS VARCHAR))) || ':' || {c} END"
+             for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(parts)})"
+
+
+def _tree_sql(up: str, walk: str, leaves: str) -> str:
+    """Levels of the trees over ``leaves(k, pos, n, h)`` and the way of their
+    rows ``(id, cur, proof)`` to the top."""
+    return f"""
+{up}(k, lvl, pos, n, h) AS (SELECT k, 0, pos, n, h FROM {leaves} UNION ALL
+  SELECT k, lvl + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM {up} WHERE n > 1 GROUP BY k, lvl, pos // 8, n),
+{up}_run AS (SELECT k, lvl, pos // 8 AS run, list(h ORDER BY pos) AS hs FROM {up} GROUP BY k, lvl, pos // 8),
+{walk}(id, k, lvl, pos, n, cur, proof) AS (SELECT id, k, 0, pos, n, cur, proof FROM {leaves} UNION ALL
+  SELECT w.id, w.k, w.lvl + 1, w.pos // 8, (w.n + 7) // 8,
+    sha256(array_to_string(hs[:w.pos % 8], '') || w.cur || array_to_string(hs[w.pos % 8 + 2:], '')),
+    w.proof || array_to_string(hs[:w.pos % 8], '') || array_to_string(hs[w.pos % 8 + 2:], '')
+  FROM {walk} w JOIN {up}_run u ON w.k = u.k AND w.lvl = u.lvl AND w.pos // 8 = u.run WHERE w.n > 1)"""
+
+
+# crc32 of the decimal doc_id, a step per bit
+_CRC_SQL = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten([[CAST(ascii(x) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]
+  for x in string_split(CAST(doc_id AS VARCHAR), '')])), lambda c, b: xor(xor(c, b) >> 1, (xor(c, b) & 1) * 3988292384)))"""
+_MERKLE_SQL = f"""
+WITH RECURSIVE a AS (SELECT *, row_number() OVER () AS id, coalesce('=' || lang, '') AS k, {_leaf_sql('text')} AS leaf,
+  CASE WHEN {_CRC_SQL} % 3 = 0 THEN {_leaf_sql(f"translate(text, '{_UPPER}', '{_LOWER}')")} END AS low FROM documents),
+leaves AS (SELECT id, doc_id, k, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY k) AS n,
+  leaf AS h, coalesce(low, leaf) AS cur, '' AS proof FROM a),
+{_tree_sql('up', 'walk', 'leaves')},
+tops AS (SELECT k AS tree, h AS subroot, row_number() OVER (ORDER BY k) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+crowns AS (SELECT w.id, '' AS k, t.pos, t.n, t.subroot AS h, w.cur, w.proof FROM walk w JOIN tops t ON w.k = t.tree WHERE w.n = 1),
+top_leaves AS (SELECT DISTINCT k, pos, n, h FROM crowns),
+{_tree_sql('crown', 'climb', 'crowns').replace('FROM crowns UNION ALL', 'FROM top_leaves UNION ALL', 1)}
+SELECT doc_id, l.h AS leaf, t.subroot, c.h AS root, sha256(e.proof) AS proof_sha256, e.cur AS folded_root, e.cur = c.h AS verified
+FROM leaves l JOIN tops t ON l.k = t.tree JOIN climb e ON e.id = l.id AND e.n = 1 JOIN crown c ON c.n = 1"""
+
+
+@register("op12_merkle_manifest", sql=_MERKLE_SQL)
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*merkle.COLUMNS)
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, F.lit(False))
+    low = [F.translate("text", _UPPER, _LOWER) if c == "text" else F.col(c) for c in merkle.COLUMNS]
+    given = F.when(tampered, merkle.leaf_of(low))
+    x = merkle.manifest(docs, keep={"doc_id": F.col("doc_id"), "given": given})
+    x = x.withColumn("folded_root", merkle.fold(F.coalesce("given", "leaf"), F.col("proof")))
+    return x.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"),
+                    "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
