@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import bpe, langid, merkle, minhash, mixing, quality, rptrees, suffix, tokenfile, urls, warc
-from .common import run_dir
+from . import bpe, langid, merkle, minhash, mixing, periodic, quality, rptrees, suffix, tokenfile, urls, warc
+from .common import SPACE_CLASS, run_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -213,3 +213,55 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = x.withColumn("folded_root", merkle.fold(F.coalesce("given", "leaf"), F.col("proof")))
     return x.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"),
                     "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+# ---------------------------------------------------------------- 13: periodic runs
+
+_RUNS_SQL = f"""
+WITH a AS (SELECT row_number() OVER () AS id, doc_id, coalesce(regexp_extract_all(text, '{_WS}'), []) AS w, {_CRC_SQL} AS h FROM documents),
+b AS (SELECT *, CAST(len(w) AS BIGINT) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS cut FROM a),
+c AS (SELECT *, 1 + (n - cut) // (3 + (h // 10) % 8) AS p FROM b),
+d AS (SELECT id, doc_id, n, CASE WHEN cut IS NULL THEN w ELSE
+  list_transform(range(0, n), lambda i: CASE WHEN i < cut THEN w[i + 1] ELSE w[cut + (i - cut) % p + 1] END) END AS w FROM c),
+tok AS (SELECT id, n, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS i FROM d),
+pair AS (SELECT t.id, t.i, u.i - t.i AS q FROM tok t JOIN tok u ON t.id = u.id AND t.x = u.x AND u.i > t.i AND 4 * (u.i - t.i) <= t.n),
+isle AS (SELECT id, i, q, i - row_number() OVER (PARTITION BY id, q ORDER BY i) AS g FROM pair),
+stretch AS (SELECT id, q, min(i) AS s, count(*) + q AS len FROM isle GROUP BY id, q, g HAVING count(*) + q >= greatest(6, 4 * q)),
+run AS (SELECT id, s, len, min(q) AS q FROM stretch GROUP BY id, s, len),
+r AS (SELECT id, count(*) AS n_runs, list(struct_pack(s := s, len := len, q := q) ORDER BY CAST(len AS DOUBLE) / q DESC, s, q)[1] AS best,
+  string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS told, list(struct_pack(a := s + q, b := s + len)) AS gone FROM run GROUP BY id),
+drops AS (SELECT DISTINCT id, unnest(range(g.a, g.b)) AS i FROM (SELECT id, unnest(gone) AS g FROM r)),
+kept AS (SELECT tok.id, string_agg(x, ' ' ORDER BY tok.i) AS t FROM tok SEMI JOIN r ON tok.id = r.id ANTI JOIN drops ON tok.id = drops.id AND tok.i = drops.i GROUP BY tok.id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.len AS length, best.q AS period,
+  CAST(1000 * best.len // best.q AS BIGINT) AS exponent_milli, sha256(coalesce(told, '')) AS runs_sha256,
+  sha256(CASE WHEN r.id IS NULL THEN array_to_string(w, ' ') ELSE kept.t END) AS collapsed_sha256
+FROM d LEFT JOIN r ON d.id = r.id LEFT JOIN kept ON d.id = kept.id"""
+
+
+def _planted(text, doc_id):
+    """Every tenth text (by crc32 of the id) with its end made periodic."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.array_remove(F.split(text, f"{SPACE_CLASS}+"), "")
+
+    def periodic_from(w):
+        n = F.size(w)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        return F.concat_ws(" ", F.slice(w, 1, a), F.transform(F.sequence(a, n - 1), lambda i: F.get(w, a + (i - a) % p)))
+
+    held = F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, periodic_from(w)).otherwise(F.lit("")))
+    return F.when(h % 10 == 0, held[0]).otherwise(text)
+
+
+@register("op13_periodic_runs", sql=_RUNS_SQL)
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", _planted(F.col("text"), F.col("doc_id")).alias("text"))
+    x = periodic.periodic_runs(docs, ["doc_id"])
+    better = lambda a, b: b["length"] * a["period"] > a["length"] * b["period"]
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda acc, r: F.when(better(acc, r), r).otherwise(acc))
+    told = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    x = x.withColumn("best", best)
+    return x.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                    F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+                    F.sha2(F.array_join(told, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
