@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import bpe, langid, merkle, minhash, mixing, periodic, quality, rptrees, suffix, tokenfile, urls, warc
+from . import bpe, langid, merkle, minhash, mixing, periodic, quality, rptrees, subwords, suffix, tokenfile, urls, warc
 from .common import SPACE_CLASS, run_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,6 +161,21 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+# ---------------------------------------------------------------- 11: quality classifier
+
+QUALITY_THRESHOLD = 0.7
+
+
+@register("op11_quality_classifier")
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held.alias("held_out"))
+    labels = table(spark, sf_dir, "labels").filter(~held).select("doc_id", F.col("quality").alias("label"))
+    model = subwords.learn(docs.filter("NOT held_out"), labels)
+    x = subwords.predict(docs, model, ["doc_id", "held_out"])
+    return x.withColumn("predicted", (F.col("score") >= QUALITY_THRESHOLD).cast("int"))
+
+
 # ---------------------------------------------------------------- 12: Merkle manifest
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
