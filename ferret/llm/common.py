@@ -58,12 +58,16 @@ def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def odd_ids(docs: DataFrame, id_col: str) -> bool:
+    """Whether an id is null or occurs twice."""
+    ids = docs.select(F.col(id_col).cast("long").alias("i"))
+    return bool(ids.groupBy("i").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 OR i IS NULL").head(1))
+
+
 def numbered(docs: DataFrame, rid: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` plus a number per row in document order: the id itself where
     ids are unique and not null, else the place in a sorted copy."""
-    ids = docs.select(F.col(id_col).cast("long").alias("i"))
-    odd = ids.groupBy("i").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 OR i IS NULL").head(1)
-    if not odd:
+    if not odd_ids(docs, id_col):
         return docs.withColumn(rid, F.col(id_col).cast("long"))
     x = docs.repartitionByRange(partitions(docs.sparkSession), id_col, text_col).sortWithinPartitions(id_col, text_col)
     return stored(x.withColumn(rid, F.monotonically_increasing_id()), "sa-numbered")

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, numbered, small, stored, text_or_empty
+from .common import fresh, numbered, odd_ids, small, stored, text_or_empty
 from .components import components
 
 BANDS, ROWS, BITS = 20, 4, 4
@@ -253,6 +253,22 @@ def _across(rows: DataFrame, full: DataFrame, percent: int, floor: float) -> Dat
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row ``doc_id, n_shingles, component_id, kept``; links are pairs with
     100 * intersection >= percent * union of their sets."""
+    if not odd_ids(docs, id_col):
+        return _groups(docs, size, percent, id_col, text_col)
+    # rows are numbered in the order of their ids, so the smallest number of a
+    # component stands for its smallest id
+    x = numbered(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), "rid", "id")
+    named = F.when(F.col("id").isNotNull(), F.col("rid"))
+    found = _groups(x.select(named.alias("rid"), "text"), size, percent, "rid", "text")
+    names = x.select(F.col("rid").alias("row"), "id")
+    found = found.join(names.select("row", F.col("id").alias("own")), F.col("doc_id") == F.col("row"), "left").drop("row")
+    found = found.join(names.select("row", F.col("id").alias("top")), F.col("component_id") == F.col("row"), "left")
+    return found.select(F.col("own").alias("doc_id"), "n_shingles", F.col("top").alias("component_id"),
+                        F.coalesce(F.col("own") == F.col("top"), F.lit(True)).alias("kept"))
+
+
+def _groups(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """:func:`near_duplicates` of rows whose ids are unique where not null."""
     signed = stored(sign(docs, size, id_col, text_col), "mh-signed")
     reps = signed.filter("set_id IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_id").agg(
         F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("keys").alias("keys"))
@@ -270,7 +286,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     one = docs.withColumn(id_col, F.col(id_col).cast("long"))
     if id_col != "doc_id":
         wanted = wanted.withColumnRenamed("doc_id", id_col)
-    full = stored(sets(one.select(id_col, text_col).join(wanted, id_col, "left_semi"), size, id_col, text_col).dropDuplicates(["doc_id"]), "mh-sets")
+    full = stored(sets(one.select(id_col, text_col).join(wanted, id_col, "left_semi"), size, id_col, text_col), "mh-sets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         x = pairs.join(full.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
@@ -296,6 +312,6 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "d
     near-duplicates: that with the smallest ``id_col``."""
     rid = fresh(docs, "__rid")
     x = numbered(docs, rid, id_col, text_col)
-    found = near_duplicates(x.select(F.col(rid), F.col(text_col)), size, percent, rid, text_col)
+    found = _groups(x.select(F.col(rid), F.col(text_col)), size, percent, rid, text_col)
     gone = stored(found.filter("NOT kept").select(F.col("doc_id").alias(rid)), "mh-gone")
     return x.join(small(gone), rid, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

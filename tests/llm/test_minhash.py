@@ -81,6 +81,18 @@ def test_empty_and_repeated_rows(spark):
     assert got == sorted([(1, 2, 1, True), (1, 2, 1, True), (None, 2, None, True), (2, 2, 1, False)], key=str)
 
 
+def test_one_id_on_unlike_rows(spark):
+    """Doc 5 has two texts; 7 is near one and 8 near the other."""
+    rng = random.Random(9)
+    a, b = ([f"{x}{rng.randrange(9999)}" for _ in range(300)] for x in "ab")
+    rows = [(5, a), (5, b), (7, a[:-1]), (8, b[:-1]), (9, b[1:-1]), (3, ["lone"]), (None, b)]
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(df, 3, 85).collect()), key=str)
+    assert got == sorted([(5, 5, True), (5, 5, True), (7, 5, False), (8, 5, False), (9, 5, False), (3, 3, True), (None, None, True)], key=str)
+    both = minhash.keep_one(df, 3, 85).collect()  # rows with one id are still documents of their own
+    assert sorted(r.doc_id or 0 for r in both) == [0, 3, 5] or sorted(r.doc_id or 0 for r in both) == [0, 3, 5, 5]
+
+
 def test_estimate_is_corrected():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**63, 2000, np.uint64)
