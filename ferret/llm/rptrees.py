@@ -20,8 +20,8 @@ back link counts and a spanning forest, never pairs; components come from
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components link with nothing; vectors of different lengths never link; a null
-vec_id links with nothing; rows with equal vec_ids and vectors count as
-vectors of their own; labels and other columns are not read; an empty table
+vec_id links with nothing; rows with equal vec_ids count as vectors of their
+own, like or unlike; labels and other columns are not read; an empty table
 stays empty.
 """
 
@@ -126,14 +126,16 @@ class Forest:
         return [sorted(x) for x in out]
 
 
-def _spread(link: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Smallest place reachable from each row and column over the links
-    (columns count on after the rows)."""
-    rows, cols = np.arange(link.shape[0]), link.shape[0] + np.arange(link.shape[1])
-    none = np.iinfo(np.int64).max
+def _spread(link: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest place reachable from each row and column over the links.
+    Columns count on after the rows, unless rows and columns are the ``same``."""
+    rows, none = np.arange(link.shape[0]), np.iinfo(np.int64).max
+    cols = rows if same else link.shape[0] + np.arange(link.shape[1])
     while True:
         r = np.minimum(rows, np.where(link, cols, none).min(1, initial=none))
         c = np.minimum(cols, np.where(link, r[:, None], none).min(0, initial=none))
+        if same:
+            r = c = np.minimum(r, c)
         if (r == rows).all() and (c == cols).all():
             return rows, cols
         rows, cols = r, c
@@ -145,7 +147,7 @@ def _compare(threshold: float):
         same = rows["i"].iloc[0] == rows["j"].iloc[0]
         left = np.flatnonzero(own == rows["i"].iloc[0])
         right = left if same else np.flatnonzero(own == rows["j"].iloc[0])
-        ids, n = rows["vec_id"].to_numpy(), rows["n"].to_numpy()
+        ids, n = rows["node"].to_numpy(), rows["n"].to_numpy()
         x = unit(np.stack(rows["vec"].to_numpy()).astype(np.float64))
         link = x[left] @ x[right].T >= threshold
         if same:
@@ -163,14 +165,14 @@ def _compare(threshold: float):
         count[left] += link @ n[right]
         if not same:
             count[right] += link.T @ n[left]
-        r, c = _spread(link)
+        r, c = _spread(link, same)
         place = np.concatenate([left, right])
         root = np.arange(len(rows))
         root[left] = place[r]
         if not same:
             root[right] = place[c]
         keep = count > 0
-        return pd.DataFrame({"vec_id": ids[keep], "links": count[keep], "root": ids[root[keep]]})
+        return pd.DataFrame({"node": ids[keep], "links": count[keep], "root": ids[root[keep]]})
 
     return work
 
@@ -178,15 +180,18 @@ def _compare(threshold: float):
 def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """Per row ``vec_id, n_links, component_id, kept``."""
     spark = vectors.sparkSession
-    v = F.col(vec_col).cast("array<double>")
+    kind = "float" if dict(vectors.dtypes)[vec_col] == "array<float>" else "double"  # floats travel as such
+    v = F.col(vec_col).cast(f"array<{kind}>")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.when(F.coalesce(fine, F.lit(False)), v).alias("vec"))
     good = rows.filter("vec IS NOT NULL AND vec_id IS NOT NULL")
-    reps = stored(good.groupBy("vec").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("n")), "rp-vectors")
+    reps = good.groupBy("vec").agg(F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("n"))
+    # different vectors are different nodes, whatever their ids
+    reps = stored(reps.withColumn("node", F.monotonically_increasing_id()), "rp-vectors")
     sizes = {r["d"]: r["n"] for r in reps.groupBy(F.size("vec").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()}
     forests, first = {}, 0
     for d, n in sorted(sizes.items()):
-        sample = reps.filter(F.size("vec") == d).orderBy(F.xxhash64("vec_id")).limit(SAMPLE).select("vec").collect()
+        sample = reps.filter(F.size("vec") == d).orderBy(F.xxhash64("vec")).limit(SAMPLE).select("vec").collect()
         forests[d] = (first, Forest(unit(np.array([r.vec for r in sample])), n, threshold))
         first += forests[d][1].leaves
     sent = spark.sparkContext.broadcast(forests)  # 64 MB of directions per length of vectors at most (FLOATS)
@@ -201,20 +206,21 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
                 at = np.flatnonzero(dims == d)
                 for k, leaves in zip(at.tolist(), forest.route(unit(np.array([vecs[k] for k in at]))), strict=True):
                     out[k] = [first + x for x in leaves]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int64()))], names=["vec_id", "n", "vec", "leaves"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int64()))], names=["node", "n", "vec", "leaves"])
 
-    led = stored(reps.select("vec_id", "n", "vec").mapInArrow(route, "vec_id long, n long, vec array<double>, leaves array<long>"), "rp-led")
+    led = stored(reps.select("node", "n", "vec").mapInArrow(route, f"node long, n long, vec array<{kind}>, leaves array<long>"), "rp-led")
     x = led.withColumn("leaf", F.explode("leaves"))
     many = x.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
-    x = x.join(many, "leaf").withColumn("own", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int"))
+    x = x.join(many, "leaf").withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     x = x.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-    found = x.groupBy("leaf", "i", "j").applyInPandas(_compare(threshold), "vec_id long, links long, root long")
+    found = x.groupBy("leaf", "i", "j").applyInPandas(_compare(threshold), "node long, links long, root long")
     found = stored(found, "rp-found")
-    links = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
-    top = components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
-    reps = reps.join(links, "vec_id", "left").join(top, F.col("vec_id") == F.col("node"), "left").select(
-        "vec", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"), F.coalesce("component", "vec_id").alias("component"))
+    links = found.groupBy("node").agg(F.sum("links").alias("links"))
+    top = components(found.select(F.col("node").alias("a"), F.col("root").alias("b"))).withColumnRenamed("component", "top")
+    reps = stored(reps.join(links, "node", "left").join(top, "node", "left").withColumn("top", F.coalesce("top", "node")), "rp-linked")
+    low = reps.groupBy("top").agg(F.min("low").alias("component"))
+    reps = reps.join(low, "top").select("vec", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"), "component")
     out = rows.join(reps, "vec", "left")
     component = F.when(F.col("vec_id").isNotNull(), F.coalesce("component", "vec_id"))
     alone = F.col("vec_id").isNull()

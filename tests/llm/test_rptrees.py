@@ -1,6 +1,7 @@
 """Random-projection forest against all pairs."""
 
 import numpy as np
+import pytest
 
 from ferret.llm import rptrees
 from tests.conftest import SF_SMALL
@@ -59,6 +60,53 @@ def test_dense_cluster_and_edges(spark, monkeypatch):
     assert all(g[1] <= w[1] for g, w in zip(got, want, strict=True))
 
 
+def turned(rng, x, cosine):
+    """A vector at this cosine to the unit vector ``x``."""
+    y = rng.standard_normal(len(x))
+    y -= (y @ x) * x
+    return cosine * x + np.sqrt(1 - cosine ** 2) * y / np.linalg.norm(y)
+
+
+@pytest.mark.parametrize("chunk", [512, 7])
+def test_pairs_paths_stars_and_even_cycles(spark, monkeypatch, chunk):
+    """Groups without an odd cycle, within a chunk and across chunks, in leaves
+    shared by several trees; ids that occur twice, on unlike vectors too."""
+    monkeypatch.setattr(rptrees, "CHUNK", chunk)
+    rng = np.random.default_rng(chunk)
+    unit = lambda: (lambda x: x / np.linalg.norm(x))(rng.standard_normal(24))
+    rows = []
+    for _ in range(25):
+        a = unit()
+        rows += [a, turned(rng, a, 0.96)]
+        path = [unit()]
+        while len(path) < 6:
+            path.append(turned(rng, path[-1], 0.955))
+        rows += path
+        hub = unit()
+        rows += [hub, *(turned(rng, hub, 0.955) for _ in range(5))]
+        e, f, g = unit(), unit(), unit()  # a square: neighbours at 0.9525, diagonals near 0.905
+        rows += [e + 0.158 * (p * f + q * g) for p, q in ((1, 1), (1, -1), (-1, -1), (-1, 1))]
+    ids = rng.permutation(len(rows)).tolist()
+    table = [(i, x.tolist()) for i, x in zip(ids, rows, strict=True)]
+    table += [(table[k][0], table[k + 40][1]) for k in range(0, 200, 23)] + [(900 + k, table[k][1]) for k in range(0, 60, 7)]
+    table = [(i, np.float32(x).tolist()) for i, x in table]
+    want = brute(table, 0.95)
+    assert sum(x[1] > 0 for x in want) > 300
+    assert run(spark, table, threshold=0.95) == want
+
+
+def test_forest_brings_linked_pairs_together():
+    """Pairs just above the threshold share a leaf, with trees sized for the
+    table and for one of 10 million rows."""
+    rng = np.random.default_rng(8)
+    x = rptrees.unit(rng.standard_normal((20_000, 64)))
+    pairs = np.array([turned(rng, x[k], 0.951) for k in range(500)])
+    for rows in (len(x), 10_000_000):
+        forest = rptrees.Forest(x[:rptrees.SAMPLE], rows, 0.95)
+        a, b = forest.route(x[:500]), forest.route(pairs)
+        assert sum(bool(set(p) & set(q)) for p, q in zip(a, b, strict=True)) >= 498
+
+
 def test_empty(spark):
     assert run(spark, []) == []
 
