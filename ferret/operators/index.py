@@ -22,13 +22,14 @@ is a partial + final aggregation over postings.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import analyze as A
-from ..session import parallelism, path_exists, table_path
+from ..session import materialize, parallelism, path_exists, table_path
 from ..sources import tables
 
 FIELDS = ("title", "content", "venue", "year", "authors")
@@ -43,6 +44,27 @@ class Index:
     term_stats: DataFrame
     corpus: DataFrame  # one row: n_docs
     buckets: int
+    path: str | None = None  # folder of a stored index
+    parts: dict[str, DataFrame] = field(default_factory=dict)
+
+    def part(self, name: str, make: Callable[[], DataFrame], folders: Sequence[str] = (), order: Sequence[str] = ()) -> DataFrame:
+        """A table derived from the index, built when first asked for and stored
+        beside the postings, in ``folders`` and sorted by ``order`` if given (a
+        lazy index stores it for the session)."""
+        if name not in self.parts:
+            spark = self.postings.sparkSession
+            if self.path is None:
+                self.parts[name] = materialize(make())[0]
+            else:
+                path = f"{self.path}/{name}"
+                if not path_exists(spark, path):
+                    x = make()
+                    if folders:
+                        x = x.hint("rebalance", *folders).sortWithinPartitions(*folders, *order)
+                    w = x.write.mode("overwrite")
+                    (w.partitionBy(*folders) if folders else w).parquet(path)
+                self.parts[name] = spark.read.parquet(path)
+        return self.parts[name]
 
     def bucketed(self, terms: DataFrame) -> DataFrame:
         """``terms`` plus the bucket of each ``term``: join postings on it too."""
@@ -199,7 +221,7 @@ def read(spark: SparkSession, path: str) -> Index:
     post = spark.read.parquet(f"{path}/postings")
     ts = spark.read.parquet(f"{path}/term_stats")
     corpus = spark.read.parquet(f"{path}/corpus")
-    return Index(post.select(*POSTING), ts.select("field", "term", "df"), corpus, corpus.first()["buckets"])
+    return Index(post.select(*POSTING), ts.select("field", "term", "df"), corpus, corpus.first()["buckets"], path)
 
 
 def open_index(spark: SparkSession, sf_dir: str, title_an: A.Analyzer = A.DEFAULT_TITLE) -> Index:

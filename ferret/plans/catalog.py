@@ -17,6 +17,7 @@ from ..functions import analyze as A
 from ..functions import porter
 from ..functions.scoring import idf_col, norm_col
 from ..operators import index as I
+from ..operators import query as Q
 from ..sources import tables as T
 from ..session import small
 from . import oracle_sql as O
@@ -690,28 +691,6 @@ def q_query_rewrite(spark, sf):
     return t.select("qid", "shape", F.array_join(rw, "").alias("rewritten"))
 
 
-def _split_fields(q):
-    """``free text field:value field:value`` -> (free text, [(field, value)])
-    by the colons: a field name is the last word before a colon, its value
-    runs to the word before the next colon."""
-    parts = F.split(q, ":", -1)
-    n = F.size(parts)
-    free = F.when(n > 1, F.array_join(F.slice(F.split(parts[0], " ", -1), 1, F.size(F.split(parts[0], " ", -1)) - 1),
-                                      " ")).otherwise(q)
-    idx = F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1)))
-
-    def pair(i):
-        prev = F.split(F.trim(F.element_at(parts, i)), " ", -1)
-        key = F.element_at(prev, -1)
-        cur = F.element_at(parts, i + 1)
-        cw = F.split(F.trim(cur), " ", -1)
-        val = F.when(i + 1 < n, F.array_join(F.slice(cw, 1, F.size(cw) - 1), " ")).otherwise(F.trim(cur))
-        return F.struct(key.alias("field"), F.trim(val).alias("value"))
-
-    pairs = F.when(n > 1, F.transform(idx, pair)).otherwise(F.array().cast("array<struct<field:string,value:string>>"))
-    return free, pairs
-
-
 @register("query_fields", sql=(
     "WITH t AS (SELECT qid, shape, q, string_split(q, ':') AS parts FROM (" + _TOPIC_SQL + ") x), "
     "p AS (SELECT qid, shape, q, parts, unnest(range(1, greatest(len(parts), 2))) AS i FROM t WHERE len(parts) > 1), "
@@ -726,7 +705,7 @@ def q_query_fields(spark, sf):
     """Split each topic string into free text and a field map (a repeated
     field keeps its last value, empty values are dropped), long form."""
     t = _topic_strings(spark, sf)
-    free, pairs = _split_fields(F.col("q"))
+    free, pairs = Q.split_fields(F.col("q"))
     kv = t.select("qid", "shape", F.posexplode(pairs).alias("i", "kv")).select("qid", "shape", "i", "kv.*")
     last = kv.groupBy("qid", "shape", "field").agg(F.max_by("value", "i").alias("value")).filter(F.col("value") != "")
     return t.select("qid", "shape", F.lit("_text").alias("field"), free.alias("value")).unionByName(last)
@@ -830,9 +809,7 @@ def q_fuzzy_match(spark, sf):
     "GROUP BY qid, ga, b, c, doc_id"))
 def q_phrase_slop(spark, sf):
     """Sloppy (slop 2) frequency of every passage phrase in every document."""
-    from ..operators import query as Q
-
     ix = I.open_index(spark, sf)
-    lv, _ = S.materialize(Q.leaves(QS.phrase(spark, sf)))
-    f = S.sloppy_phrase_freq(lv, ix, slop=2)
+    lv, n_lv = S.materialize(Q.leaves(QS.phrase(spark, sf)))
+    f = S.sloppy_phrase_freq(lv, ix, n_lv, slop=2)
     return f.select("qid", "doc_id", F.round("freq", 6).alias("freq"))
