@@ -77,13 +77,14 @@ def _beside(nodes: DataFrame) -> DataFrame:
     """Nodes ``key, pos, n, hash`` plus ``left`` and ``right``: the digests of
     the run's nodes before and after."""
     w = Window.partitionBy("key", F.floor(F.col("pos") / BLOCK)).orderBy("pos")
-    slot = F.col("pos") % FAN
-    length = F.least(F.lit(FAN), F.col("n") - F.col("pos") + slot)
+    slot = (F.col("pos") % FAN).cast("int")
+    length = F.least(F.lit(FAN), F.col("n") - F.col("pos") + slot).cast("int")
     x = nodes.select("*", *[F.lag("hash", k).over(w).alias(f"lag{k}") for k in range(1, FAN)],
                      *[F.lead("hash", k).over(w).alias(f"lead{k}") for k in range(1, FAN)])
-    left = [F.when(slot >= k, F.col(f"lag{k}")) for k in range(FAN - 1, 0, -1)]
-    right = [F.when(slot + k < length, F.col(f"lead{k}")) for k in range(1, FAN)]
-    return x.select(*nodes.columns, F.concat_ws("", *left).alias("left"), F.concat_ws("", *right).alias("right"))
+    # the slot masks the lags, the run's length the leads
+    left = F.slice(F.array(*[f"lag{k}" for k in range(FAN - 1, 0, -1)]), FAN - slot, slot)
+    right = F.slice(F.array(*[f"lead{k}" for k in range(1, FAN)]), F.lit(1), length - slot - 1)
+    return x.select(*nodes.columns, F.array_join(left, "").alias("left"), F.array_join(right, "").alias("right"))
 
 
 def _tree(leaves: DataFrame) -> list[DataFrame]:
@@ -122,7 +123,8 @@ def manifest(rows: DataFrame, columns: Sequence[str] = COLUMNS, group_col: str =
     leaf = leaf_of([F.col(c) for c in columns])
     extra = [f"keep_{k}" for k in range(len(keep))]
     x = rows.select(key.alias("key"), F.col(id_col).alias("id"), leaf.alias("hash"), *[c.alias(e) for e, c in zip(extra, keep.values(), strict=True)])
-    leaves = stored(_placed(x, ["id", "hash"]), "mk-leaves")
+    # stored first: a range partitioning reads its input twice
+    leaves = stored(_placed(stored(x, "mk-rows"), ["id", "hash"]), "mk-leaves")
     trees = _tree(leaves)
     tops = trees[-1].select(F.lit("").alias("key"), F.col("key").alias("tree"), F.col("hash"))
     tops = stored(_placed(tops, ["tree"]), "mk-tops")
