@@ -117,24 +117,24 @@ def _ends(leaves: DataFrame) -> DataFrame:
 
 
 def _cover(a: Column, z: Column) -> Column:
-    """Nodes ``level, node`` that cover the blocks from ``a`` to before ``z``."""
-    out, kind = [], "array<struct<level:int,node:bigint>>"
+    """Nodes ``level, node`` that cover the blocks from ``a`` to before ``z``: a
+    fold over the levels, which takes what no whole parent covers."""
+    kind = "array<struct<level:int,node:bigint>>"
     none = F.array().cast(kind)
 
     def run(level, x, y):
-        ids = F.transform(F.sequence(x, y - 1), lambda i: F.struct(F.lit(level).alias("level"), i.cast("long").alias("node")))
+        ids = F.transform(F.sequence(x, y - 1), lambda i: F.struct(level.alias("level"), i.alias("node")))
         return F.when(x < y, ids.cast(kind)).otherwise(none)
 
-    for level in range(LEVELS):
-        up, down = F.ceil(a / FAN).cast("long"), F.floor(z / FAN).cast("long")
-        if level == LEVELS - 1:
-            out.append(run(level, a, z))
-            break
-        split = up < down  # some parent is whole
-        out.append(run(level, a, F.when(split, up * FAN).otherwise(z)))
-        out.append(F.when(split, run(level, down * FAN, z)).otherwise(none))
-        a, z = F.when(split, up).otherwise(F.lit(0)).cast("long"), F.when(split, down).otherwise(F.lit(0)).cast("long")
-    return F.concat(*out)
+    def step(acc, level):
+        up, down = F.ceil(acc["a"] / FAN).cast("long"), F.floor(acc["z"] / FAN).cast("long")
+        split = (up < down) & (level < LEVELS - 1)  # some parent is whole
+        here = F.when(split, F.concat(run(level, acc["a"], up * FAN), run(level, down * FAN, acc["z"]))).otherwise(run(level, acc["a"], acc["z"]))
+        rest = lambda x: F.when(split, x).otherwise(F.lit(0).cast("long"))
+        return F.struct(rest(up).alias("a"), rest(down).alias("z"), F.concat(acc["nodes"], here).alias("nodes"))
+
+    start = F.struct(a.cast("long").alias("a"), z.cast("long").alias("z"), none.alias("nodes"))
+    return F.aggregate(F.array(*[F.lit(lv) for lv in range(LEVELS)]), start, step, lambda acc: acc["nodes"])
 
 
 def ranges(leaves: DataFrame, ix: Index) -> tuple[DataFrame, DataFrame]:
@@ -179,7 +179,7 @@ def wildcards(leaves: DataFrame, ix: Index) -> DataFrame:
     counted = g.join(gram_counts(ix), ["field", "gram"], "left")
     # a gram that no term holds is the rarest: the pattern matches nothing
     rare = counted.groupBy("field", "pattern").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"))
-    held = grams(ix).join(small(rare), ["field", "gram"]).filter(F.col("term").rlike(_pattern(F.col("pattern"))))
+    held = grams(ix).join(small(rare), ["field", "gram"]).filter(F.rlike("term", _pattern(F.col("pattern"))))
     held = held.select("field", "pattern", F.col("term").alias("t"))
     return held.join(small(leaves.select(*LEAF, "field", F.col("term").alias("pattern"))), ["field", "pattern"]).select(*LEAF, "field", F.col("t").alias("term"))
 

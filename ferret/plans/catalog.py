@@ -713,6 +713,7 @@ def q_query_fields(spark, sf):
 
 # ---------------------------------------------------------------- multi-term operators
 
+from ..operators import dictionary as D  # noqa: E402
 from ..operators import terms as TM  # noqa: E402
 
 _PT_SQL = O.analyzed_sql(
@@ -735,32 +736,120 @@ _POST = f"post AS ({O.postings_sql()})"
     "SELECT qid, rank, doc_id, round(score, 4) AS score FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY "
     "round(score, 6) DESC, doc_id) AS rank FROM h) z WHERE rank <= 10"))
 def q_exclude_term(spark, sf):
-    """Keyword search minus the documents that contain the query's most
-    common term (a prohibited clause: it filters, it does not score)."""
+    """Keyword search with the query's most common term prohibited (``-term``):
+    it takes documents out and does not score."""
     ix = I.open_index(spark, sf)
-    hits = S.score(ix, QS.keyword(spark, sf))
-    ex = TM.docs_with(TM.most_common_term(TM.passage_terms(spark, sf), ix), ix)
-    return S.top_k(hits.join(ex, ["qid", "doc_id"], "left_anti"), 10)
+    ex = TM.most_common_term(TM.passage_terms(spark, sf), ix)
+    return S.search(ix, QS.with_words(spark, sf, ex.select("qid", F.concat(F.lit("-"), "term").alias("word"))), 10, operators=True)
+
+
+@register("boosted_term", sql=(O.topk_sql(QS.KEYWORD_UNITS, 10, extra=(
+    f"pt AS ({_PT_SQL}), {_RARE_TERM}, xl AS (SELECT qid, 0 AS u, 'content' AS field, 100000 AS b, 0 AS c, 'term' AS kind, term, "
+    "NULL AS pterms, 2.5 AS boost, 'K' AS grp, '0:K' AS ga, FALSE AS must, FALSE AS b_all FROM rare), "
+    "xt AS (SELECT qid, '0:K' AS ga, 0 AS b, term FROM rare WHERE FALSE)"))))
+def q_boosted_term(spark, sf):
+    """Keyword search with the query's rarest term once more at ``^2.5``."""
+    ix = I.open_index(spark, sf)
+    rare = TM.rarest_term(TM.passage_terms(spark, sf), ix)
+    return S.search(ix, QS.with_words(spark, sf, rare.select("qid", F.concat("term", F.lit("^2.5")).alias("word"))), 10, operators=True)
+
+
+def _multi_sql(words: str, matches: str, more: str = "") -> str:
+    """Top 10 of queries that are constant-score clauses alone: ``words(qid,
+    term, boost, ...)`` (distinct) and how a leaf ``w`` matches a term ``v.term``."""
+    none = "SELECT item_id AS qid, 0 AS u, 'content' AS field, '' AS text FROM benchmark WHERE FALSE"
+    return O.topk_sql(none, 10, extra=(
+        f"pt AS ({_PT_SQL}), {more}w AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY term) AS b FROM ({words}) _w), "
+        "xl AS (SELECT qid, 0 AS u, 'content' AS field, b, 0 AS c, 'multi' AS kind, term, NULL AS pterms, boost, 'K' AS grp, "
+        "'0:K' AS ga, FALSE AS must, FALSE AS b_all FROM w), v AS (SELECT term FROM ts WHERE field = 'content'), "
+        f"xt AS (SELECT w.qid, '0:K' AS ga, w.b, v.term FROM w JOIN v ON {matches})"))
+
+
+@register("prefix_topk", sql=_multi_sql(
+    "SELECT DISTINCT qid, substring(term, 1, CAST((length(term) + 1) // 2 AS INT)) AS term, 1.0 AS boost FROM pt", "starts_with(v.term, w.term)"))
+def q_prefix_topk(spark, sf):
+    """Ranked hits of every passage's terms, each cut to its first half (``opti*``)."""
+    t = TM.passage_terms(spark, sf)
+    half = F.substr("term", F.lit(1), F.floor((F.length("term") + 1) / 2).cast("int"))
+    words = t.select("qid", F.concat(half, F.lit("*")).alias("word")).distinct()
+    return S.search(I.open_index(spark, sf), QS.only_words(words), 10, operators=True)
+
+
+_WILD_SQL = ("SELECT DISTINCT qid, CASE WHEN length(term) % 2 = 0 THEN '*' || substring(term, CAST(length(term) // 2 AS INT) + 1) "
+             "ELSE substring(term, 1, CAST(length(term) // 2 AS INT)) || '?' || substring(term, CAST(length(term) // 2 AS INT) + 2) END AS term, "
+             "1.0 AS boost FROM pt")
+
+
+@register("wildcard_match", sql=_multi_sql(
+    _WILD_SQL, "like_escape(v.term, replace(replace(replace(w.term, '_', '\\_'), '?', '_'), '*', '%'), '\\')"))
+def q_wildcard_match(spark, sf):
+    """Ranked hits of every passage's terms as patterns: terms of even length
+    by their second half (``*ing``), the others with their middle open (``opt?m``)."""
+    n = F.length("term")
+    half = F.floor(n / 2).cast("int")
+    tail = F.concat(F.lit("*"), F.substr("term", half + 1, n))
+    open_ = F.concat(F.substr("term", F.lit(1), half), F.lit("?"), F.substr("term", half + 2, n))
+    words = TM.passage_terms(spark, sf).select("qid", F.when(n % 2 == 0, tail).otherwise(open_).alias("word")).distinct()
+    return S.search(I.open_index(spark, sf), QS.only_words(words), 10, operators=True)
+
+
+_RANGE_WORDS = "SELECT qid, min(term) AS term, 3.0 AS boost, max(term) AS hi FROM pt GROUP BY qid"
+
+
+@register("range_topk", sql=_multi_sql(_RANGE_WORDS, "v.term BETWEEN w.term AND w.hi"))
+def q_range_topk(spark, sf):
+    """Ranked hits of the range from each passage's first to its last term (``[a TO b]^3``)."""
+    t = TM.passage_terms(spark, sf).groupBy("qid").agg(F.min("term").alias("lo"), F.max("term").alias("hi"))
+    words = t.select("qid", F.concat(F.lit("["), "lo", F.lit(" TO "), "hi", F.lit("]^3")).alias("word"))
+    return S.search(I.open_index(spark, sf), QS.only_words(words), 10, operators=True)
+
+
+# DuckDB's levenshtein counts UTF-8 bytes: characters beyond ASCII (at most 58
+# kinds) stand for control and other characters that no term holds.
+_ONE_BYTE = "(SELECT string_agg(chr(CAST(x AS INT)), '') FROM (SELECT unnest(range(1, 32)) AS x UNION ALL SELECT unnest(range(33, 39)) UNION ALL " \
+    "SELECT unnest(range(40, 46)) UNION ALL SELECT 47 UNION ALL SELECT unnest(range(58, 65)) UNION ALL SELECT unnest(range(91, 95)) UNION ALL " \
+    "SELECT unnest(range(123, 126))) _o)"
+_BYTES_SQL = ("chars AS (SELECT coalesce(string_agg(DISTINCT ch, ''), '') AS s FROM (SELECT unnest(string_split(term, '')) AS ch FROM "
+              "(SELECT DISTINCT term FROM pt UNION SELECT DISTINCT term FROM ts WHERE field = 'content')) WHERE unicode(ch) > 127), "
+              f"tr AS (SELECT s, substring({_ONE_BYTE}, 1, length(s)) AS o FROM chars)")
+_BYTE = "translate({0}, (SELECT s FROM tr), (SELECT o FROM tr))"
+_FUZZY_CTES = (f"{_BYTES_SQL}, fv AS (SELECT term, {_BYTE.format('term')} AS k, length(term) AS n, df FROM ts WHERE field = 'content'), "
+               f"fw AS (SELECT term, {_BYTE.format('term')} AS k, length(term) AS n FROM (SELECT DISTINCT term FROM pt)), "
+               "near AS (SELECT fw.term AS word, fv.term, fv.df, CAST(levenshtein(fw.k, fv.k) AS INT) AS dist FROM fw JOIN fv "
+               "ON abs(fw.n - fv.n) <= 2 AND levenshtein(fw.k, fv.k) <= 2)")
+
+
+@register("fuzzy_topk", sql=_multi_sql("SELECT DISTINCT qid, term, 1.0 AS boost FROM pt", "TRUE JOIN near ON near.word = w.term AND near.term = v.term AND near.dist <= 1",
+                                       f"{_FUZZY_CTES}, "))
+def q_fuzzy_topk(spark, sf):
+    """Ranked hits of every passage's terms with one edit (``term~1``)."""
+    words = TM.passage_terms(spark, sf).select("qid", F.concat("term", F.lit("~1")).alias("word")).distinct()
+    return S.search(I.open_index(spark, sf), QS.only_words(words), 10, operators=True)
 
 
 @register("prefix_match", sql=(
-    f"WITH {_POST}, {_TS_SQL}, pt AS ({_PT_SQL}), pre AS (SELECT DISTINCT qid, substring(term, 1, 4) AS prefix "
-    "FROM pt WHERE length(term) >= 5), ex AS (SELECT pre.qid, pre.prefix, ts.term FROM pre JOIN ts ON ts.field = "
-    "'content' AND starts_with(ts.term, pre.prefix)), "
-    "d AS (SELECT qid, count(DISTINCT p.doc_id) AS n_docs FROM (SELECT DISTINCT qid, term FROM ex) e JOIN post p "
-    "ON p.field = 'content' AND p.term = e.term GROUP BY qid) "
-    "SELECT qid, count(DISTINCT prefix) AS n_prefixes, count(DISTINCT term) AS n_terms, coalesce(any_value(d.n_docs), 0) "
-    "AS n_docs FROM ex LEFT JOIN d USING (qid) GROUP BY qid"))
+    f"WITH {_POST}, {_TS_SQL}, pt AS ({_PT_SQL}), pre AS (SELECT DISTINCT qid, w AS width, substring(term, 1, CAST(w AS INT)) AS prefix "
+    "FROM (SELECT qid, term, unnest(range(1, length(term) + 1)) AS w FROM pt)), "
+    "one AS (SELECT DISTINCT prefix FROM pre), v AS (SELECT term, substring(term, 1, CAST(w AS INT)) AS prefix FROM (SELECT term, "
+    "unnest(range(1, length(term) + 1)) AS w FROM ts WHERE field = 'content')), "
+    "ex AS (SELECT one.prefix, v.term FROM one JOIN v USING (prefix)), nt AS (SELECT prefix, count(*) AS n FROM ex GROUP BY prefix), "
+    "pd AS (SELECT DISTINCT ex.prefix, p.doc_id FROM ex JOIN post p ON p.field = 'content' AND p.term = ex.term), "
+    "d AS (SELECT pre.qid, pre.width, count(DISTINCT pd.doc_id) AS n_docs FROM pre JOIN pd USING (prefix) GROUP BY pre.qid, pre.width) "
+    "SELECT qid, CAST(width AS INT) AS width, count(*) AS n_prefixes, CAST(sum(nt.n) AS BIGINT) AS n_terms, coalesce(any_value(d.n_docs), 0) AS n_docs "
+    "FROM pre JOIN nt USING (prefix) LEFT JOIN d USING (qid, width) GROUP BY qid, width"))
 def q_prefix_match(spark, sf):
-    """Each passage term of 5+ letters as a 4-letter prefix query: matching
-    vocabulary terms and documents per passage."""
+    """Every prefix of every passage term: per passage and width the prefixes
+    that some term has, the terms, and the documents that hold one."""
     ix = I.open_index(spark, sf)
-    pt = TM.passage_terms(spark, sf).filter(F.length("term") >= 5)
-    pre = pt.select("qid", F.substring("term", 1, 4).alias("prefix")).distinct()
-    ex = TM.prefix_expand(pre, ix, 4)
-    docs = TM.docs_with(ex.select("qid", "term").distinct(), ix)
-    a = ex.groupBy("qid").agg(F.count_distinct("prefix").alias("n_prefixes"), F.count_distinct("term").alias("n_terms"))
-    return a.join(docs.groupBy("qid").agg(F.count(F.lit(1)).alias("n_docs")), "qid", "left").fillna(0, ["n_docs"])
+    t = TM.passage_terms(spark, sf).select("qid", "term").distinct()
+    pre = t.select("qid", F.explode(F.sequence(F.lit(1), F.length("term"))).alias("width"), "term")
+    pre = pre.select("qid", "width", F.substr("term", F.lit(1), F.col("width")).alias("term")).distinct()
+    asked = pre.select("qid", "width", F.lit("prefix").alias("kind"), "term", F.lit(None).cast("string").alias("hi"))
+    asked, _ = S.materialize(asked)
+    # a prefix of a passage term counts where the index has a term with it
+    each = TM.count_matches(asked.select("term", "kind", "hi", F.col("term").alias("prefix")).distinct(), ix, ["prefix"]).filter("n_terms > 0")
+    have = asked.join(each.select(F.col("prefix").alias("term")), "term", "left_semi").groupBy("qid", "width").agg(F.count(F.lit(1)).alias("n_prefixes"))
+    return have.join(TM.count_matches(asked, ix, ["qid", "width"]), ["qid", "width"])
 
 
 @register("range_match", sql=(
@@ -775,20 +864,33 @@ def q_range_match(spark, sf):
     """Term range [min term, max term] of each passage on the content vocabulary."""
     ix = I.open_index(spark, sf)
     r = TM.passage_terms(spark, sf).groupBy("qid").agg(F.min("term").alias("lo"), F.max("term").alias("hi"))
-    ex = TM.range_expand(r, ix)
-    docs = TM.docs_with(ex.select("qid", "term"), ix)
-    a = ex.groupBy("qid", "lo", "hi").agg(F.count(F.lit(1)).alias("n_terms"))
-    return a.join(docs.groupBy("qid").agg(F.count(F.lit(1)).alias("n_docs")), "qid", "left").fillna(0, ["n_docs"])
+    r, _ = S.materialize(r)
+    asked = r.select("qid", F.lit("range").alias("kind"), F.col("lo").alias("term"), "hi")
+    return r.join(TM.count_matches(asked, ix, ["qid"]), "qid")
 
 
-# No oracle text: DuckDB's levenshtein counts UTF-8 bytes, Spark's counts
-# characters; tests/test_terms.py checks this query against a brute force.
-@register("fuzzy_match")
+@register("fuzzy_match", sql=(f"WITH {_POST}, {_TS_SQL}, pt AS ({_PT_SQL}), {_FUZZY_CTES} SELECT q.qid, q.term, near.term AS variant, near.dist, "
+                              "near.df FROM (SELECT DISTINCT qid, term FROM pt) q JOIN near ON near.word = q.term"))
 def q_fuzzy_match(spark, sf):
     """Fuzzy query (edit distance <= 2) for every term of every passage: its
     vocabulary variants with their document frequency."""
     ix = I.open_index(spark, sf)
-    return TM.fuzzy_expand(TM.passage_terms(spark, sf).select("qid", "term").distinct(), ix, 2)
+    t = TM.passage_terms(spark, sf).select("qid", "term").distinct()
+    asked = t.select(F.lit("content").alias("field"), F.col("term").alias("word"), F.lit(D.MAX_EDITS).alias("edits")).distinct()
+    found = D.variants(asked, ix).select(F.col("word").alias("term"), F.col("term").alias("variant"), "dist", "df")
+    return found.join(small(t), "term").select("qid", "term", "variant", "dist", "df")
+
+
+_SLOP_UNITS = ("SELECT item_id AS qid, 0 AS u, 'content' AS field, '\"' || array_to_string(regexp_extract_all(text, '" + O.TOK
+               + "')[1:4], ' ') || '\"' AS text FROM benchmark")
+
+
+@register("sloppy_topk", sql=O.topk_sql(_SLOP_UNITS, 10, slop=3))
+def q_sloppy_topk(spark, sf):
+    """Ranked hits of each passage's first four words as a phrase with slop 3."""
+    b = T.table(spark, sf, "benchmark").select(F.col("item_id").alias("qid"), F.slice(A.tokenize(F.col("text")), 1, 4).alias("w"))
+    q = b.select("qid", F.concat(F.lit('"'), F.array_join("w", " "), F.lit('"')).alias("query"), F.lit(None).cast("map<string,string>").alias("adv"))
+    return S.search(I.open_index(spark, sf), q, 10, slop=3)
 
 
 @register("phrase_slop", sql=(

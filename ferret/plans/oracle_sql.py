@@ -78,8 +78,9 @@ def norm(field: str, flen: str, mode: str = "lossy") -> str:
 
 # ------------------------------------------------------------------ search
 
-def leaves_sql(units: str, title_an: A.Analyzer = A.DEFAULT_TITLE) -> str:
-    """Clause leaves of ``units(qid, u, field, text)`` (see operators.query)."""
+def leaves_sql(units: str, title_an: A.Analyzer = A.DEFAULT_TITLE, extra: bool = False) -> str:
+    """Clause leaves of ``units(qid, u, field, text)`` (see operators.query) and,
+    with ``extra``, those of a table ``xl``."""
     u2 = (f"SELECT qid, u, field, regexp_extract_all(text, '\"([^\"]*)\"', 1) AS phrases, "
           f"trim(regexp_replace(text, '\"[^\"]*\"', '', 'g')) AS rest FROM ({units}) _u")
     pb = (f"SELECT qid, u, field, unnest(phrases) AS ptext, generate_subscripts(phrases, 1) - 1 AS b "
@@ -105,6 +106,8 @@ def leaves_sql(units: str, title_an: A.Analyzer = A.DEFAULT_TITLE) -> str:
     lv = (f"SELECT *, CAST(u AS VARCHAR) || ':' || grp AS ga, NOT (grp = 'K' AND u = 0) AS must, "
           f"grp = 'P' AS b_all FROM (SELECT * FROM p_terms UNION ALL BY NAME SELECT * FROM p_phr "
           f"UNION ALL BY NAME SELECT * FROM kw) _l")
+    if extra:
+        lv += " UNION ALL BY NAME SELECT * FROM xl"
     p_terms = p_terms.replace(f"FROM ({pt}) _a", "FROM pt")
     p_phr = p_phr.replace(f"FROM ({pt}) _b", "FROM pt")
     pb = pb.replace(f"FROM ({u2}) _p", "FROM u2")
@@ -130,40 +133,57 @@ def scored_sql(units: str, title_an: A.Analyzer = A.DEFAULT_TITLE, norm_mode: st
     return f"WITH {_search_ctes(units, title_an, norm_mode)} SELECT qid, doc_id, score FROM scored"
 
 
-def _search_ctes(units: str, title_an: A.Analyzer, norm_mode: str) -> str:
-    lv = leaves_sql(units, title_an)
+def sloppy_sql(pairs: str, keys: str, slop: int) -> str:
+    """Sloppy frequency per ``keys`` of ``pairs(keys, _nt, k, x)``: shifted
+    positions x of the phrase's terms k."""
+    on = " AND ".join(f"o.{k} = a.{k}" for k in keys.split(", "))
+    a = ", ".join(f"a.{k}" for k in keys.split(", "))
+    d = (f"SELECT {a}, a._nt, a.x AS a, o.k, min(abs(o.x - a.x)) AS d FROM {pairs} a JOIN {pairs} o ON a.k = 0 AND o.k > 0 "
+         f"AND {on} AND abs(o.x - a.x) <= {slop} GROUP BY {a}, a._nt, a.x, o.k")
+    each = f"SELECT {keys}, a, count(*) AS n, sum(d) AS dsum, any_value(_nt) AS _nt FROM ({d}) _d GROUP BY {keys}, a"
+    return f"SELECT {keys}, sum(1.0 / (1.0 + dsum)) AS freq FROM ({each}) _e WHERE n = _nt - 1 AND dsum <= {slop} GROUP BY {keys}"
+
+
+def _search_ctes(units: str, title_an: A.Analyzer, norm_mode: str, extra: str = "", slop: int = 0) -> str:
+    """``extra``: tables ``xl`` (leaves, kind ``term`` or ``multi``) and ``xt``
+    (``qid, ga, b, term`` of the multi ones)."""
+    lv = leaves_sql(units, title_an, bool(extra))
+    xidf = lambda t: f"CASE WHEN lv0.kind = 'multi' THEN 1.0 ELSE {t} END" if extra else t
+    pkeys = "qid, doc_id, ga, b, c"
+    exact = (f"SELECT {pkeys}, count(*) AS freq FROM (SELECT {pkeys}, anchor, count(*) AS k, any_value(_nt) AS _nt FROM pa "
+             f"GROUP BY {pkeys}, anchor) _x WHERE k = _nt GROUP BY {pkeys}")
+    freq = sloppy_sql("(SELECT *, anchor AS x FROM pa)", pkeys, slop) if slop else exact
     nrm = norm_sql("p.field", "p.flen", norm_mode)
     keys = "qid, ga, b, c"
     return (
         f"post AS ({postings_sql(title_an)}), ts AS (SELECT field, term, count(*) AS df FROM post GROUP BY field, term), "
-        f"lv0 AS ({lv}), "
+        f"{extra}{', ' if extra else ''}lv0 AS ({lv}), "
         f"lt AS (SELECT {keys}, field, CASE WHEN kind = 'phrase' THEN [x.term FOR x IN pterms] ELSE [term] END AS _ts "
         f"FROM lv0), "
         f"li AS (SELECT {keys}, sum({idf_sql('coalesce(ts.df, 0)', N_DOCS)}) AS idf FROM "
         f"(SELECT {keys}, field, unnest(_ts) AS term FROM lt) e LEFT JOIN ts USING (field, term) GROUP BY {keys}), "
-        f"lv AS (SELECT lv0.*, li.idf, q.qnorm FROM lv0 JOIN li USING ({keys}) JOIN "
-        f"(SELECT qid, 1.0 / sqrt(sum(power(li.idf * lv0.boost, 2))) AS qnorm FROM lv0 JOIN li USING ({keys}) "
+        f"lv AS (SELECT lv0.*, {xidf('li.idf')} AS idf, q.qnorm FROM lv0 JOIN li USING ({keys}) JOIN "
+        f"(SELECT qid, 1.0 / sqrt(sum(power({xidf('li.idf')} * lv0.boost, 2))) AS qnorm FROM lv0 JOIN li USING ({keys}) "
         f"GROUP BY qid) q USING (qid)), "
         f"tm AS (SELECT l.qid, p.doc_id, l.ga, l.must, l.b, l.b_all, l.c, l.n_a, l.n_must, l.n_b, l.n_c, l.qnorm, "
         f"sqrt(CAST(p.tf AS DOUBLE)) * l.idf * l.idf * l.boost * {nrm} AS s "
         f"FROM lv l JOIN post p ON l.kind = 'term' AND p.field = l.field AND p.term = l.term), "
-        f"pe AS (SELECT l.*, unnest(l.pterms) AS _pt, len(l.pterms) AS _nt FROM lv l WHERE l.kind = 'phrase'), "
+        f"pe AS (SELECT l.*, unnest(l.pterms) AS _pt, unnest(range(len(l.pterms))) AS k, len(l.pterms) AS _nt FROM lv l "
+        f"WHERE l.kind = 'phrase'), "
         f"pj AS (SELECT e.qid, e.ga, e.must, e.b, e.b_all, e.c, e.n_a, e.n_must, e.n_b, e.n_c, e.qnorm, e.idf, "
-        f"e.boost, e._nt, p.field, p.flen, p.doc_id, e._pt.qpos AS qpos, p.positions "
+        f"e.boost, e._nt, e.k, p.field, p.flen, p.doc_id, e._pt.qpos AS qpos, p.positions "
         f"FROM pe e JOIN post p ON p.field = e.field AND p.term = e._pt.term), "
         f"pa AS (SELECT * EXCLUDE (positions), unnest(positions) - qpos AS anchor FROM pj), "
-        f"pf AS (SELECT qid, doc_id, ga, b, c, any_value(must) AS must, any_value(b_all) AS b_all, "
-        f"any_value(n_a) AS n_a, any_value(n_must) AS n_must, any_value(n_b) AS n_b, any_value(n_c) AS n_c, "
-        f"any_value(qnorm) AS qnorm, any_value(idf) AS idf, any_value(boost) AS boost, any_value(field) AS field, "
-        f"any_value(flen) AS flen, count(*) AS freq FROM (SELECT qid, doc_id, ga, b, c, anchor, "
-        f"any_value(must) AS must, any_value(b_all) AS b_all, any_value(n_a) AS n_a, any_value(n_must) AS n_must, "
-        f"any_value(n_b) AS n_b, any_value(n_c) AS n_c, any_value(qnorm) AS qnorm, any_value(idf) AS idf, "
-        f"any_value(boost) AS boost, any_value(field) AS field, any_value(flen) AS flen, count(*) AS k, "
-        f"any_value(_nt) AS _nt FROM pa GROUP BY qid, doc_id, ga, b, c, anchor) x WHERE k = _nt "
-        f"GROUP BY qid, doc_id, ga, b, c), "
+        f"pf AS (SELECT f.*, i.* EXCLUDE ({pkeys}) FROM ({freq}) f JOIN (SELECT {pkeys}, any_value(must) AS must, "
+        f"any_value(b_all) AS b_all, any_value(n_a) AS n_a, any_value(n_must) AS n_must, any_value(n_b) AS n_b, "
+        f"any_value(n_c) AS n_c, any_value(qnorm) AS qnorm, any_value(idf) AS idf, any_value(boost) AS boost, "
+        f"any_value(field) AS field, any_value(flen) AS flen FROM pj GROUP BY {pkeys}) i USING ({pkeys})), "
         f"pm AS (SELECT qid, doc_id, ga, must, b, b_all, c, n_a, n_must, n_b, n_c, qnorm, "
         f"sqrt(CAST(freq AS DOUBLE)) * idf * idf * boost * {norm_sql('field', 'flen', norm_mode)} AS s FROM pf), "
-        f"m AS (SELECT * FROM tm UNION ALL SELECT * FROM pm), "
+        + ("mm AS (SELECT DISTINCT l.qid, p.doc_id, l.ga, l.must, l.b, l.b_all, l.c, l.n_a, l.n_must, l.n_b, l.n_c, l.qnorm, "
+           "CAST(l.boost AS DOUBLE) AS s FROM lv l JOIN xt ON l.kind = 'multi' AND xt.qid = l.qid AND xt.ga = l.ga AND xt.b = l.b "
+           "JOIN post p ON p.field = l.field AND p.term = xt.term), " if extra else "") +
+        f"m AS (SELECT * FROM tm UNION ALL SELECT * FROM pm{' UNION ALL SELECT * FROM mm' if extra else ''}), "
         f"cl AS (SELECT qid, doc_id, ga, b, sum(s) * count(*) / any_value(n_c) AS s, any_value(must) AS must, "
         f"any_value(b_all) AS b_all, any_value(n_b) AS n_b, any_value(n_a) AS n_a, any_value(n_must) AS n_must, "
         f"any_value(qnorm) AS qnorm FROM m GROUP BY qid, doc_id, ga, b), "
@@ -174,9 +194,10 @@ def _search_ctes(units: str, title_an: A.Analyzer, norm_mode: str) -> str:
         f"GROUP BY qid, doc_id HAVING sum(CAST(must AS INT)) = any_value(n_must))")
 
 
-def topk_sql(units: str, n: int = 10, title_an: A.Analyzer = A.DEFAULT_TITLE, norm_mode: str = "lossy") -> str:
+def topk_sql(units: str, n: int = 10, title_an: A.Analyzer = A.DEFAULT_TITLE, norm_mode: str = "lossy", extra: str = "",
+             slop: int = 0) -> str:
     lim = f"WHERE rank <= {n}" if n else ""
-    return (f"WITH {_search_ctes(units, title_an, norm_mode)} SELECT qid, rank, doc_id, round(score, 4) AS score FROM "
+    return (f"WITH {_search_ctes(units, title_an, norm_mode, extra, slop)} SELECT qid, rank, doc_id, round(score, 4) AS score FROM "
             f"(SELECT qid, doc_id, score, row_number() OVER (PARTITION BY qid ORDER BY round(score, 6) DESC, doc_id) "
             f"AS rank FROM scored) r {lim}")
 

@@ -66,3 +66,15 @@ def empty(spark, sf) -> DataFrame:
 
 EMPTY_UNITS = ("SELECT item_id AS qid, 0 AS u, 'content' AS field, trim(regexp_replace(text, '[\\p{L}\\p{N}_]', '', 'g')) "
                "AS text FROM benchmark WHERE trim(regexp_replace(text, '[\\p{L}\\p{N}_]', '', 'g')) <> ''")
+
+
+def with_words(spark, sf, words: DataFrame) -> DataFrame:
+    """The passages, free of operator characters, plus ``words(qid, word)``."""
+    q = keyword(spark, sf).withColumn("query", F.regexp_replace("query", r"[-+*?~^\[\]]", " "))
+    w = words.groupBy("qid").agg(F.array_join(F.sort_array(F.collect_list("word")), " ").alias("w"))
+    return q.join(w, "qid", "left").select("qid", F.concat_ws(" ", "query", "w").alias("query"), "adv")
+
+
+def only_words(words: DataFrame) -> DataFrame:
+    """Queries of ``words(qid, word)`` alone."""
+    return words.groupBy("qid").agg(F.array_join(F.sort_array(F.collect_list("word")), " ").alias("query")).withColumn("adv", _no_adv())
