@@ -231,3 +231,14 @@ def open_index(spark: SparkSession, sf_dir: str, title_an: A.Analyzer = A.DEFAUL
     if not path_exists(spark, path + "/_done"):
         write(build(spark, sf_dir, title_an), path)
     return read(spark, path)
+
+
+def fetch(ix: Index, hits: DataFrame, records: Callable[[], DataFrame]) -> DataFrame:
+    """``hits`` (``doc_id``, few: counted before they are broadcast) with the
+    stored fields of their documents. Stored fields lie in folders by a hash of
+    the id, sorted by id, so the scan is pruned to the folders asked for."""
+    from ..session import small
+
+    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(ix.buckets)).cast("int")
+    stored = ix.part("stored", lambda: records().withColumn("bucket", bucket), ["bucket"], ["doc_id"])
+    return stored.join(small(hits.withColumn("bucket", bucket)), ["bucket", "doc_id"])

@@ -18,8 +18,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import analyze as A
-from ..session import materialize, small
+from ..session import materialize, scratch, small
 from ..sources import tables as T
+from .ordinals import placed
 
 BOW_RE = r"[\p{L}\p{N}_]{2,}"
 
@@ -64,6 +65,14 @@ def cosine_requests(vecs: DataFrame, reqs: DataFrame, keys: list[str], dim: str,
     return s.select(*rk, *keys, F.round("similarity", 6).alias("similarity"), "rank")
 
 
+def looked_up(asked: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Every row of ``asked`` with ``found`` and, where found, what ``groups``
+    holds; an unknown group is one row with ``found`` false."""
+    own = groups.withColumn("found", F.lit(True))
+    rest = [c for c in groups.columns if c not in keys]
+    return small(asked).join(own, keys, "left").select(*keys, F.coalesce("found", F.lit(False)).alias("found"), *rest)
+
+
 def centroids(emb: DataFrame) -> DataFrame:
     """Mean vector per label, ``(r_label, r_vec array<double>)``: labels rows."""
     e = emb.select("label", F.posexplode("embedding").alias("i", "x"))
@@ -102,22 +111,42 @@ def dense_topk(vecs: DataFrame, key: str, vec: str, reqs: DataFrame, k: int = 10
 
 
 def lda_corpus(spark: SparkSession, sf: str, min_df: int = 10) -> tuple[DataFrame, DataFrame, int]:
-    """Dense count vectors per group (size = vocabulary after ``min_df``, so a
-    row is bounded by the vocabulary, not by the group's size)."""
-    from pyspark.ml.functions import array_to_vector
-
-    b = bow(spark, sf, min_df)
-    # the vocabulary after min_df (bounded by the dictionary size) gets
-    # dense indexes; a global window over distinct terms only
-    vocab, v = materialize(b.select("term").distinct().withColumn(
-        "idx", F.row_number().over(Window.orderBy("term")) - 1))
-    m = (b.join(vocab, "term").groupBy("venue", "year")
-         .agg(F.map_from_entries(F.collect_list(F.struct("idx", F.col("freq").cast("double")))).alias("_m")))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(max(v - 1, 0))), lambda i: F.coalesce(F.col("_m")[i], F.lit(0.0)))
-    return m.select("venue", "year", array_to_vector(dense).alias("features")), vocab, v
+    """Sparse count vectors per group (as many entries as the group has terms),
+    the vocabulary ``term, idx`` and its size. Indexes are places in term
+    order, from a range partitioning."""
+    b, _ = materialize(bow(spark, sf, min_df))
+    vocab, v = materialize(placed(b.select("term").distinct(), ["term"], out="idx").withColumn("idx", F.col("idx").cast("int")))
+    m = b.join(vocab, "term").groupBy("venue", "year").agg(F.sort_array(F.collect_list(F.struct("idx", F.col("freq").cast("double").alias("x")))).alias("_m"))
+    return _as_vectors(m.select("venue", "year", "_m"), v), vocab, v
+
+
+def _as_vectors(rows: DataFrame, size: int) -> DataFrame:
+    """``_m``, sorted (index, value) pairs, as a sparse ``features`` vector: the
+    columns of Spark ML's vector type are written and read back as one."""
+    from pyspark.ml.linalg import VectorUDT
+    from pyspark.sql.types import StructField, StructType
+
+    keep = [c for c in rows.columns if c != "_m"]
+    parts = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).cast("int").alias("size"),
+                     F.transform("_m", lambda e: e["idx"]).alias("indices"), F.transform("_m", lambda e: e["x"]).alias("values"))
+    x = rows.select(*keep, parts.alias("features"))
+    path = scratch(rows.sparkSession)
+    x.write.parquet(path)
+    schema = StructType([f if f.name != "features" else StructField("features", VectorUDT()) for f in x.schema.fields])
+    return rows.sparkSession.read.schema(schema).parquet(path)
 
 
 def lda_fit(corpus: DataFrame, k: int = 10, max_iter: int = 100, seed: int = 0):
     from pyspark.ml.clustering import LDA
 
     return LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online", featuresCol="features").fit(corpus)
+
+
+def lda_steps(corpus: DataFrame, k: int = 10, steps: tuple[int, ...] = (1, 10, 100), seed: int = 0) -> DataFrame:
+    """The likelihood bound while fitting: ``iterations, log_likelihood,
+    log_perplexity`` of models after so many iterations (one row a step)."""
+    rows = []
+    for n in steps:
+        model = lda_fit(corpus, k, n, seed)
+        rows.append((n, float(model.logLikelihood(corpus)), float(model.logPerplexity(corpus))))
+    return corpus.sparkSession.createDataFrame(rows, "iterations int, log_likelihood double, log_perplexity double")

@@ -17,6 +17,7 @@ from ..functions import analyze as A
 from ..functions import porter
 from ..functions.scoring import idf_col, norm_col
 from ..operators import index as I
+from ..operators import ordinals
 from ..operators import query as Q
 from ..sources import tables as T
 from ..session import small
@@ -50,21 +51,22 @@ def register(name: str, sql: str | Callable[[], str] | None = None):
 
 @register("tokenize", sql=(
     f"SELECT doc_id, CAST(generate_subscripts(_t, 1) - 1 AS INT) AS pos, unnest(_t) AS token, "
-    f"lower(unnest(_t)) AS token_lc FROM (SELECT doc_id, regexp_extract_all({T.TITLE_SQL}, '{O.TOK}') AS _t "
+    f"lower(unnest(_t)) AS token_lc FROM (SELECT doc_id, regexp_extract_all(text, '{O.TOK}') AS _t "
     f"FROM documents) _x"))
 def q_tokenize(spark, sf):
-    d = T.records(spark, sf)
-    t = A.explode_tokens(d, "title", ["doc_id"])
+    """Every token of every whole text with its place."""
+    t = A.explode_tokens(T.table(spark, sf, "documents"), "text", ["doc_id"])
     return t.select("doc_id", F.col("pos").cast("int").alias("pos"), F.col("tok").alias("token"),
                     F.lower("tok").alias("token_lc"))
 
 
 @register("porter_stem", sql=porter.stem_sql(
-    f"SELECT DISTINCT lower(unnest(regexp_extract_all({T.TITLE_SQL}, '{O.TOK}'))) AS word FROM documents",
+    f"SELECT DISTINCT lower(unnest(regexp_extract_all(text, '{O.TOK}'))) AS word FROM documents",
     "word", "stem"))
 def q_porter_stem(spark, sf):
-    d = T.records(spark, sf)
-    words = A.explode_tokens(d, "title", []).select(F.lower("tok").alias("word")).distinct()
+    """Stem of every distinct word of the whole texts."""
+    d = T.table(spark, sf, "documents")
+    words = A.explode_tokens(d, "text", []).select(F.lower("tok").alias("word")).distinct()
     return porter.stem_df(words, "word", "stem")
 
 
@@ -375,10 +377,10 @@ def q_multi_value_join(spark, sf):
     f"(SELECT *, row_number() OVER (ORDER BY doc_id) AS n FROM ({T.RECORDS_SQL}) r0 SEMI JOIN pool USING (doc_id)) r "
     f"LEFT JOIN ({_AUTH_SQL}) a USING (doc_id)"))
 def q_pool_listing(spark, sf):
-    """Human-readable listing of the (bounded) pool; the ordinal is a window
-    over the pool only, never over the corpus."""
-    rec = T.records(spark, sf).join(_pool(spark, sf), "doc_id", "left_semi")
-    rec = rec.withColumn("n", F.row_number().over(Window.orderBy("doc_id")))
+    """Human-readable listing of the pool; ordinals come from a range
+    partitioning and the counts of its pieces."""
+    pool = ordinals.placed(_pool(spark, sf), ["doc_id"], out="n").withColumn("n", F.col("n") + 1)
+    rec = T.records(spark, sf).join(small(pool), "doc_id")
     rec = rec.join(_authors_joined(spark, sf), "doc_id", "left")
     nl = F.lit("\n")
     line = F.concat(F.col("n").cast("string"), F.lit(") "), F.col("doc_id").cast("string"), nl, F.lit(" title: "),
@@ -411,11 +413,12 @@ _FMT_SQL = (
 
 @register("format_results", sql=_FMT_SQL)
 def q_format_results(spark, sf):
-    """Late fetch of stored fields for the top 10 only (the hits are joined
-    after the limit), trailing dot removed, authors joined, link built."""
-    top = S.search(I.open_index(spark, sf), QS.keyword(spark, sf), 10)
-    rec = T.records(spark, sf).join(small(top.select("doc_id").distinct()), "doc_id", "left_semi")
-    j = top.join(rec, "doc_id").join(_authors_joined(spark, sf), "doc_id", "left")
+    """Late fetch of stored fields for the top 10 only: the hits look their
+    documents up in the id buckets of the stored fields, trailing dot removed,
+    authors joined, link built."""
+    ix = I.open_index(spark, sf)
+    top, _ = S.materialize(S.search(ix, QS.keyword(spark, sf), 10))
+    j = I.fetch(ix, top.filter("rank <= 10"), lambda: T.records(spark, sf).join(_authors_joined(spark, sf), "doc_id", "left"))
     return j.select("qid", "rank", F.round("score", 2).alias("score"), F.col("doc_id").cast("string").alias("key"),
                     F.regexp_replace("title", r"\.$", "").alias("title"), F.coalesce("authors", F.lit("")).alias("authors"),
                     "year", "venue", F.concat(F.lit(LINK_PREFIX), F.col("doc_id").cast("string")).alias("link"))
@@ -495,7 +498,6 @@ def q_lda_corpus_stats(spark, sf):
 
 def _lda(spark, sf, k=10, max_iter=100):
     corpus, vocab, _ = SIM.lda_corpus(spark, sf)
-    corpus, _ = S.materialize(corpus)
     return SIM.lda_fit(corpus, k=k, max_iter=max_iter, seed=0), corpus, vocab
 
 
@@ -521,6 +523,19 @@ def q_lda_similar_groups(spark, sf):
     return SIM.cosine_requests(td, reqs, ["venue", "year"], "i", "x", k=5)
 
 
+@register("group_lookup", sql=(
+    f"WITH b AS ({_BOW_SQL}), g AS (SELECT venue, year, count(*) AS n_terms FROM b GROUP BY venue, year), "
+    "r AS (SELECT DISTINCT source AS venue, unnest(['en', 'de', 'xx']) AS year FROM documents WHERE source IS NOT NULL) "
+    "SELECT r.venue, r.year, g.venue IS NOT NULL AS found, g.n_terms FROM r LEFT JOIN g USING (venue, year)"))
+def q_group_lookup(spark, sf):
+    """Requested (venue, year) groups and whether the data has them: an unknown
+    group is one row that says so."""
+    groups = SIM.bow(spark, sf).groupBy("venue", "year").agg(F.count(F.lit(1)).alias("n_terms"))
+    venues = T.records(spark, sf).filter("venue IS NOT NULL").select("venue").distinct()
+    asked = venues.select("venue", F.explode(F.array(*[F.lit(y) for y in ("en", "de", "xx")])).alias("year"))
+    return SIM.looked_up(asked, groups, ["venue", "year"])
+
+
 # ---------------------------------------------------------------- topics
 
 from ..operators import topics as TP  # noqa: E402
@@ -599,18 +614,18 @@ def q_composite_key_split(spark, sf):
 
 
 @register("catch_all_field", sql=(
-    f"SELECT d.doc_id, len(regexp_extract_all(concat_ws(' ', {T.TITLE_SQL}, a.authors, d.lang, d.source), '{O.TOK}')) "
+    f"SELECT d.doc_id, len(regexp_extract_all(concat_ws(' ', d.text, a.authors, d.lang, d.source), '{O.TOK}')) "
     f"AS n_tokens FROM documents d LEFT JOIN (SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS authors "
     f"FROM conversations GROUP BY conv_id) a ON a.conv_id = d.doc_id"))
 def q_catch_all_field(spark, sf):
-    """Catch-all text of a record (title, authors, year, venue in record
-    order), counted in tokens."""
+    """Catch-all text of a record (the whole text with its title, authors,
+    year, venue in record order), counted in tokens."""
     d = T.table(spark, sf, "documents")
     a = T.authors(spark, sf).groupBy("doc_id").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("turn", "author"))), lambda s: s["author"]),
                      " ").alias("authors"))
     j = d.join(a, "doc_id", "left")
-    allf = F.concat_ws(" ", T.title_col(), F.col("authors"), F.col("lang"), F.col("source"))
+    allf = F.concat_ws(" ", F.col("text"), F.col("authors"), F.col("lang"), F.col("source"))
     return j.select("doc_id", F.size(A.tokenize(allf)).alias("n_tokens"))
 
 
@@ -680,14 +695,18 @@ def q_query_phrases(spark, sf):
 
 @register("query_rewrite", sql=(
     "SELECT qid, shape, array_to_string(list_transform(string_split(replace(q, 'authors', 'author'), '\"'), "
-    "lambda x, i: CASE WHEN i % 2 = 0 THEN replace(x, ' ', '.') ELSE x END), '') AS rewritten "
+    "lambda x, i: CASE WHEN i % 2 = 0 AND i < len(string_split(q, '\"')) THEN replace(x, ' ', '.') WHEN i % 2 = 0 THEN '\"' || x ELSE x END), '') AS rewritten "
     f"FROM ({_TOPIC_SQL}) t"))
 def q_query_rewrite(spark, sf):
     """Rewrite for a remote dialect: ``authors`` -> ``author``, each quoted
-    phrase becomes its words joined by dots, quotes dropped."""
+    phrase becomes its words joined by dots, quotes dropped. Text after an
+    unclosed quote stays as it is."""
     t = _topic_strings(spark, sf)
     parts = F.split(F.replace("q", F.lit("authors"), F.lit("author")), '"', -1)
-    rw = F.transform(parts, lambda x, i: F.when(i % 2 == 1, F.replace(x, F.lit(" "), F.lit("."))).otherwise(x))
+    closed = F.replace("q", F.lit("authors"), F.lit("author"))
+    n = F.size(F.split(closed, '"', -1))
+    rw = F.transform(parts, lambda x, i: F.when((i % 2 == 1) & (i + 1 < n), F.replace(x, F.lit(" "), F.lit(".")))
+                     .when(i % 2 == 1, F.concat(F.lit('"'), x)).otherwise(x))
     return t.select("qid", "shape", F.array_join(rw, "").alias("rewritten"))
 
 
@@ -711,6 +730,27 @@ def q_query_fields(spark, sf):
     return t.select("qid", "shape", F.lit("_text").alias("field"), free.alias("value")).unionByName(last)
 
 
+_FIELDS_SQL = SQL["query_fields"]
+_TOPIC_UNITS = (f"SELECT qid, 0 AS u, 'content' AS field, trim(value) AS text FROM (SELECT qid * 4 + shape AS qid, field, value FROM ({_FIELDS_SQL}) a) b "
+                "WHERE field = '_text' AND trim(value) <> '' UNION ALL SELECT qid * 4 + shape AS qid, row_number() OVER (PARTITION BY qid, shape "
+                f"ORDER BY field) AS u, field, value AS text FROM ({_FIELDS_SQL}) c WHERE field <> '_text' AND trim(value) <> ''")
+_SHAPES = "(SELECT unnest(range(4)) AS s)"
+_TOPIC_CURVE = (_curve_ctes().replace(_HITS, f"hits AS ({O.scored_sql(_TOPIC_UNITS)})")
+                .replace(f"qrels AS ({E.QRELS_SQL})", f"qrels AS (SELECT topic * 4 + s AS topic, doc_id FROM ({E.QRELS_SQL}) q0, {_SHAPES} s0)"))
+
+
+@register("eval_topics", sql=f"WITH {_TOPIC_CURVE}" + _METRICS_TAIL.replace("FROM benchmark b", f"FROM (SELECT item_id * 4 + s AS item_id FROM benchmark, {_SHAPES} s1) b"))
+def q_eval_topics(spark, sf):
+    """Metrics of query strings in the four shapes of the test topics (topic =
+    4 * passage + shape): each string is parsed, searched and judged."""
+    ix = I.open_index(spark, sf)
+    t = _topic_strings(spark, sf).select((F.col("qid") * 4 + F.col("shape")).alias("qid"), "q")
+    queries, _ = S.materialize(Q.parse(t))
+    shapes = F.explode(F.sequence(F.lit(0), F.lit(3))).alias("shape")
+    qrels = E.qrels_containment(spark, sf, ix).select("topic", "doc_id", shapes).select((F.col("topic") * 4 + F.col("shape")).alias("topic"), "doc_id")
+    return E.metrics(S.score(ix, queries), qrels, t.select(F.col("qid").alias("topic")), k=10)
+
+
 # ---------------------------------------------------------------- multi-term operators
 
 from ..operators import dictionary as D  # noqa: E402

@@ -68,13 +68,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder for a table of one job under the shared folder."""
+    import uuid
+
+    return f"{shared_dir(spark)}/ferret/tmp-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> tuple[DataFrame, int]:
     """Cut lineage: write ``df`` once as parquet under the shared checkpoint
     folder (survives executor loss, one job), read it back, return it with
     its row count."""
-    import uuid
-
-    path = f"{shared_dir(df.sparkSession)}/ferret/tmp-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession)
     df.write.mode("overwrite").parquet(path)
     out = df.sparkSession.read.parquet(path)
     return out, out.count()
