@@ -150,3 +150,9 @@ def lda_steps(corpus: DataFrame, k: int = 10, steps: tuple[int, ...] = (1, 10, 1
         model = lda_fit(corpus, k, n, seed)
         rows.append((n, float(model.logLikelihood(corpus)), float(model.logPerplexity(corpus))))
     return corpus.sparkSession.createDataFrame(rows, "iterations int, log_likelihood double, log_perplexity double")
+
+
+def topic_words(model, vocab: DataFrame, n: int = 8) -> DataFrame:
+    """``topic, rank, term``: the ``n`` first words of every topic."""
+    t = model.describeTopics(n).select("topic", F.posexplode("termIndices").alias("rank", "idx"))
+    return t.join(small(vocab), "idx").select("topic", (F.col("rank") + 1).alias("rank"), "term")

@@ -1,9 +1,10 @@
 """Popular topics: noun-phrase chunks of titles, counted per year facet.
 
-Tagging is a lexicon lookup plus suffix rules (no trained tagger). The
-chunk grammar ``JJ* (NN|NNS)* NN (NN|NNS)*`` (``CHUNK_RE`` over the
-``word/TAG`` string, as the oracle runs it) is evaluated as pieces of the
-tag sequence, see :func:`noun_phrases`.
+Tagging is a lexicon lookup plus suffix rules (no trained tagger); a caller's
+lexicon is a table. A tag is one character (``TAGS``), a title's tags are one
+string, and the chunk grammar is a regular expression over it: an argument of
+:func:`noun_phrases`. The default is ``JJ* (NN|NNS)* NN (NN|NNS)*`` (``CHUNK_RE``
+says it over the ``word/TAG`` string, as the oracle runs it).
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import small
+from ..session import MAX_BROADCAST_ROWS, materialize, small
+from .ordinals import placed
 
 # Word tokens (inner hyphen, apostrophe or dot kept) or single punctuation marks.
 TAG_TOKEN_RE = r"[\p{L}\p{N}]+(?:[-'.][\p{L}\p{N}]+)*|[^\s\p{L}\p{N}]"
@@ -43,14 +45,25 @@ SUFFIX_RULES = [
     (r"[^s]s$", "NNS"),
 ]
 
+# One character a tag; grammars are written with them.
+TAGS = {"JJ": "J", "NN": "N", "NNS": "S", "DT": "D", "IN": "I", "CC": "C", "PRP": "P", "MD": "M", "VB": "V", "VBG": "G",
+        "VBD": "E", "WRB": "W", "RB": "R", "CD": "9", "O": "O"}
+GRAMMAR = "J*[NS]*N[NS]*"
+
 
 def tag(w: Column) -> Column:
     """Tag of one (lowercased) token."""
     t = None
     for tg, words in LEXICON.items():
         t = F.when(w.isin(words), F.lit(tg)) if t is None else t.when(w.isin(words), F.lit(tg))
+    return by_suffix(w, t)
+
+
+def by_suffix(w: Column, known: Column | None = None) -> Column:
+    """Tag by the suffix rules where ``known`` (a chain of ``when``) has none."""
+    t = known
     for rx, tg in SUFFIX_RULES:
-        t = t.when(w.rlike(rx), F.lit(tg))
+        t = F.when(w.rlike(rx), F.lit(tg)) if t is None else t.when(w.rlike(rx), F.lit(tg))
     return t.otherwise(F.lit("NN"))
 
 
@@ -64,52 +77,76 @@ def tag_sql(w: str) -> str:
     return "CASE " + " ".join(parts) + " ELSE 'NN' END"
 
 
-def noun_phrases(titles: DataFrame, keep: list[str], key: str = "doc_id") -> DataFrame:
-    """``keep + [idx, phrase, n_words]``: every chunk of every title.
+def _letter(tag_: Column) -> Column:
+    """The character of a tag (unknown tags: ``O``)."""
+    t = None
+    for name, c in TAGS.items():
+        t = F.when(tag_ == name, F.lit(c)) if t is None else t.when(tag_ == name, F.lit(c))
+    return t.otherwise(F.lit("O"))
+
+
+def tagged_words(words: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """Distinct ``w`` with ``tag``: that of ``lexicon`` (``word, tag``; of a word
+    that is in it twice the first by name), suffix rules for the rest."""
+    lex = lexicon.groupBy(F.lower("word").alias("w")).agg(F.min("tag").alias("_known"))
+    x = words.select("w").distinct().join(lex, "w", "left")
+    return x.select("w", F.coalesce("_known", by_suffix(F.col("w"))).alias("tag"))
+
+
+def noun_phrases(titles: DataFrame, keep: list[str], key: str = "doc_id", grammar: str = GRAMMAR, lexicon: DataFrame | None = None) -> DataFrame:
+    """``keep + [idx, phrase, n_words]``: every chunk of every title, the
+    leftmost matches of ``grammar`` in the title's tags.
 
-    The grammar's leftmost-greedy matches are exactly the pieces of a title
-    that start at a word class change (after punctuation / other tags, or a
-    JJ after a noun) and hold at least one singular noun; they are computed
-    with a window over the title's tokens (rows of one title share a
-    partition), which keeps deep regex backtracking out of the task."""
+    With the fixed lexicon everything happens in the row, and no token is
+    exchanged. With a caller's ``lexicon`` (``word, tag``) the distinct tokens are
+    tagged once, and the tags come back to their titles by ``key``."""
     toks = F.regexp_extract_all(F.lower(F.col("title")), F.lit(TAG_TOKEN_RE), 0)
-    t = titles.select(*keep, F.posexplode(toks).alias("pos", "w"))
-    tg = tag(F.col("w"))
-    t = t.withColumn("cls", F.when(tg == "JJ", "J").when(tg == "NN", "N").when(tg == "NNS", "S").otherwise("O"))
-    w = Window.partitionBy(key).orderBy("pos")
-    prev = F.lag("cls").over(w)
-    start = (F.col("cls") != "O") & (prev.isNull() | (prev == "O") | ((F.col("cls") == "J") & prev.isin("N", "S")))
-    t = t.withColumn("_st", start.cast("int"))
-    t = t.withColumn("piece", F.sum("_st").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    g = (t.filter(F.col("cls") != "O").groupBy(*keep, "piece")
-         .agg(F.sort_array(F.collect_list(F.struct("pos", "w"))).alias("_ws"),
-              F.max((F.col("cls") == "N").cast("int")).alias("_has_n")))
-    g = g.filter(F.col("_has_n") == 1)
-    g = g.withColumn("idx", F.row_number().over(Window.partitionBy(key).orderBy("piece")) - 1)
-    phrase = F.array_join(F.transform("_ws", lambda s: s["w"]), " ")
-    return g.select(*keep, "idx", phrase.alias("phrase"), F.size("_ws").alias("n_words"))
+    if lexicon is None:
+        x = titles.select(*keep, toks.alias("_ws"))
+        x = x.withColumn("_tags", F.array_join(F.transform("_ws", lambda w: _letter(tag(w))), ""))
+    else:
+        t = titles.select(*keep, F.posexplode(toks).alias("pos", "w"))
+        tags, n = materialize(tagged_words(t, lexicon))
+        t = t.join(F.broadcast(tags) if n <= MAX_BROADCAST_ROWS else tags, "w")
+        g = t.groupBy(*dict.fromkeys([*keep, key])).agg(F.sort_array(F.collect_list(F.struct("pos", "w", _letter(F.col("tag")).alias("c")))).alias("_t"))
+        x = g.select(*keep, F.transform("_t", lambda e: e["w"]).alias("_ws"), F.array_join(F.transform("_t", lambda e: e["c"]), "").alias("_tags"))
+    # matches are put in brackets, and a fold over the bracketed parts gives their places
+    parts = F.split(F.regexp_replace("_tags", f"((?:{grammar}))", "<$1>"), "<")
+
+    def step(acc, p):
+        inside = F.instr(p, ">") - 1  # length of the match, -1 for text before the first
+        chunk = F.struct(acc["at"].alias("at"), inside.alias("n"))
+        return F.struct((acc["at"] + F.length(p) - F.when(inside >= 0, 1).otherwise(0)).alias("at"),
+                        F.when(inside > 0, F.concat(acc["out"], F.array(chunk))).otherwise(acc["out"]).alias("out"))
+
+    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<at:int,n:int>>").alias("out"))
+    chunks = F.aggregate(parts, none, step, lambda acc: acc["out"])
+    x = x.select(*keep, "_ws", F.posexplode(chunks).alias("idx", "_c"))
+    return x.select(*keep, "idx", F.array_join(F.slice("_ws", F.col("_c.at") + 1, F.col("_c.n")), " ").alias("phrase"), F.col("_c.n").alias("n_words"))
 
 
 def popular(np_: DataFrame, facet: str = "year", top_k: int = 10) -> DataFrame:
     """Top-k phrases per facet value: unigrams skip their most frequent 1
     percent, the best k of each length 1 / 2 / 3 merge, longer chunks are
-    counted but not reported. Ties by phrase."""
-    from ..session import materialize
-
-    # phrase counts are written once (the bound below and the ranking both
-    # read them; the chunking pipeline runs a single time)
-    c, _ = materialize(np_.groupBy(facet, "phrase", "n_words").agg(F.count(F.lit(1)).alias("cnt")))
-    uni = c.filter(F.col("n_words") == 1).groupBy(facet).agg(
-        F.floor(F.count(F.lit(1)) * 0.01).cast("long").alias("top1p"))
-    c = c.filter(F.col("n_words") <= 3).join(small(uni), facet, "left").fillna(0, ["top1p"])
-    w = Window.partitionBy(facet, "n_words").orderBy(F.col("cnt").desc(), F.col("phrase").asc())
-    # a constant bound first lets Spark cut each facet's list to its top
-    # rows per partition before the exchange (group limit), so a hot facet
-    # never ships all its phrases to one task
-    bound = (uni.agg(F.max("top1p")).first()[0] or 0) + top_k
-    c = c.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= F.lit(bound))
-    lo = F.when(F.col("n_words") == 1, F.col("top1p")).otherwise(F.lit(0))
-    c = c.filter((F.col("_r") > lo) & (F.col("_r") <= lo + top_k))
+    counted but not reported. Ties by phrase.
+
+    The cut comes from a histogram of counts (a row per facet, length and
+    distinct count): only phrases whose count lies at the cut are placed in
+    order, by a range partitioning, so no facet's list is ranked in one task."""
+    # phrase counts are written once; the histogram and the ranking read them
+    key = F.concat_ws("\u0001", F.coalesce(F.concat(F.lit("="), F.col(facet).cast("string")), F.lit("")), F.col("n_words").cast("string"))
+    c = np_.groupBy(facet, "phrase", "n_words").agg(F.count(F.lit(1)).alias("cnt")).filter(F.col("n_words") <= 3)
+    c, _ = materialize(c.withColumn("_key", key).withColumn("_less", -F.col("cnt")))
+    hist = c.groupBy("_key", "n_words", "cnt").agg(F.count(F.lit(1)).alias("_n"))
+    group = Window.partitionBy("_key")  # a row per distinct count: their sum is bounded by the titles
+    above = F.coalesce(F.sum("_n").over(group.orderBy(F.col("cnt").desc()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    hist = hist.withColumn("_above", above).withColumn(
+        "_lo", F.when(F.col("n_words") == 1, F.floor(F.sum("_n").over(group) * 0.01)).otherwise(0).cast("long"))
+    levels = hist.filter((F.col("_above") < F.col("_lo") + top_k) & (F.col("_above") + F.col("_n") > F.col("_lo")))
+    levels, _ = materialize(levels.select("_key", "cnt", "_lo", F.min("_above").over(group).alias("_base")))
+    x = placed(c.join(small(levels), ["_key", "cnt"]), ["_less", "phrase"], "_key")
+    rank = F.col("_base") + F.col("ord") + 1
+    x = x.filter((rank > F.col("_lo")) & (rank <= F.col("_lo") + top_k))  # top_k rows per facet and length
     w2 = Window.partitionBy(facet).orderBy(F.col("cnt").desc(), F.col("phrase").asc())
-    c = c.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= top_k)
-    return c.select(facet, "phrase", "cnt", "rank")
+    x = x.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= top_k)
+    return x.select(facet, "phrase", "cnt", "rank")

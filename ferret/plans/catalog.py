@@ -505,8 +505,14 @@ def _lda(spark, sf, k=10, max_iter=100):
 def q_lda_topic_words(spark, sf):
     """Top 8 words per topic (rows-only check: LDA is iterative)."""
     model, _, vocab = _lda(spark, sf)
-    t = model.describeTopics(8).select("topic", F.posexplode("termIndices").alias("rank", "idx"))
-    return t.join(small(vocab), "idx").select("topic", (F.col("rank") + 1).alias("rank"), "term")
+    return SIM.topic_words(model, vocab, 8)
+
+
+@register("lda_likelihood")
+def q_lda_likelihood(spark, sf):
+    """Likelihood bound and perplexity after 1, 10 and 100 iterations."""
+    corpus, _, _ = SIM.lda_corpus(spark, sf)
+    return SIM.lda_steps(corpus, steps=(1, 10, 100))
 
 
 @register("lda_similar_groups")

@@ -1,11 +1,13 @@
 """Writers: judgments and templates as TSV, listings and key lists as text,
-metric reports as JSON, fitted models with Spark ML persistence."""
+metric reports as JSON, fitted topic models with their vocabulary and groups."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import path_exists
+
 
 def write_qrels(qrels: DataFrame, path: str, by_topic: bool = True) -> None:
     """``topic, iteration, document, relevancy`` tab separated, one folder per
@@ -24,11 +26,20 @@ def write_report(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
-def save_model(model, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_topics(path: str, model, vocab: DataFrame, groups: DataFrame) -> None:
+    """One folder with the topic ``model``, its vocabulary (``term, idx``) and
+    the names of the groups it was fitted on. ``_done`` is written last: a folder
+    without it is no bundle."""
+    model.write().overwrite().save(f"{path}/model")
+    vocab.write.mode("overwrite").parquet(f"{path}/vocabulary")
+    groups.write.mode("overwrite").parquet(f"{path}/groups")
+    vocab.limit(0).write.mode("overwrite").parquet(f"{path}/_done")
 
 
-def load_lda(path: str):
+def load_topics(spark: SparkSession, path: str):
+    """``model, vocabulary, groups`` of :func:`save_topics`."""
     from pyspark.ml.clustering import LocalLDAModel
 
-    return LocalLDAModel.load(path)
+    if not path_exists(spark, f"{path}/_done"):
+        raise FileNotFoundError(f"no complete topic model in {path}")
+    return LocalLDAModel.load(f"{path}/model"), spark.read.parquet(f"{path}/vocabulary"), spark.read.parquet(f"{path}/groups")
