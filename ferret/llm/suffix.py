@@ -26,7 +26,8 @@ A task drops repeats among its own tuples before the shuffle, so a passage or
 text with a third of all copies leaves one tuple per task and name. Cores
 with more than ``GROUP`` different surroundings are not induced in one task:
 their strings are grouped by a 128-bit hash with partial aggregation instead,
-with the same result. Names are 64-bit hashes, compared together (128 bits).
+with the same result. Names are 64-bit hashes; a removal rests on equal (core,
+whole) pairs, which for strings around one core are the 64 bits of ``whole``.
 
 Defined results: null and empty texts have 0 bytes; texts shorter than
 ``WIDTH`` keep all; null doc_ids come first; rows with equal doc_ids are
@@ -54,6 +55,7 @@ PLACES = WIDTH - CORE + 1  # places of a core within a string
 PIECE = 1 << 18
 FLUSH = 400_000  # tuples that a task holds
 GROUP = 20_000
+SHARE = 16  # of the texts, one in so many tells cores of more than GROUP surroundings
 BUCKET = 40_000  # tuples that are induced in one task
 _INDEX = np.uint64((1 << 24) - 1)
 
@@ -240,13 +242,27 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def spans(texts: DataFrame) -> DataFrame:
     """``rid, spans`` (maximal removed ``a`` to ``b``, ascending) of the rows
     ``rid, text`` that lose bytes."""
-    t = texts.mapInArrow(_tuples, "again boolean, core long, whole long, rid long, pack long")
-    t = t.withColumn("key", F.when(F.col("again"), F.col("rid")).otherwise(F.col("core")))
+    kind = "again boolean, core long, whole long, rid long, pack long"
+    t = texts.mapInArrow(_tuples, kind)
+    # a core with very many surroundings is no one task: its names are dealt by
+    # themselves, and it counts as mixed. Which cores those are a share of the
+    # texts tells; one that it misses is slower, with the same result.
+    some = texts.filter(F.pmod(F.xxhash64("rid"), F.lit(SHARE)) == 0).mapInArrow(_tuples, kind).filter("NOT again")
+    wide = some.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > GROUP // SHARE).select("core")
+    wide = stored(wide, "sa-wide")
+    key, same, order = F.col("core"), F.lag("whole"), ["whole", "rid", "pack"]
+    found, name = bool(wide.head(1)), F.col("whole")
+    if found:
+        t = t.join(small(wide.withColumn("wide", F.lit(True))), "core", "left")
+        key, name, order = F.when(F.col("wide"), F.xxhash64("core", "whole")).otherwise(key), F.struct("core", "whole"), ["core", *order]
+        same = F.lag(name)
+    t = t.withColumn("key", F.when(F.col("again"), F.col("rid")).otherwise(key))
     by = Window.partitionBy("again", "key")
-    first = by.orderBy("whole", "rid", "pack")
+    first = by.orderBy(*order)
     over = first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    t = t.select("again", "core", "rid", "pack", (F.lag("whole").over(first) == F.col("whole")).alias("same"),
-                 (F.first("whole").over(over) != F.last("whole").over(over)).alias("mixed"))
+    mixed = F.first("whole").over(over) != F.last("whole").over(over)
+    t = t.select("again", "core", "rid", "pack", (same.over(first) == name).alias("same"),
+                 (F.coalesce("wide", F.lit(False)) | mixed if found else mixed).alias("mixed"))
     repeat = F.col("again") | F.coalesce("same", F.lit(False))
     t = stored(t.select("core", "rid", "pack", repeat.alias("repeat"), "mixed").filter("repeat OR mixed"), "sa-names")
     place, lo, hi = F.shiftright("pack", 14), F.shiftright("pack", 7).bitwiseAND(127), F.col("pack").bitwiseAND(127)

@@ -74,6 +74,19 @@ def test_long_text_in_pieces(monkeypatch, piece):
     assert len({s for s, _ in got}) == len(raw) - suffix.WIDTH + 1
 
 
+def test_one_core_in_a_third_of_all_rows(spark, monkeypatch):
+    """A phrase in many texts of unlike surroundings, some of which repeat."""
+    monkeypatch.setattr(suffix, "GROUP", 40)
+    monkeypatch.setattr(suffix, "SHARE", 2)
+    rng = random.Random(11)
+    phrase = "the very same sixty bytes of text that stand in so many texts"
+    words = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    rows = [(k, f"{words(20)} {phrase} {words(20)}" if k % 3 == 0 else words(30)) for k in range(450)]
+    rows += [(1000 + k, "x" + rows[3 * k][1] + "y") for k in range(0, 40, 3)]
+    rng.shuffle(rows)
+    assert run(spark, rows) == brute(rows)
+
+
 def test_repeated_ids_and_empty(spark):
     t = "0123456789" * 10 + "xyz"
     rows = [(1, t), (1, t), (None, t), (1, t + "more"), (2, "q" * 50)]
