@@ -12,7 +12,9 @@ import functools
 import glob
 import os
 import zipfile
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,22 +37,41 @@ ENGLISH_STOP_WORDS = [
 
 @dataclass(frozen=True)
 class Analyzer:
-    """One configurable chain: tokenize -> [lowercase] -> [stem] -> [stop]."""
+    """One configurable chain: tokenize -> [lowercase] -> filters -> [stem] ->
+    [stop]. A filter is a name (it is part of a stored index's key) and a
+    function of the token column; a token that it makes null goes."""
 
     lowercase: bool = True
     stemming: bool = False
     stopwords: bool = True
     stop_list: tuple[str, ...] = tuple(ENGLISH_STOP_WORDS)
+    filters: tuple[tuple[str, Callable[[Column], Column]], ...] = ()
+
+    def cased(self, tok: Column) -> Column:
+        """The token before stemming and the stop list."""
+        return reduce(lambda c, f: f[1](c), self.filters, F.lower(tok) if self.lowercase else tok)
 
     @property
     def key(self) -> str:
         return f"lc{int(self.lowercase)}st{int(self.stemming)}sw{int(self.stopwords)}" + (
-            f"-{'|'.join(self.stop_list)}" if self.stopwords else "")
+            f"-{'|'.join(self.stop_list)}" if self.stopwords else "") + "".join(f"+{name}" for name, _ in self.filters)
 
 
 STANDARD = Analyzer(lowercase=True, stemming=False, stopwords=True)
 DEFAULT_TITLE = Analyzer(lowercase=True, stemming=True, stopwords=True)
 
+# an analyzer of the title, or one per field (fields that are not named: STANDARD)
+Analyzers = Analyzer | Mapping[str, Analyzer]
+
+
+def by_field(an: Analyzers) -> dict[str, Analyzer]:
+    return {"title": an} if isinstance(an, Analyzer) else dict(an)
+
+
+def key_of(an: Analyzers) -> str:
+    return an.key if isinstance(an, Analyzer) else ";".join(f"{f}={a.key}" for f, a in sorted(an.items()))
+
+
 # the 8 combinations of the vocabulary experiment, in the order of the grid
 CONFIG_GRID = [Analyzer(lc, st, sw) for lc in (False, True) for st in (False, True) for sw in (False, True)]
 
@@ -67,7 +88,9 @@ def explode_tokens(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
 
 def analyze_tokens(df: DataFrame, an: Analyzer, tok_col: str = "tok", out_col: str = "term") -> DataFrame:
     """Apply lowercase / stem / stop to exploded tokens (stop after stem)."""
-    cur = df.withColumn(out_col, F.lower(F.col(tok_col)) if an.lowercase else F.col(tok_col))
+    cur = df.withColumn(out_col, an.cased(F.col(tok_col)))
+    if an.filters:
+        cur = cur.filter(F.col(out_col).isNotNull())
     if an.stemming:
         cur = porter.stem_df(cur, out_col, out_col)
     if an.stopwords:
@@ -75,33 +98,35 @@ def analyze_tokens(df: DataFrame, an: Analyzer, tok_col: str = "tok", out_col: s
     return cur
 
 
-def analyze_by_field(tok: DataFrame, title_an: Analyzer, untokenized: tuple[str, ...] = ("year",),
+def analyze_by_field(tok: DataFrame, an: Analyzers, untokenized: tuple[str, ...] = ("year",),
                      tok_col: str = "tok", out_col: str = "term", stem_all: bool = False) -> DataFrame:
     """Per-field analyzer dispatch on token rows with a ``field`` column:
-    ``title`` uses ``title_an``, fields in ``untokenized`` keep the raw value,
-    every other field the standard chain (lowercase + stop words)."""
-    std = STANDARD
-    is_title = F.col("field") == "title"
+    fields of ``an`` (one analyzer: the title's) use theirs, fields in
+    ``untokenized`` keep the raw value, every other field the standard chain
+    (lowercase + stop words)."""
+    own = by_field(an)
     is_raw = F.col("field").isin(list(untokenized)) if untokenized else F.lit(False)
-    raw = F.col(tok_col)
-    term = (F.when(is_raw, raw)
-            .when(is_title, F.lower(raw) if title_an.lowercase else raw)
-            .otherwise(F.lower(raw) if std.lowercase else raw))
-    cur = tok.withColumn(out_col, term)
-    if title_an.stemming and stem_all:
-        # small inputs (query text): stem every token, keep it for title rows
-        cur = porter.stem_df(cur, out_col, "_stem_out")
-        cur = cur.withColumn(out_col, F.when(is_title, F.col("_stem_out")).otherwise(F.col(out_col))).drop("_stem_out")
-    elif title_an.stemming:
-        # the Porter chain only sees title tokens; other rows pass NULL through
-        # (``field`` must be a real column here, not a constant)
-        cur = cur.withColumn("_stem_in", F.when(is_title, F.col(out_col)))
+
+    def each(f):
+        chosen = f(STANDARD)
+        for name, a in own.items():
+            chosen = F.when(F.col("field") == name, f(a)).otherwise(chosen)
+        return chosen
+
+    cur = tok.withColumn(out_col, F.when(is_raw, F.col(tok_col)).otherwise(each(lambda a: a.cased(F.col(tok_col)))))
+    if any(a.filters for a in own.values()):
+        cur = cur.filter(F.col(out_col).isNotNull())
+    stemmed = [name for name, a in own.items() if a.stemming and name not in untokenized]
+    if stemmed:
+        # the Porter chain only sees tokens of stemmed fields; other rows pass
+        # NULL through (``field`` must be a real column here, not a constant).
+        # Small inputs (query text) stem every token.
+        here = F.col("field").isin(stemmed)
+        cur = cur.withColumn("_stem_in", F.col(out_col) if stem_all else F.when(here, F.col(out_col)))
         cur = porter.stem_df(cur, "_stem_in", "_stem_out")
-        cur = cur.withColumn(out_col, F.coalesce(F.col("_stem_out"), F.col(out_col))).drop("_stem_in", "_stem_out")
-    title_keep = ~F.col(out_col).isin(list(title_an.stop_list)) if title_an.stopwords else F.lit(True)
-    std_keep = ~F.col(out_col).isin(list(std.stop_list)) if std.stopwords else F.lit(True)
-    keep = F.when(is_raw, F.lit(True)).when(is_title, title_keep).otherwise(std_keep)
-    return cur.filter(keep)
+        cur = cur.withColumn(out_col, F.when(here, F.col("_stem_out")).otherwise(F.col(out_col))).drop("_stem_in", "_stem_out")
+    keep = each(lambda a: ~F.col(out_col).isin(list(a.stop_list)) if a.stopwords else F.lit(True))
+    return cur.filter(F.when(is_raw, F.lit(True)).otherwise(keep))
 
 
 def tokens_sql(src: str, text_col: str, keep: str) -> str:

@@ -95,33 +95,38 @@ def _by_doc(rows: DataFrame, partitions: int | None = None) -> DataFrame:
     return rows.repartition(partitions or parallelism(rows.sparkSession, rows), "doc_id")
 
 
-def _title_tokens(rec: DataFrame, title_an: A.Analyzer, partitions: int | None = None) -> DataFrame:
+def _title_tokens(rec: DataFrame, title_an: A.Analyzers, partitions: int | None = None) -> DataFrame:
     """Title tokens through the configurable chain (the only stemmed field).
     Titles are cut before their exchange, so this branch moves about one
     percent of the text."""
     d = _by_doc(rec.select("doc_id", "title"), partitions)
     t = d.select("doc_id", F.lit("title").alias("field"), F.posexplode(A.tokenize(F.col("title"))).alias("pos", "tok"))
-    return A.analyze_tokens(t, title_an).select("doc_id", "field", "pos", "term")
+    return A.analyze_tokens(t, A.by_field(title_an).get("title", A.STANDARD)).select("doc_id", "field", "pos", "term")
 
 
-def _other_tokens(d: DataFrame) -> DataFrame:
-    """Content, venue (standard chain) and the untokenized year."""
+def _without_title(an: A.Analyzers) -> dict[str, A.Analyzer]:
+    return {f: a for f, a in A.by_field(an).items() if f != "title"}
+
+
+def _other_tokens(d: DataFrame, an: A.Analyzers) -> DataFrame:
+    """Content, venue (standard chain unless ``an`` names theirs) and the
+    untokenized year."""
     fv = d.select("doc_id", F.explode(F.array(*[
         F.struct(F.lit(f).alias("field"), F.col(f).alias("v")) for f in ("content", "venue", "year")
     ])).alias("fv")).select("doc_id", "fv.field", "fv.v")
     toks = F.when(F.col("field") == "year", F.array(F.col("v"))).otherwise(A.tokenize(F.col("v")))
     tok = fv.filter(F.col("v").isNotNull()).select("doc_id", "field", F.posexplode(toks).alias("pos", "tok"))
-    return A.analyze_by_field(tok, A.STANDARD).select("doc_id", "field", "pos", "term")
+    return A.analyze_by_field(tok, _without_title(an)).select("doc_id", "field", "pos", "term")
 
 
-def _author_array_tokens(rec: DataFrame) -> DataFrame:
+def _author_array_tokens(rec: DataFrame, an: A.Analyzers) -> DataFrame:
     """Tokens of ``authors`` (array, in order); positions continue across values."""
     toks = F.flatten(F.transform("authors", A.tokenize))
     tok = rec.select("doc_id", F.lit("authors").alias("field"), F.posexplode(toks).alias("pos", "tok"))
-    return A.analyze_by_field(tok, A.STANDARD).select("doc_id", "field", "pos", "term")
+    return A.analyze_tokens(tok, A.by_field(an).get("authors", A.STANDARD)).select("doc_id", "field", "pos", "term")
 
 
-def postings_of_records(rec: DataFrame, title_an: A.Analyzer = A.DEFAULT_TITLE,
+def postings_of_records(rec: DataFrame, title_an: A.Analyzers = A.DEFAULT_TITLE,
                         partitions: int | None = None) -> DataFrame:
     """Postings of ``doc_id, title, content, venue, year`` and, where the table
     has it, ``authors`` (array<string>); ``doc_id`` of any type. Titles and
@@ -129,13 +134,13 @@ def postings_of_records(rec: DataFrame, title_an: A.Analyzer = A.DEFAULT_TITLE,
     branch shuffles only the titles), so the stemmer only sees titles; each
     branch groups without a further exchange."""
     post = _postings_from_tokens(_title_tokens(rec, title_an, partitions)).unionByName(
-        _postings_from_tokens(_other_tokens(_by_doc(rec.select("doc_id", "content", "venue", "year"), partitions))))
+        _postings_from_tokens(_other_tokens(_by_doc(rec.select("doc_id", "content", "venue", "year"), partitions), title_an)))
     if "authors" in rec.columns:
-        post = post.unionByName(_postings_from_tokens(_author_array_tokens(_by_doc(rec.select("doc_id", "authors"), partitions))))
+        post = post.unionByName(_postings_from_tokens(_author_array_tokens(_by_doc(rec.select("doc_id", "authors"), partitions), title_an)))
     return post
 
 
-def postings_of_documents(docs: DataFrame, title_an: A.Analyzer = A.DEFAULT_TITLE,
+def postings_of_documents(docs: DataFrame, title_an: A.Analyzers = A.DEFAULT_TITLE,
                           partitions: int | None = None) -> DataFrame:
     """Postings of any documents table (batch or a micro-batch)."""
     rec = docs.select("doc_id", tables.title_col().alias("title"), F.col("text").alias("content"),
@@ -143,7 +148,7 @@ def postings_of_documents(docs: DataFrame, title_an: A.Analyzer = A.DEFAULT_TITL
     return postings_of_records(rec, title_an, partitions)
 
 
-def index_records(rec: DataFrame, title_an: A.Analyzer = A.DEFAULT_TITLE) -> Index:
+def index_records(rec: DataFrame, title_an: A.Analyzers = A.DEFAULT_TITLE) -> Index:
     """Lazy index of records (``id, title, content, authors, year, venue``),
     as :func:`ferret.sources.xml.clean_records` gives them."""
     rec = rec.withColumnRenamed("id", "doc_id")
@@ -153,7 +158,7 @@ def index_records(rec: DataFrame, title_an: A.Analyzer = A.DEFAULT_TITLE) -> Ind
     return Index(post, term_stats(post), count, n)
 
 
-def author_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+def author_tokens(spark: SparkSession, sf_dir: str, an: A.Analyzers = A.DEFAULT_TITLE) -> DataFrame:
     """Analyzed tokens of the multi-valued authors field; positions continue
     across values (gap 0), partitioned by doc_id."""
     a = tables.authors(spark, sf_dir)
@@ -164,13 +169,13 @@ def author_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     tok = a.select("doc_id", F.lit("authors").alias("field"),
                    F.posexplode(A.tokenize(F.col("author"))).alias("pos", "tok"), "_off")
     tok = tok.withColumn("pos", (F.col("pos") + F.col("_off")).cast("int")).drop("_off")
-    return A.analyze_by_field(tok, A.STANDARD).select("doc_id", "field", "pos", "term")
+    return A.analyze_tokens(tok, A.by_field(an).get("authors", A.STANDARD)).select("doc_id", "field", "pos", "term")
 
 
-def build(spark: SparkSession, sf_dir: str, title_an: A.Analyzer = A.DEFAULT_TITLE) -> Index:
+def build(spark: SparkSession, sf_dir: str, title_an: A.Analyzers = A.DEFAULT_TITLE) -> Index:
     """Lazy index DataFrames straight from the tables."""
     docs = tables.table(spark, sf_dir, "documents")
-    post = postings_of_documents(docs, title_an).unionByName(_postings_from_tokens(author_tokens(spark, sf_dir)))
+    post = postings_of_documents(docs, title_an).unionByName(_postings_from_tokens(author_tokens(spark, sf_dir, title_an)))
     n = bucket_count(docs)
     post = post.withColumn("bucket", bucket_of(F.col("term"), n))
     return Index(post, term_stats(post), corpus(spark, sf_dir).withColumn("buckets", F.lit(n)), n)
@@ -224,10 +229,10 @@ def read(spark: SparkSession, path: str) -> Index:
     return Index(post.select(*POSTING), ts.select("field", "term", "df"), corpus, corpus.first()["buckets"], path)
 
 
-def open_index(spark: SparkSession, sf_dir: str, title_an: A.Analyzer = A.DEFAULT_TITLE) -> Index:
+def open_index(spark: SparkSession, sf_dir: str, title_an: A.Analyzers = A.DEFAULT_TITLE) -> Index:
     """Index of ``sf_dir`` stored under the shared checkpoint folder; built
     once (lineage cut by the written table), then read back."""
-    path = table_path(spark, "index", _fingerprint(spark, sf_dir), title_an.key, "v2")
+    path = table_path(spark, "index", _fingerprint(spark, sf_dir), A.key_of(title_an), "v2")
     if not path_exists(spark, path + "/_done"):
         write(build(spark, sf_dir, title_an), path)
     return read(spark, path)

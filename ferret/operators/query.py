@@ -52,7 +52,7 @@ def units(queries: DataFrame) -> DataFrame:
     return std.unionByName(adv)
 
 
-def _analyzed(df: DataFrame, text_col: str, keep: list[str], title_an: A.Analyzer) -> DataFrame:
+def _analyzed(df: DataFrame, text_col: str, keep: list[str], title_an: A.Analyzers) -> DataFrame:
     """Analyze ``text_col`` with the analyzer of the row's field (query side:
     every field, year included, is analyzed); positions keep stop holes."""
     tok = A.explode_tokens(df, text_col, keep + ["field"])
@@ -119,7 +119,7 @@ def _plain(word):
                     F.lit(None).cast("int").alias("edits"), F.lit(1.0).alias("boost"), F.lit(False).alias("no"))
 
 
-def leaves(queries: DataFrame, title_an: A.Analyzer = A.DEFAULT_TITLE, operators: bool = False, boost: float = PHRASE_BOOST) -> DataFrame:
+def leaves(queries: DataFrame, title_an: A.Analyzers = A.DEFAULT_TITLE, operators: bool = False, boost: float = PHRASE_BOOST) -> DataFrame:
     """Clause leaves of every query (see module doc).
 
     One pass: every unit fans out into its B-level pieces (each quoted

@@ -22,7 +22,7 @@ BUCKETS = 64  # of a streamed index, whose final size is not known
 
 
 def start(spark: SparkSession, source_dir: str, index_path: str, checkpoint: str,
-          title_an: A.Analyzer = A.DEFAULT_TITLE, available_now: bool = True):
+          title_an: A.Analyzers = A.DEFAULT_TITLE, available_now: bool = True):
     """Start the indexing stream; returns the ``StreamingQuery``."""
     docs = spark.readStream.schema(DOC_SCHEMA).parquet(source_dir)
 

@@ -54,3 +54,27 @@ def test_stop_positions_keep_holes(spark):
 
 def test_spark_stop_lists_available():
     assert len(A.spark_stop_words("english")) > 100
+
+
+def test_analyzers_per_field_and_custom_filters(spark):
+    """A map of analyzers by field, with a caller's token filter, in the index
+    and in the query."""
+    from pyspark.sql import functions as F
+
+    from ferret.operators import index as I
+    from ferret.operators import search as S
+
+    no_digits = ("no_digits", lambda c: F.when(~c.rlike(r"^\d+$"), c))
+    cut = ("cut4", lambda c: F.substring(c, 1, 4))
+    an = {"content": A.Analyzer(stemming=True, filters=(no_digits,)), "venue": A.Analyzer(lowercase=False, stopwords=False), "authors": A.Analyzer(filters=(cut,))}
+    rec = spark.createDataFrame([(1, "Running Dogs", "running dogs 1987 the", "The VLDB", "1987", ["Ann Robertson", "Bo"]), (2, "A cat", "runs 12", "kdd", "1988", [])],
+                                "doc_id long, title string, content string, venue string, year string, authors array<string>")
+    ix = I.index_records(rec, an)
+    got = {f: set() for f in I.FIELDS}
+    for r in ix.postings.filter("doc_id = 1").collect():
+        got[r.field].add(r.term)
+    assert got == {"title": {"running", "dogs"}, "content": {"run", "dog"}, "venue": {"The", "VLDB"}, "year": {"1987"}, "authors": {"ann", "robe", "bo"}}
+    q = spark.createDataFrame([(1, "RUNNING 1987", None), (2, "", {"authors": "robertshaw"}), (3, "", {"venue": "vldb"})], "qid int, query string, adv map<string,string>")
+    hits = {(r.qid, r.doc_id) for r in S.search(ix, q, title_an=an).collect()}
+    assert hits == {(1, 1), (1, 2), (2, 1)}
+    assert A.key_of(an) != A.key_of(dict(an, content=A.STANDARD)) and A.key_of(A.STANDARD) == A.STANDARD.key
