@@ -19,10 +19,12 @@ All of it is built when a query first needs it and stored beside the postings.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import small
+from ..session import materialize, small
 from .index import Index, bucket_of
 from .ordinals import last_mark, placed
 
@@ -208,3 +210,23 @@ def fuzzy(leaves: DataFrame, ix: Index) -> DataFrame:
     x = leaves.select(*LEAF, "field", F.col("term").alias("word"), "edits")
     found = variants(x.select("field", "word", "edits").distinct(), ix)
     return found.join(small(x), ["field", "word", "edits"]).select(*LEAF, "field", "term")
+
+
+# ---------------------------------------------------------------- documents
+
+def documents(leaves: DataFrame, ix: Index, kinds: set[str]) -> DataFrame:
+    """``LEAF, doc_id`` of multi-term leaves (``kinds`` of them occur): a document
+    comes once per node or term of the leaf that it holds."""
+    by_term, by_node = [], []
+    if kinds & {"prefix", "range"}:
+        covered, edges = ranges(leaves.filter(F.col("kind").isin("prefix", "range")), ix)
+        by_term.append(edges)
+        by_node.append(nodes(ix).join(small(materialize(covered)[0]), ["field", "bucket", "level", "node"]))
+    if "wildcard" in kinds:
+        by_term.append(wildcards(leaves.filter(F.col("kind") == "wildcard"), ix))
+    if "fuzzy" in kinds:
+        by_term.append(fuzzy(leaves.filter(F.col("kind") == "fuzzy"), ix))
+    found, _ = materialize(ix.bucketed(reduce(DataFrame.unionByName, by_term)))
+    lookup = ["field", "bucket", "term"]
+    docs = [ix.postings.select(*lookup, "doc_id").join(small(found), lookup), *by_node]
+    return reduce(DataFrame.unionByName, [d.select(*LEAF, "doc_id") for d in docs])

@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from ..functions import analyze as A
 from ..session import materialize, parallelism, small
 from ..sources import tables as T
+from . import dictionary as D
 from .index import Index
 
-PASSAGES_AT_ONCE = 10_000
+PASSAGES_AT_ONCE, PASSAGE_BYTES = 10_000, 32 << 20
 
 
 def qrels_containment(spark: SparkSession, sf: str, ix: Index) -> DataFrame:
@@ -45,17 +46,48 @@ def qrels_containment(spark: SparkSession, sf: str, ix: Index) -> DataFrame:
     docs = T.table(spark, sf, "documents").select("doc_id", "text")
     found = cand.join(docs, "doc_id").join(b, "topic").filter(F.col("text").contains(F.col("passage"))).select("topic", "doc_id")
     # passages without an indexed interior word (one or two words, or only stop
-    # words inside) are held against every document, a block of them at a time
-    rest, n = materialize(b.filter("passage IS NOT NULL").join(
+    # words inside): their edge words are parts of words of the document
+    rest, _ = materialize(b.filter("passage IS NOT NULL").join(
         inner.join(ts, "term").select("topic").distinct(), "topic", "left_anti").join(
         _impossible(inner, ts), "topic", "left_anti"))
-    blocks = -(-n // PASSAGES_AT_ONCE)
-    for k in range(blocks):
-        part = rest.filter(F.pmod(F.xxhash64("topic"), F.lit(blocks)) == k)
-        found = found.union(docs.join(F.broadcast(part), F.col("text").contains(F.col("passage"))).select("topic", "doc_id"))
+    edges, n = materialize(_edge_leaves(rest, toks))
+    if n:
+        kinds = {r.kind for r in edges.select("kind").distinct().collect()}  # two at most
+        cand = D.documents(edges, ix, kinds).select(F.col("qid").alias("topic"), "doc_id").distinct()
+        near = cand.join(docs, "doc_id").join(small(rest), "topic").filter(F.col("text").contains(F.col("passage")))
+        found = found.union(near.select("topic", "doc_id"))
+    # what is left has edge words like stop words, which are not indexed, or no
+    # word at all: held against every document, a block of passages at a time
+    rest, n = materialize(rest.join(edges.select(F.col("qid").alias("topic")), "topic", "left_anti"))
+    if n:
+        size = rest.agg(F.sum(F.octet_length("passage"))).first()[0] or 0
+        blocks = max(-(-n // PASSAGES_AT_ONCE), -(-size // PASSAGE_BYTES))
+        for k in range(blocks):
+            part = rest.filter(F.pmod(F.xxhash64("topic"), F.lit(blocks)) == k)
+            found = found.union(docs.join(F.broadcast(part), F.col("text").contains(F.col("passage"))).select("topic", "doc_id"))
     return found.distinct()
 
 
+def _edge_leaves(rest: DataFrame, toks: DataFrame) -> DataFrame:
+    """Multi-term leaves of passages by an edge word: the last word begins a
+    word of the document, the first one ends one, an only word is part of one.
+    A word that a stop word could stand for is no use (stop words are not
+    indexed), nor one whose lower case depends on its place in a word."""
+    words = toks.groupBy("topic").agg(
+        F.max("_last").alias("last"), F.max(F.when(F.col("pos") == 0, F.lower("tok"))).alias("w1"),
+        F.max(F.when(F.col("pos") == F.col("_last"), F.lower("tok"))).alias("w2"),
+        F.max(F.col("tok").contains("\u03a3")).alias("odd"))
+    stops = F.array(*[F.lit(x) for x in A.STANDARD.stop_list])
+    never = lambda f, w: ~F.exists(stops, lambda x: f(x, F.col(w)))
+    leaf = lambda kind, term: F.struct(F.lit(kind).alias("kind"), term.alias("term"))
+    star = F.lit("*")
+    one = F.when(never(F.contains, "w1"), leaf("wildcard", F.concat(star, "w1", star)))
+    two = F.when(never(F.startswith, "w2"), leaf("prefix", F.col("w2"))).when(never(F.endswith, "w1"), leaf("wildcard", F.concat(star, "w1")))
+    x = rest.join(words, "topic").filter("NOT odd").withColumn("l", F.when(F.col("last") == 0, one).otherwise(two)).filter("l IS NOT NULL")
+    return x.select(F.col("topic").alias("qid"), F.lit("q").alias("ga"), F.lit(0).alias("b"), F.lit(0).alias("c"), "l.kind", F.lit("content").alias("field"),
+                    "l.term", F.lit(None).cast("string").alias("hi"), F.lit(None).cast("int").alias("edits"))
+
+
 def _impossible(inner: DataFrame, ts: DataFrame) -> DataFrame:
     """Topics with an interior word that no document has."""
     return inner.join(ts, "term", "left_anti").select("topic").distinct()

@@ -56,3 +56,27 @@ def test_short_and_stop_word_passages_are_judged(spark, tmp_path):
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     got = E.qrels_containment(spark, str(tmp_path), I.open_index(spark, str(tmp_path))).collect()
     assert sorted(map(tuple, got)) == [(10, 1), (11, 2), (12, 1), (13, 1)]
+
+
+def test_passages_by_their_edge_words_match_plain_containment(spark, tmp_path, monkeypatch):
+    """Passages of one or two words, cut inside words, around punctuation, like
+    stop words or without a word, against a plain scan."""
+    import random
+
+    from ferret.operators import index as I
+
+    monkeypatch.setattr(E, "PASSAGES_AT_ONCE", 5)
+    rng = random.Random(6)
+    words = ["alpha", "beta.gamma", "don't", "the", "then", "other", "of", "It", "Über", "ΟΔΟΣ", "3.5", "x_y", "a"]
+    docs = [(k, " ".join(rng.choice(words) + rng.choice(["", "", ",", ".", "!", " -"]) for _ in range(12)), "en", "s", 1) for k in range(60)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 0, "user", "a")], "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    items = {"", " ", "!", "the", "he", "ta.ga", "gamma", "ΟΣ", "of t", "n't the", "Über", "über", "lpha, b", "a", "ha.", "5 x_", "zzz", "zzz the", "the zzz"}
+    for _ in range(60):
+        text = rng.choice(docs)[1]
+        at = rng.randrange(len(text) - 12)
+        items.add(text[at:at + rng.randrange(1, 12)])
+    items = list(enumerate(sorted(items)))
+    spark.createDataFrame([*items, (999, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = E.qrels_containment(spark, str(tmp_path), I.open_index(spark, str(tmp_path))).collect()
+    assert sorted(map(tuple, got)) == sorted((k, d[0]) for k, p in items for d in docs if p in d[1])
