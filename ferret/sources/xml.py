@@ -131,6 +131,13 @@ def read_hits(spark: SparkSession, path: str) -> DataFrame:
                     F.col("info.type").alias("type"))
 
 
+def read_hit_totals(spark: SparkSession, path: str) -> DataFrame:
+    """``file, total``: how many hits the remote search found, as each result
+    file says it (more than it lists)."""
+    h = spark.read.format("xml").option("rowTag", "hits").schema("_total BIGINT").load(path)
+    return h.select(F.col("_metadata.file_path").alias("file"), F.col("_total").alias("total"))
+
+
 def read_topics(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("xml").option("rowTag", "top").schema(TOPIC_SCHEMA).load(path)
 

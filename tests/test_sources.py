@@ -117,6 +117,9 @@ def test_hits(spark, tmp_path):
     p.write_text(HITS, encoding="utf-8")
     rows = sorted((r.key, r.score) for r in X.read_hits(spark, str(p)).collect())
     assert rows == [("conf/a/K1", 3), ("journals/K3", 2)]
+    (tmp_path / "more.xml").write_text(HITS.replace('total="3"', 'total="1200"'), encoding="utf-8")
+    totals = X.read_hit_totals(spark, str(tmp_path / "*.xml")).collect()
+    assert sorted((r.file.rsplit("/", 1)[1], r.total) for r in totals) == [("h.xml", 3), ("more.xml", 1200)]
 
 
 def test_topics(spark, tmp_path):
