@@ -8,8 +8,12 @@ led to its leaves. Inside a loose dense cluster most vectors lie within the
 margin of any split, so a split whose sides together exceed ``SPREAD`` times
 their parent is none, and the largest parts are split first until a tree has
 ``FLOATS / TREES`` numbers in its directions or its leaves hold ``COPIES`` times
-the sample. What stays together is compared in chunk pairs. Vectors are compared within leaves, in double precision,
-and all links found are exact.
+the sample. A leaf that then holds more than ``BIG`` vectors of the table is split
+on by the tasks, level by level: directions come from the leaf's number, medians
+and the sides' sizes from partial aggregates, and the same rules say whether a
+split is one. So leaves do not grow with the table, but for dense clusters; what
+stays together is compared in chunk pairs. Vectors are compared within leaves,
+in double precision, and all links found are exact.
 
 Equal vectors become one row with a count first. A leaf of any size is dealt
 into chunks and each pair of chunks is one task (matrix product), so neither a
@@ -36,13 +40,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import small, stored
 from .components import components
 
 TREES = 10
 SAMPLE = 20_000
 LEAF = 200  # wished rows of a leaf
 CHUNK = 512
+BIG = 8 * CHUNK  # a leaf of more vectors is split again
+WAYS = 4  # directions that such a leaf is tried with
 SPILL = 0.6  # margin, in standard deviations of a linked pair's projected distance
 STUCK = 0.85  # a split that leaves a child this share of its parent is none
 SPREAD = 1.3  # nor is one whose children together are more than this of it
@@ -177,6 +183,58 @@ def _compare(threshold: float):
     return work
 
 
+def _split_again(led: DataFrame, threshold: float) -> DataFrame:
+    """``led`` (``node, n, vec, leaves``) with its large leaves split until none is
+    large or a split would not part it."""
+    kind = dict(led.dtypes)["vec"]
+
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            leaf, vecs = batch.column(1).to_numpy(), batch.column(2).to_pylist()
+            out: list = [None] * len(vecs)
+            dims = np.array([len(v) for v in vecs])
+            for d in np.unique(dims).tolist():
+                at = np.flatnonzero(dims == d)
+                x = unit(np.array([vecs[k] for k in at]))
+                names, which = np.unique(leaf[at], return_inverse=True)
+                for k, name in enumerate(names.tolist()):
+                    ways = np.random.default_rng([name % 2 ** 64, 23]).standard_normal((WAYS, d))
+                    ways /= np.linalg.norm(ways, axis=1, keepdims=True)
+                    # in margins of a split
+                    ps = x[which == k] @ ways.T * np.sqrt(d) / (SPILL * np.sqrt(2 - 2 * threshold))
+                    for place, p in zip(at[which == k].tolist(), ps, strict=True):
+                        out[place] = p
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.float64()))], names=["node", "leaf", "ps"])
+
+    stuck = None
+    while True:
+        x = led.select("node", "vec", F.explode("leaves").alias("leaf"))
+        big = x.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > BIG)
+        big = stored(big if stuck is None else big.join(stuck, "leaf", "left_anti"), "rp-big")
+        if not big.head(1):
+            return led
+        p = x.join(small(big), "leaf").select("node", "leaf", "vec").mapInArrow(project, "node long, leaf long, ps array<double>")
+        p = stored(p, "rp-projected")
+        mids = p.groupBy("leaf").agg(F.array(*[F.percentile_approx(F.get("ps", F.lit(k)), 0.5, 200) for k in range(WAYS)]).alias("mids"))
+        p = p.join(small(stored(mids, "rp-mids")), "leaf")
+        side = lambda k, s: F.sum((s * (F.get("ps", F.lit(k)) - F.get("mids", F.lit(k))) <= 1).cast("long"))
+        sizes = p.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows"), F.array(*[F.struct(side(k, 1).alias("a"), side(k, -1).alias("b"), F.lit(k).alias("k"))
+                                                                               for k in range(WAYS)]).alias("ways"))
+        parts = F.filter("ways", lambda w: (F.greatest(w["a"], w["b"]) <= STUCK * F.col("rows")) & (w["a"] + w["b"] <= SPREAD * F.col("rows")))
+        best = F.array_min(F.transform(parts, lambda w: F.struct((w["a"] * w["a"] + w["b"] * w["b"]).alias("pairs"), w["k"].alias("k"))))
+        sizes = stored(sizes.select("leaf", best["k"].alias("k")), "rp-ways")
+        none = sizes.filter("k IS NULL").select("leaf")
+        stuck = none if stuck is None else stuck.union(none)
+        moved = p.join(small(sizes.filter("k IS NOT NULL")), "leaf")
+        off = F.get("ps", F.col("k")) - F.get("mids", F.col("k"))
+        child = lambda s: F.when(s * off <= 1, F.xxhash64("leaf", F.lit(s)))
+        change = moved.select("node", "leaf", F.array_compact(F.array(child(1), child(-1))).alias("to")).groupBy("node").agg(
+            F.collect_list("leaf").alias("gone"), F.flatten(F.collect_list("to")).alias("new"))  # of one vector: few
+        leaves = F.sort_array(F.array_distinct(F.concat(F.array_except("leaves", "gone"), "new")))
+        led = led.join(change, "node", "left").select("node", "n", F.col("vec").cast(kind).alias("vec"), F.when(F.col("gone").isNull(), F.col("leaves")).otherwise(leaves).alias("leaves"))
+        led = stored(led, "rp-led")
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """Per row ``vec_id, n_links, component_id, kept``."""
     spark = vectors.sparkSession
@@ -209,6 +267,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int64()))], names=["node", "n", "vec", "leaves"])
 
     led = stored(reps.select("node", "n", "vec").mapInArrow(route, f"node long, n long, vec array<{kind}>, leaves array<long>"), "rp-led")
+    led = _split_again(led, threshold)
     x = led.withColumn("leaf", F.explode("leaves"))
     many = x.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
     x = x.join(many, "leaf").withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))

@@ -95,6 +95,29 @@ def test_pairs_paths_stars_and_even_cycles(spark, monkeypatch, chunk):
     assert run(spark, table, threshold=0.95) == want
 
 
+def test_large_leaves_are_split_again(spark, monkeypatch):
+    """A forest that is one leaf a tree is grown by the tasks: the same links,
+    from leaves that are small but for a dense cluster."""
+    monkeypatch.setattr(rptrees, "FLOATS", 0)
+    monkeypatch.setattr(rptrees, "TREES", 6)
+    monkeypatch.setattr(rptrees, "BIG", 120)
+    rng = np.random.default_rng(12)
+    rows = [x / np.linalg.norm(x) for x in rng.standard_normal((900, 16))]
+    rows += [turned(rng, rows[k], 0.953) for k in range(250)]
+    dense = rng.standard_normal(16)
+    rows += [dense + rng.standard_normal(16) * 0.02 for _ in range(150)]
+    table = [(k, np.float32(x).tolist()) for k, x in enumerate(rows)] + [(5000, [1.0, 2.0]), (5001, [1.0, 2.01]), (5002, None)]
+    seen = []
+    real = rptrees._split_again
+    monkeypatch.setattr(rptrees, "_split_again", lambda led, t: seen.append(real(led, t)) or seen[-1])
+    got, want = run(spark, table, threshold=0.95), brute(table, 0.95)
+    sizes = sorted(r["count"] for r in seen[0].selectExpr("explode(leaves) AS leaf").groupBy("leaf").count().collect())
+    assert len(sizes) > 60 and np.mean(np.array(sizes) <= 120) > 0.85 and sizes[-1] < 700
+    assert sum(x[1] for x in want) > 20_000
+    assert sum(a != b for a, b in zip(got, want, strict=True)) <= 0.01 * len(want)
+    assert all(g[1] <= w[1] for g, w in zip(got, want, strict=True))
+
+
 def test_forest_brings_linked_pairs_together():
     """Pairs just above the threshold share a leaf, with trees sized for the
     table and for one of 10 million rows."""
