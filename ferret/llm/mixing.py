@@ -34,12 +34,12 @@ from array import array
 from collections.abc import Mapping
 from fractions import Fraction
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import fresh, partitions
 
-RESOLUTION = 2520  # slots of a round in :func:`quotas`
 INLINE = 2520  # slots of a round that rows find without a join by piece
 PIECE = 256
 MAX_PIECES = 20_000  # broadcast up to here
@@ -50,19 +50,6 @@ MAX_SOURCES = 2_000
 WEIGHTS: dict[str | None, float] = {None: 0.5, "src0": 4.0, "src1": 2.0, "src2": 2.0, "src3": 2.0, "src4": 2.0}
 
 
-def quotas(weights: Mapping[int, float]) -> dict[int, int]:
-    """Slots of a round per source: largest remainders, one at least. Rounded,
-    so no schedule uses it; a plain round to compare :func:`shares` with."""
-    total = sum(weights.values())
-    slots = max(RESOLUTION, len(weights))
-    exact = {s: w / total * slots for s, w in weights.items()}
-    out = {s: max(1, int(x)) for s, x in exact.items()}
-    left = slots - sum(out.values())
-    for s in sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s))[:max(0, left)]:
-        out[s] += 1
-    return out
-
-
 def shares(weights: Mapping[int, float]) -> dict[int, int]:
     """The weights (as written in decimals, or fractions) in whole numbers
     without a common factor: slots per source of the shortest exact round."""
@@ -201,19 +188,22 @@ def placed(docs: DataFrame, out: str = "mix_position") -> DataFrame:
     """``docs``, read back from the files that :func:`mixed` was written to,
     plus ``out``, the place of each row in the mixture. A scan promises no order
     of files, so the place is the row's index in its file after the rows of the
-    files with smaller part numbers (one row per file goes to the driver)."""
-    meta, path, at, before = docs.metadataColumn("_metadata"), *(fresh(docs, f"__{c}") for c in ("path", "at", "before"))
-    x = docs.withColumns({path: meta.getField("file_path"), at: meta.getField("row_index")})
+    files with smaller part numbers (one row per file goes to the driver). Rows
+    that were not read from such files have no place: ``out`` is null."""
+    none = docs.withColumn(out, F.lit(None).cast("long"))
+    path, at, before = (fresh(docs, f"__{c}") for c in ("path", "at", "before"))
+    try:
+        meta = docs.metadataColumn("_metadata")
+        x = docs.withColumns({path: meta.getField("file_path"), at: meta.getField("row_index")})
+    except AnalysisException:  # no files behind these rows
+        return none
     files = x.groupBy(path).agg(F.count(F.lit(1)).alias("n")).collect()
-
-    def order(f) -> tuple[int, int]:  # part number, and the number of the part's file
-        name = re.search(r"part-(\d+)-[^/]*?-c(\d+)[^/]*$", f[path])
-        if name is None:
-            raise ValueError(f"not a file that a mixture was written to: {f[path]}")
-        return int(name[1]), int(name[2])
-
+    # part number, and the number of the part's file
+    names = {f[path]: re.search(r"part-(\d+)-[^/]*?-c(\d+)[^/]*$", f[path]) for f in files}
+    if not all(names.values()):
+        return none
     rows, total = [], 0
-    for f in sorted(files, key=order):
+    for f in sorted(files, key=lambda f: tuple(map(int, names[f[path]].groups()))):
         rows.append((f[path], total))
         total += f.n
     starts = docs.sparkSession.createDataFrame(rows, f"`{path}` string, `{before}` long")

@@ -86,3 +86,28 @@ def test_place_of_split_and_empty_files(spark, tmp_path):
     assert {r.doc_id: r.at for r in mixing.placed(spark.read.parquet(f"{tmp_path}/mixed"), "at").collect()} == want
     mixing.mixed(df.limit(0)).write.parquet(f"{tmp_path}/none")
     assert mixing.placed(spark.read.schema(df.schema).parquet(f"{tmp_path}/none")).collect() == []
+
+
+def test_places_of_rows_that_no_mixture_wrote(spark, tmp_path):
+    """In-memory rows and other files have no place; the stage still encodes them."""
+    df = spark.createDataFrame(rows()[:20], COLUMNS)
+    (tmp_path / "other").mkdir()
+    import pyarrow.parquet as pq
+
+    pq.write_table(df.toArrow(), f"{tmp_path}/other/some.parquet")
+    for docs in (df, spark.read.parquet(f"{tmp_path}/other"), df.limit(0)):
+        got = corpus_pipeline.encode_texts(spark, docs, str(tmp_path)).collect()
+        assert len(got) == docs.count() and all(r.mix_position is None for r in got)
+
+
+def test_run_with_nulls_repeats_clashes_and_nothing(spark, tmp_path):
+    words = " ".join(f"w{k}" for k in range(80))
+    odd = [(1, words, "en", "s", 3), (1, words, "en", "s", 3), (1, words + " more", None, None, None), (None, words[::-1], "en", "s", 1),
+           (2, None, "en", "s", 0), (3, "", "en", "s", 0), (None, None, None, None, None)]
+    for name, table in (("odd", odd), ("none", [])):
+        df = spark.createDataFrame([(*r, 7, "x", "y") for r in table], f"{COLUMNS}, mix_block int, __rid string, block string")
+        df.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        got = corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()
+        # the near copies of document 1 are one group, texts without 50 words go
+        assert sorted(str(r.doc_id) for r in got) == (["1", "None"] if table else [])
+        assert sorted(r.mix_position for r in got) == list(range(len(got)))
