@@ -188,6 +188,17 @@ def top_with_ties(hits: DataFrame, k: int = 10) -> DataFrame:
     return hits.withColumn("rnk", F.rank().over(w)).filter(F.col("rnk") <= k)
 
 
+POOL_SIZE = 300
+
+
+def fill_pool(pool: DataFrame, ids: DataFrame, size: int = POOL_SIZE, seed: int = 0) -> DataFrame:
+    """``doc_id, origin``: the pool and as many of the other ``ids``, in a
+    pseudo-random order by ``seed``, as make ``size`` in all."""
+    pool, n = materialize(pool.select("doc_id"))
+    rest = ids.join(pool, "doc_id", "left_anti").orderBy(pool_sample_key("doc_id", seed)).limit(max(0, size - n))
+    return pool.withColumn("origin", F.lit("pool")).unionByName(rest.withColumn("origin", F.lit("random")))
+
+
 def pool_sample_key(col: str = "doc_id", seed: int = 0):
     """Deterministic pseudo-random order shared with the oracle."""
     return F.md5(F.concat(F.col(col).cast("string"), F.lit(str(seed))))

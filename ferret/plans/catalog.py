@@ -337,7 +337,7 @@ def q_pool_semi(spark, sf):
     return T.records(spark, sf).join(_pool(spark, sf), "doc_id", "left_semi")
 
 
-POOL_SIZE = 300
+POOL_SIZE = E.POOL_SIZE
 
 
 @register("pool_random_fill", sql=(
@@ -348,11 +348,7 @@ def q_pool_random_fill(spark, sf):
     """Test collection = pool + a seeded pseudo-random sample of the other
     documents, up to 300 in all (ordered by a hash of the id: deterministic,
     a bounded top-n instead of a global sort)."""
-    pool, n_pool = S.materialize(_pool(spark, sf))
-    room = max(0, POOL_SIZE - n_pool)
-    rest = T.table(spark, sf, "documents").select("doc_id").join(pool, "doc_id", "left_anti")
-    rnd = rest.orderBy(E.pool_sample_key()).limit(room)
-    return pool.withColumn("origin", F.lit("pool")).unionByName(rnd.withColumn("origin", F.lit("random")))
+    return E.fill_pool(_pool(spark, sf), T.table(spark, sf, "documents").select("doc_id"), POOL_SIZE)
 
 
 def _authors_joined(spark, sf):

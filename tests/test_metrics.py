@@ -80,3 +80,11 @@ def test_passages_by_their_edge_words_match_plain_containment(spark, tmp_path, m
     spark.createDataFrame([*items, (999, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     got = E.qrels_containment(spark, str(tmp_path), I.open_index(spark, str(tmp_path))).collect()
     assert sorted(map(tuple, got)) == sorted((k, d[0]) for k, p in items for d in docs if p in d[1])
+
+
+def test_pool_size_and_seed_are_arguments(spark):
+    pool, ids = spark.createDataFrame([(1,), (2,)], "doc_id long"), spark.range(50).withColumnRenamed("id", "doc_id")
+    run = lambda **how: {(r.doc_id, r.origin) for r in E.fill_pool(pool, ids, **how).collect()}
+    assert run(size=1) == {(1, "pool"), (2, "pool")} and len(run()) == 50
+    a, b = run(size=10), run(size=10, seed=1)
+    assert len(a) == len(b) == 10 and a != b and a == run(size=10) and a < run(size=12)
