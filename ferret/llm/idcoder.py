@@ -25,16 +25,17 @@ import numpy as np
 BLOCK = 4096
 EPOCHS = (64, 256, 1024)
 GAIN = 48
+AHEAD = 64  # steps whose intervals the encoder finds at once; divides BLOCK and EPOCHS
 SLOTS = 8192  # of each context table, a power of two
 SHARE = 1024  # parts of the range that the three orders divide
 _CELL = 5  # order-0 starts lie ``GAIN`` apart at least: one per 2**_CELL at most
 _WORD, _LOW = np.uint64(32), np.uint64(2**32 - 1)
 
 
-def _slots(x1, x2):
+def _contexts(x1, x2):
     """Places of the order-1 and order-2 contexts in their tables."""
-    a = x1.astype(np.int64) * 40503
-    return (a >> 3) & (SLOTS - 1), (a + x2.astype(np.int64) * 30011 >> 3) & (SLOTS - 1)
+    a = x1 * 40503
+    return np.stack([a, a + x2 * 30011]) >> 3 & (SLOTS - 1)
 
 
 def _shares(hit):
@@ -43,10 +44,6 @@ def _shares(hit):
     return ((960 - a2) * hit[0] >> 16) + 1, a2
 
 
-def _learn_hits(hit: np.ndarray, right: np.ndarray) -> None:
-    hit += (right * 65535 - hit) >> 5
-
-
 def _told(slots: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """What each context's table slot says at every place of a block: the id
     at the last earlier place with this slot, 0 for none."""
@@ -62,7 +59,7 @@ def _foresee(ids: np.ndarray):
     """Of a block: where order 1 and order 2 are right, and the order-0 start
     and width of every id."""
     x1 = np.concatenate([[0], ids[:-1]])
-    s1, s2 = _slots(x1, np.concatenate([[0], x1[:-1]]))
+    s1, s2 = _contexts(x1, np.concatenate([[0], x1[:-1]]))
     start, width = ids.copy(), np.ones_like(ids)
     for m, end in zip(EPOCHS, (*EPOCHS[1:], BLOCK), strict=True):
         now = ids[m:end]
@@ -80,9 +77,9 @@ class Tables:
 
     def __init__(self, lanes: int, alphabet: int):
         self.lanes, self.alphabet = lanes, alphabet
-        self.base = np.arange(lanes, dtype=np.int64) * SLOTS
-        self.last1, self.last2 = np.zeros(lanes * SLOTS, np.int32), np.zeros(lanes * SLOTS, np.int32)
-        self.hit = np.full((2, lanes), 4096, np.int64)
+        self.base = np.arange(2 * lanes, dtype=np.int64).reshape(2, lanes) * SLOTS
+        self.last = np.zeros(2 * lanes * SLOTS, np.uint16 if alphabet <= 1 << 16 else np.int32)
+        self.hit = np.full((2, lanes), 4096, np.int32)
         self.x1 = self.x2 = np.zeros(lanes, np.int64)
         self.m, self.total0 = 0, alphabet
 
@@ -100,7 +97,7 @@ class Tables:
         end[:, :-1] = new[:, 1:]
         self.first = np.maximum.accumulate(np.where(new, place, 0), axis=1).astype(np.int32).ravel()
         after = np.where(end, place + 1, m)
-        self.last = np.minimum.accumulate(after[:, ::-1], axis=1)[:, ::-1].astype(np.int32).ravel()
+        self.after = np.minimum.accumulate(after[:, ::-1], axis=1)[:, ::-1].astype(np.int32).ravel()
         self.sorted = seen.astype(np.int32).ravel()
         starts = np.full((lanes, m + 1), np.iinfo(np.int32).max, np.int32)
         starts[:, :m] = seen + GAIN * place
@@ -113,30 +110,35 @@ class Tables:
         self.cell_at, self.start_at, self.id_at = lane * (self.cells + 1), lane * (m + 1), lane * m
 
     def predict(self, n: int):
-        """For the first ``n`` lanes: predicted ids, range shares."""
-        s1, s2 = _slots(self.x1[:n], self.x2[:n])
-        self.at1, self.at2 = s1 + self.base[:n], s2 + self.base[:n]
-        return self.last1[self.at1], self.last2[self.at2], *_shares(self.hit[:, :n])
-
-    def update(self, n: int, x: np.ndarray, p1: np.ndarray, p2: np.ndarray) -> None:
-        self.last1[self.at1] = x
-        self.last2[self.at2] = x
+        """For the first ``n`` lanes: predicted ids (order 1, order 2) and range shares."""
+        self.at = _contexts(self.x1[:n], self.x2[:n])
+        self.at += self.base[:, :n]
         if n < self.hit.shape[1]:
             self.hit = self.hit[:, :n].copy()
-        _learn_hits(self.hit, np.stack([p1 == x, p2 == x]))
-        self.x2, self.x1 = self.x1[:n], x
+        return self.last.take(self.at), *_shares(self.hit)
+
+    def update(self, x: np.ndarray, told: np.ndarray) -> None:
+        self.last[self.at] = x
+        step = (told == x) * np.int32(65535)
+        step -= self.hit
+        step >>= 5
+        self.hit += step
+        self.x2, self.x1 = self.x1[:len(x)], x
 
     def of_value(self, n: int, u: np.ndarray):
         """Id, order-0 start and width at value ``u`` of the first ``n`` lanes."""
         if not self.m:
             return u, u, np.ones_like(u)
-        own = self.below[self.cell_at[:n] + (u >> _CELL)]
-        own = own + (self.starts[self.start_at[:n] + own] <= u)
-        k = self.id_at[:n] + np.maximum(own - 1, 0)
-        a, lo, hi = self.sorted[k], self.first[k], self.last[k]
-        inside = (own > 0) & (u < a + GAIN * hi + 1)
-        return (np.where(inside, a, u - GAIN * own), np.where(inside, a + GAIN * lo, u),
-                np.where(inside, 1 + GAIN * (hi - lo), 1))
+        own = self.below.take(self.cell_at[:n] + (u >> _CELL)).astype(np.int64)
+        own += self.starts.take(self.start_at[:n] + own) <= u
+        k = np.maximum(own - 1, 0)
+        k += self.id_at[:n]
+        a, lo, many = self.sorted.take(k).astype(np.int64), self.first.take(k), self.after.take(k)
+        many -= lo
+        start = a + GAIN * lo
+        inside = (own > 0) & (u <= start + GAIN * many)
+        return (np.where(inside, a, u - GAIN * own), np.where(inside, start, u),
+                np.where(inside, 1 + GAIN * many, 1))
 
 
 def _blocks(n: int) -> np.ndarray:
@@ -158,31 +160,41 @@ def encode(ids: np.ndarray, alphabet: int) -> tuple[np.ndarray, np.ndarray, byte
         one = _foresee(ids[at:at + size].astype(np.int64))
         right[:size, 0, k], right[:size, 1, k], start0[:size, k], width0[:size, k] = one
         at += size
-    hit, low, rng = np.full((2, lanes), 4096, np.int64), np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
+    hit, low, rng = np.full((2, lanes), 4096, np.int32), np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
     out, used = np.zeros((lanes, BLOCK + 8), np.uint32), np.zeros(lanes, np.int64)
     every = np.arange(lanes)
     total0 = alphabet
-    for t in range(int(sizes[0])):
-        n = lanes if t < sizes[-1] else lanes - 1
-        if t in EPOCHS:
-            total0 = alphabet + GAIN * t
-        if n < len(low):
-            low, rng, hit = low[:n], rng[:n], hit[:, :n].copy()
-        is1, is2 = right[t, 0, :n], right[t, 1, :n]
-        a1, a2 = _shares(hit)
-        a0, two = SHARE - a1 - a2, total0 * a2
-        start = np.where(is2, 0, np.where(is1, two, two + total0 * a1 + a0 * start0[t, :n]))
-        width = np.where(is2, two, np.where(is1, total0 * a1, a0 * width0[t, :n]))
-        part = rng // np.uint64(total0 * SHARE)
-        low = low + start.astype(np.uint64) * part
-        rng = width.astype(np.uint64) * part
-        go, lo, r = _short(low, rng)
-        out[go, used[go]] = lo >> _WORD
-        used[go] += 1
-        low[go], rng[go] = lo << _WORD, r << _WORD
-        _learn_hits(hit, right[t, :, :n])
-        if t + 1 == sizes[-1]:
-            short = low[-1:].copy()
+    for begin in range(0, int(sizes[0]), AHEAD):  # intervals of some steps at once
+        if begin in EPOCHS:
+            total0 = alphabet + GAIN * begin
+        steps = slice(begin, min(begin + AHEAD, int(sizes[0])))
+        aim = right[steps] * np.int32(65535)
+        hits = np.empty_like(aim)
+        for t, to in enumerate(aim):
+            hits[t] = hit
+            to -= hit
+            to >>= 5
+            hit += to
+        a1, a2 = _shares(hits.transpose(1, 0, 2))
+        is1, is2 = right[steps, 0], right[steps, 1]
+        a0, two = (SHARE - a1 - a2).astype(np.int64), total0 * a2.astype(np.int64)
+        one = total0 * a1.astype(np.int64)
+        starts = np.where(is2, 0, np.where(is1, two, two + one + a0 * start0[steps])).astype(np.uint64)
+        widths = np.where(is2, two, np.where(is1, one, a0 * width0[steps])).astype(np.uint64)
+        whole = np.uint64(total0 * SHARE)
+        for t, (start, width) in enumerate(zip(starts, widths, strict=True), begin):
+            n = lanes if t < sizes[-1] else lanes - 1
+            if n < len(low):
+                low, rng = low[:n], rng[:n]
+            part = rng // whole
+            low = low + start[:n] * part
+            rng = width[:n] * part
+            go, lo, r = _short(low, rng)
+            out[go, used[go]] = lo >> _WORD
+            used[go] += 1
+            low[go], rng[go] = lo << _WORD, r << _WORD
+            if t + 1 == sizes[-1]:
+                short = low[-1:].copy()
     ends = np.concatenate([low[:lanes - 1], short])
     for word in (ends >> _WORD, ends & _LOW):
         out[every, used] = word
@@ -220,15 +232,17 @@ def decode(n: int, alphabet: int, words: np.ndarray, crcs: np.ndarray, code: byt
         if t in EPOCHS:
             model.epoch(np.ascontiguousarray(x[:t, :m].T))
         low, rng, value = low[:m], rng[:m], value[:m]
-        p1, p2, a1, a2 = model.predict(m)
+        told, a1, a2 = model.predict(m)
         total0, a0 = model.total0, SHARE - a1 - a2
         part = rng // np.uint64(total0 * SHARE)
         v = np.minimum((value - low) // part, np.uint64(total0 * SHARE - 1)).astype(np.int64)
-        two, both = total0 * a2, total0 * (a1 + a2)
-        is2 = v < two
-        is1 = (v < both) & ~is2
-        x0, start0, width0 = model.of_value(m, np.maximum(v - both, 0) // a0)
-        now = np.where(is2, p2, np.where(is1, p1, x0))
+        two = a2 * np.int64(total0)
+        both = a1 * np.int64(total0)
+        both += two
+        is2, is1 = v < two, v < both  # is1: of those that are not order 2
+        # whole numbers below 2**53, so the quotient's floor is exact
+        x0, start0, width0 = model.of_value(m, (np.maximum(v - both, 0) / a0).astype(np.int64))
+        now = np.where(is2, told[1], np.where(is1, told[0], x0))
         start = np.where(is2, 0, np.where(is1, two, both + a0 * start0))
         width = np.where(is2, two, np.where(is1, both - two, a0 * width0))
         low = low + start.astype(np.uint64) * part
@@ -238,7 +252,7 @@ def decode(n: int, alphabet: int, words: np.ndarray, crcs: np.ndarray, code: byt
         used[go] += 1
         low[go], rng[go] = lo << _WORD, r << _WORD
         x[t, :m] = now
-        model.update(m, now, p1, p2)
+        model.update(now, told)
     ids = np.ascontiguousarray(x.T).ravel()[:n]
     for k, block in enumerate(np.split(ids, np.cumsum(sizes)[:-1])):
         if zlib.crc32(block.astype("<u4").tobytes()) != crcs[k]:

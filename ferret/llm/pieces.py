@@ -8,7 +8,8 @@ text's ids with array gathers. The pool is emptied when it holds
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from itertools import chain
 
 import numpy as np
 
@@ -27,8 +28,8 @@ class _Numbers(dict):
 
 
 class PiecePool:
-    def __init__(self, resolve: Callable[[list], list[Sequence[int]]]):
-        self.resolve = resolve
+    def __init__(self, resolve: Callable[[list], list[Sequence[int]]], most: int = MAX_PIECES):
+        self.resolve, self.most = resolve, most
         self._clear()
 
     def _clear(self) -> None:
@@ -41,26 +42,39 @@ class PiecePool:
         new, self.numbers.new = self.numbers.new, []
         got = self.resolve(new)
         lens = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.fromiter((i for x in got for i in x), np.uint32, int(lens.sum()))
+        if isinstance(got[0], np.ndarray):
+            flat = np.concatenate(got).astype(np.uint32)
+        else:
+            flat = np.fromiter((i for x in got for i in x), np.uint32, int(lens.sum()))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lens) - lens])
         self.lens = np.concatenate([self.lens, lens])
         self.ids = np.concatenate([self.ids, flat])
 
-    def encode(self, texts: list[list]) -> list[np.ndarray]:
-        """Ids of each text, given as its list of pieces."""
-        if len(self.numbers) > MAX_PIECES:
+    def _numbered(self, pieces: Iterable, n: int) -> np.ndarray:
+        if len(self.numbers) > self.most:
             self._clear()
-        at = self.numbers.__getitem__
-        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        which = np.fromiter((at(p) for t in texts for p in t), np.int64, int(sizes.sum()))
+        which = np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, n)
         if self.numbers.new:
             self._learn()
+        return which
+
+    def encode(self, texts: list[list]) -> list[np.ndarray]:
+        """Ids of each text, given as its list of pieces."""
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        return self._built(self._numbered(chain.from_iterable(texts), int(sizes.sum())), sizes)
+
+    def encode_coded(self, distinct: list, codes: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+        """Ids of each text, given as ``sizes`` pieces in turn, each the place
+        of a piece in ``distinct``: only distinct pieces are looked up."""
+        return self._built(self._numbered(distinct, len(distinct))[codes], sizes)
+
+    def _built(self, which: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
         lens = self.lens[which]
         ends = np.concatenate([[0], np.cumsum(lens)])
         pos = np.repeat(self.starts[which] - ends[:-1], lens)
         pos += np.arange(len(pos))
         ids = self.ids[pos]
-        cuts = ends[np.concatenate([[0], np.cumsum(sizes)])]
+        cuts = ends[np.concatenate([[0], np.cumsum(sizes)])].tolist()
         return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 

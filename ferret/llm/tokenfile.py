@@ -20,23 +20,25 @@ gives files without groups; columns other than the two asked for are not read.
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import idcoder
 from .common import partitions, small, text_or_empty
-from .pieces import PiecePool, chunks
+from .pieces import PiecePool
 
-GROUP = 1000 * idcoder.BLOCK
+GROUP = 2000 * idcoder.BLOCK
 RUN = 400  # words that go to the tokenizer as one text
-# One or two pre-tokens for sure: Latin-1 letters, then perhaps a point.
-_PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+([.,;:!?]?)").fullmatch
+MAX_WORDS = 500_000  # distinct words that a task keeps, about 200 bytes each
+CHUNK_BYTES = 16_000_000  # of text that is cut into words at a time, a longer text alone
+# Sure to be one pre-token: Latin-1 letters. Symbols after them are the next one.
+_PLAIN, _TAIL = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$", ".,;:!?#$%&*|<>()"
 FILE = ("part int, grp int, alphabet int, n_tokens long, doc_ids array<long>, doc_lens array<long>, "
         "words binary, crcs binary, code binary")
 
@@ -44,7 +46,7 @@ FILE = ("part int, grp int, alphabet int, n_tokens long, doc_ids array<long>, do
 class WordEncoder:
     """Ids of texts by a ``tokenizers`` tokenizer that drops white space and
     ends words by a suffix: pieces between ASCII white space are independent,
-    so each distinct piece is encoded once."""
+    so each distinct piece is looked up once, and each distinct word encoded once."""
 
     def __init__(self, json: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -55,38 +57,58 @@ class WordEncoder:
         self.alphabet = max(vocab.values()) + 1
         self.ends = np.zeros(self.alphabet, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.pool = PiecePool(self.resolve)
+        self.words = PiecePool(self._words, MAX_WORDS)
+        self.pool = PiecePool(self._pieces, MAX_WORDS)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def resolve(self, pieces: list[str]) -> list[list[int]]:
+    def _pieces(self, pieces: list[str]) -> list[np.ndarray]:
+        """A plain word is looked up in lower case, apart from symbols after it."""
+        x = pa.array(pieces, pa.string())
+        word = pc.utf8_rtrim(x, characters=_TAIL)
+        plain = pc.match_substring_regex(word, _PLAIN)
+        words = pc.if_else(plain, pc.utf8_lower(word), x).dictionary_encode()
+        cuts = pc.if_else(plain, pc.utf8_length(word), pc.utf8_length(x)).to_pylist()
+        tails = pa.array([p[n:] for p, n in zip(pieces, cuts, strict=True)], pa.string()).dictionary_encode()
+        codes = np.stack([words.indices.to_numpy(), tails.indices.to_numpy() + len(words.dictionary)], axis=1)
+        return self.words.encode_coded(words.dictionary.to_pylist() + tails.dictionary.to_pylist(), codes.ravel(), np.full(len(pieces), 2))
+
+    def _words(self, words: list[str]) -> list[list[int]]:
         """Plain words go in runs and are told apart by the word-end ids;
         others, and runs whose word count differs, go one by one."""
-        out: list = [None] * len(pieces)
-        plain, alone = [], []
-        for k, p in enumerate(pieces):
-            (plain if (m := _PLAIN(p)) else alone).append((k, 1 + bool(m and m[1])))
+        out: list = [None] * len(words)
+        plain = pc.match_substring_regex(pa.array(words, pa.string()), _PLAIN).to_numpy(zero_copy_only=False)
+        alone, plain = np.flatnonzero(~plain).tolist(), np.flatnonzero(plain).tolist()
         runs = [plain[a:a + RUN] for a in range(0, len(plain), RUN)]
-        for run, ids in zip(runs, self._ids([" ".join(pieces[k] for k, _ in r) for r in runs]), strict=True):
-            ends = np.flatnonzero(self.ends[np.array(ids, np.int64)]) + 1
-            last = np.cumsum([n for _, n in run])
-            if len(ends) != last[-1]:
+        for run, ids in zip(runs, self._ids([" ".join([words[k] for k in r]) for r in runs]), strict=True):
+            ends = (np.flatnonzero(self.ends[np.array(ids, np.int64)]) + 1).tolist()
+            if len(ends) != len(run):
                 alone += run
                 continue
             at = 0
-            for (k, _), stop in zip(run, ends[last - 1].tolist(), strict=True):
+            for k, stop in zip(run, ends, strict=True):
                 out[k] = ids[at:stop]
                 at = stop
-        for (k, _), ids in zip(alone, self._ids([pieces[k] for k, _ in alone]), strict=True):
+        for k, ids in zip(alone, self._ids([words[k] for k in alone]), strict=True):
             out[k] = ids
         return out
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        out = []
-        for run in chunks(texts):
-            out += self.pool.encode([t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in run])
-        return out
+    def encode(self, texts: pa.StringArray) -> list[np.ndarray]:
+        """Arrow cuts the texts and numbers their pieces."""
+        pieces = pc.split_pattern(pc.replace_substring_regex(texts, "[\n\t\r]", " "), " ")
+        coded = pieces.flatten().dictionary_encode()
+        sizes = pc.list_value_length(pieces).to_numpy().astype(np.int64)
+        return self.pool.encode_coded(coded.dictionary.to_pylist(), coded.indices.to_numpy(), sizes)
+
+
+def _runs(texts: pa.StringArray) -> Iterator[tuple[int, int]]:
+    """Runs of rows of about ``CHUNK_BYTES`` of text."""
+    ends, a = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64), 0
+    while a < len(ends):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + CHUNK_BYTES, "right")))
+        yield a, b
+        a = b
 
 
 def _group(part: int, grp: int, alphabet: int, docs: list, ids: list[np.ndarray]) -> pa.RecordBatch:
@@ -108,10 +130,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, id_col: s
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, grp, docs_, ids, held = WordEncoder(sent.value), TaskContext.get().partitionId(), 0, [], [], 0
         end = np.array([end_id], np.uint32)
-        for whole in batches:
-            for a in range(0, whole.num_rows, 500):
-                batch = whole.slice(a, 500)
-                for doc, got in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1).to_pylist()), strict=True):
+        for batch in batches:
+            for a, b in _runs(batch.column(1)):
+                for doc, got in zip(batch.column(0).slice(a, b - a).to_pylist(), enc.encode(batch.column(1).slice(a, b - a)), strict=True):
                     docs_.append(doc)
                     ids.append(np.concatenate([got, end]))
                     held += len(got) + 1
