@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 
 MAX_BROADCAST_ROWS = 400_000
+SIEVE_BITS = 1 << 28  # 32 MB, in rows of 4 KB
 # Words of the contracts: runs of bytes that are no ASCII white space.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
@@ -73,9 +74,41 @@ def numbered(docs: DataFrame, rid: str, id_col: str = "doc_id", text_col: str =
     return stored(x.withColumn(rid, F.monotonically_increasing_id()), "sa-numbered")
 
 
+def _few(x: DataFrame, parts: str) -> bool:
+    n = x.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.expr(parts)).alias("parts")).first()
+    return n["rows"] <= MAX_BROADCAST_ROWS and (n["parts"] or 0) <= 10 * MAX_BROADCAST_ROWS
+
+
 def small(x: DataFrame, parts: str = "1") -> DataFrame:
     """``x`` to be broadcast if it has at most ``MAX_BROADCAST_ROWS`` rows and
     ten times as many ``parts`` (an expression, summed over the rows)."""
-    n = x.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.expr(parts)).alias("parts")).first()
-    few = n["rows"] <= MAX_BROADCAST_ROWS and (n["parts"] or 0) <= 10 * MAX_BROADCAST_ROWS
-    return F.broadcast(x) if few else x
+    return F.broadcast(x) if _few(x, parts) else x
+
+
+def matched(x: DataFrame, stored_keys: DataFrame, on: list[str], parts: str = "1", how: str = "left") -> DataFrame:
+    """Wide rows ``x`` joined (``left`` or ``inner``) to ``stored_keys`` on
+    equal ``on`` columns of equal types, so that wide rows without a partner
+    are not shuffled. A small table is broadcast, see :func:`small`. A larger one
+    is hashed into a bitmap of ``SIEVE_BITS`` bits, which is broadcast instead:
+    rows whose bit is not set have no partner and pass by, the others take part
+    in a shuffled join, which settles false hits. With n keys a share of
+    1 - exp(-n / SIEVE_BITS) of the rows without a partner goes along. ``x`` is
+    read twice then. Null keys have no partner; columns: ``x``'s, then the rest
+    of ``stored_keys``."""
+    rest = [c for c in stored_keys.columns if c not in on]
+    cols = [F.col(f"`{c}`") for c in (*x.columns, *rest)]
+    if _few(stored_keys, parts):
+        return x.join(F.broadcast(stored_keys), on, how).select(*cols)
+    bucket, bits = fresh(x, "__bucket"), fresh(x, "__bits")
+    h = F.pmod(F.xxhash64(*on), F.lit(SIEVE_BITS))
+    sieve = stored_keys.select(h.alias("h")).groupBy(F.bitmap_bucket_number("h").alias(bucket)).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias(bits))
+    at = F.bitmap_bit_position(h)
+    byte = F.conv(F.hex(F.substring(F.col(bits), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    may = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    y = x.withColumn(bucket, F.bitmap_bucket_number(h)).join(F.broadcast(sieve), bucket, "left").withColumn(bits, may)
+    out = y.filter(bits).join(stored_keys, on, how).select(*cols)
+    if how == "inner":
+        return out
+    none = [F.lit(None).cast(stored_keys.schema[c].dataType).alias(c) for c in rest]
+    return out.union(y.filter(~F.col(bits)).select(*cols[:len(x.columns)], *none))

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, numbered, small, stored, text_or_empty
+from .common import fresh, matched, numbered, small, stored, text_or_empty
 from .minhash import _power, _raw, mix
 
 WIDTH, CORE = 100, 24
@@ -270,7 +270,7 @@ def spans(texts: DataFrame) -> DataFrame:
     open_ = t.filter("NOT repeat")
     mine = open_.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("pack", "core"))).alias("tuples"))  # of one document
     mine = stored(mine, "sa-open")
-    got = texts.join(small(mine, "size(tuples)"), "rid").select("rid", "text", "tuples").mapInArrow(_fetch, "core long, rid long, pack long, bytes binary")
+    got = matched(texts, mine, ["rid"], "size(tuples)", "inner").select("rid", "text", "tuples").mapInArrow(_fetch, "core long, rid long, pack long, bytes binary")
     sizes = open_.groupBy("core").agg(F.count(F.lit(1)).alias("n"))
     hot = stored(sizes.filter(F.col("n") > GROUP).select("core"), "sa-hot")
     total = open_.count()
@@ -298,7 +298,7 @@ def _joined(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str
     x = numbered(docs, rid, id_col, text_col)
     found = spans(x.select(F.col(rid).alias("rid"), text_or_empty(text_col).alias("text")))
     cut_ = fresh(x, "__spans")
-    return x.join(small(found.withColumnRenamed("rid", rid).withColumnRenamed("spans", cut_), f"size({cut_})"), rid, "left"), rid, cut_
+    return matched(x, found.withColumnRenamed("rid", rid).withColumnRenamed("spans", cut_), [rid], f"size({cut_})"), rid, cut_
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -5,7 +5,8 @@ Writing. A record is one string; Spark's text writer puts it into the archive
 with the record end (two line ends) as its separator, so files are made by
 Spark's own commit protocol on any file system. Payloads that occur more than
 once are found by digest (partial aggregation, then a join that Spark splits
-where one payload has a large share of the pages).
+where one payload has a large share of the pages). Revisits are broadcast where
+they are few; beyond that only pages that may be among them are shuffled.
 
 Reading. The scan cuts archives at every occurrence of the magic, in any
 number of splits; each cut is a candidate record with a successor offset (its
@@ -34,13 +35,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cores, stored, text_or_empty
+from .common import cores, matched, stored, text_or_empty
 
 VERSION = "WARC/1.1"
 EOL = "\r\n"
 MAGIC = VERSION + EOL
 END = EOL + EOL
-MAX_BROADCAST = 500_000  # revisits of about 100 bytes
 DATE = "1970-01-01T00:00:00Z"  # pages carry no time of capture
 _BASE32 = ("0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
@@ -60,10 +60,7 @@ def write(pages: DataFrame, path: str, min_payload: int = 0, id_col: str = "page
     slim = x.select("page_id", "sha").filter(F.octet_length("payload") >= min_payload) if min_payload else x.select("page_id", "sha")
     first = slim.groupBy("sha").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1 AND first IS NOT NULL")
     again = slim.join(first, "sha").filter("page_id <> first").select("page_id", "sha", "first").distinct()
-    again = stored(again, "warc-revisits")
-    if again.count() <= MAX_BROADCAST:  # else the pages are shuffled
-        again = F.broadcast(again)
-    x = x.join(again, ["page_id", "sha"], "left")
+    x = matched(x, stored(again, "warc-revisits"), ["page_id", "sha"])  # pages that revisit nothing are not shuffled
     size, name = F.octet_length("payload"), lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("null")), F.lit(">"))
     revisit = F.col("first").isNotNull()
     field = lambda key, value: F.concat(F.lit(f"{key}: "), value, F.lit(EOL))

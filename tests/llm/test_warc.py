@@ -5,7 +5,7 @@ import hashlib
 
 import pytest
 
-from ferret.llm import warc
+from ferret.llm import common, warc
 from ferret.llm.common import run_dir
 
 FAKE = ("WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:999>\r\nWARC-Payload-Digest: sha1:" + "A" * 32
@@ -48,6 +48,16 @@ def test_round_trip(spark, split, least):
     assert got == expected(ROWS, least)
 
 
+@pytest.mark.parametrize("bits", [1 << 20, 8])
+def test_many_revisits(spark, monkeypatch, bits):
+    """Above the broadcast limit, with a sparse and a full bitmap."""
+    monkeypatch.setattr(common, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(common, "SIEVE_BITS", bits)
+    path = run_dir(spark, "warc-test")
+    warc.write(spark.createDataFrame(ROWS, "page_id long, url string, html string"), path)
+    assert sorted(map(tuple, warc.read(spark, path).collect()), key=str) == expected(ROWS)
+
+
 def test_empty(spark):
     path = run_dir(spark, "warc-test")
     warc.write(spark.createDataFrame([], "page_id long, url string, html string"), path)
