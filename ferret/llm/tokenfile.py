@@ -36,7 +36,7 @@ from .pieces import PiecePool
 GROUP = 2000 * idcoder.BLOCK
 RUN = 400  # words that go to the tokenizer as one text
 MAX_WORDS = 500_000  # distinct words that a task keeps, about 200 bytes each
-CHUNK_BYTES = 16_000_000  # of text that is cut into words at a time, a longer text alone
+CHUNK_BYTES = 4_000_000  # of text that is cut into words at a time, a longer text alone
 # Sure to be one pre-token: Latin-1 letters. Symbols after them are the next one.
 _PLAIN, _TAIL = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$", ".,;:!?#$%&*|<>()"
 FILE = ("part int, grp int, alphabet int, n_tokens long, doc_ids array<long>, doc_lens array<long>, "
