@@ -8,8 +8,11 @@ import pyarrow as pa
 from ferret.functions import analyze as A
 from ferret.operators import bydoc as B
 from ferret.operators import dictionary as D
+from ferret.operators import evaluate as E
+from ferret.operators import index as I
 from ferret.operators import terms as TM
 
+from .conftest import SF_SMALL
 from .test_operators import WORDS, glob, ix, run  # noqa: F401
 
 
@@ -60,3 +63,26 @@ def test_slots_and_best_against_plain():
     got = sorted(zip(best.kept[0].tolist(), best.kept[1].to_pylist()))
     assert got == sorted((q, doc) for k in range(4) for q, _, doc in sorted(r for r in rows if r[0] == k)[:3])
     assert B.micro(np.array([0.0000005, 0.1234565, 2.5])).tolist() == [1, 123457, 2500000]
+
+
+def test_hits_after_full_recall_are_not_ranked(spark, monkeypatch):
+    hits = spark.createDataFrame([(q, d, 1.0 / (d + 1)) for q in (1, 2, 3) for d in range(50)], "qid int, doc_id long, score double")
+    qrels = spark.createDataFrame([(1, 2), (1, 4), (2, 7), (2, 99)], "topic int, doc_id long")
+    ranked = []
+    monkeypatch.setattr(E, "running_ranks", lambda j, f=E.running_ranks: ranked.append({r.topic: r["count"] for r in j.groupBy("topic").count().collect()}) or f(j))
+    got = {}
+    for r in E.curve(hits, qrels).collect():
+        got.setdefault(r.topic, []).append((r["rank"], r.rel))
+    assert ranked == [{1: 5, 2: 50, 3: 50}]
+    assert max(got[1]) == (5, 1) and len(got[1]) == 5 and len(got[2]) == len(got[3]) == 50
+
+
+def test_texts_stay_where_they_are(spark):
+    """Candidates go to the documents; texts are not exchanged for the join."""
+    index = I.open_index(spark, SF_SMALL)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = E.qrels_containment(spark, SF_SMALL, index)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
