@@ -1,5 +1,5 @@
 """Similar groups of documents: bag-of-words cosine, dense-vector cosine and
-LDA topic vectors (Spark ML).
+LDA topic vectors.
 
 A group is a (venue, year) pair; its bag of words is the vectorizer tokens
 of its titles (lowercase words of two or more word characters, stop words
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..functions import analyze as A
 from ..session import materialize, scratch, small
 from ..sources import tables as T
+from . import lda as LDA
 from .ordinals import placed
 
 BOW_RE = r"[\p{L}\p{N}_]{2,}"
@@ -136,23 +137,27 @@ def _as_vectors(rows: DataFrame, size: int) -> DataFrame:
     return rows.sparkSession.read.schema(schema).parquet(path)
 
 
-def lda_fit(corpus: DataFrame, k: int = 10, max_iter: int = 100, seed: int = 0):
-    from pyspark.ml.clustering import LDA
+def lda_fit(corpus: DataFrame, k: int = 10, max_iter: int = 100, seed: int = 0) -> LDA.TopicModel:
+    """The topic model of ``corpus`` (:mod:`lda`)."""
+    (model,) = LDA.models(LDA.documents(corpus), _size(corpus), k, (max_iter,), seed)
+    return model
 
-    return LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online", featuresCol="features").fit(corpus)
+
+def _size(corpus: DataFrame) -> int:
+    """Of the vocabulary, which every vector knows."""
+    first = corpus.select("features").first()
+    return first["features"].size if first else 0
 
 
 def lda_steps(corpus: DataFrame, k: int = 10, steps: tuple[int, ...] = (1, 10, 100), seed: int = 0) -> DataFrame:
     """The likelihood bound while fitting: ``iterations, log_likelihood,
     log_perplexity`` of models after so many iterations (one row a step)."""
-    rows = []
-    for n in steps:
-        model = lda_fit(corpus, k, n, seed)
-        rows.append((n, float(model.logLikelihood(corpus)), float(model.logPerplexity(corpus))))
-    return corpus.sparkSession.createDataFrame(rows, "iterations int, log_likelihood double, log_perplexity double")
+    docs = LDA.documents(corpus)
+    at = sorted(set(steps))
+    rows = {n: (n, *model.likelihood(docs)) for n, model in zip(at, LDA.models(docs, _size(corpus), k, tuple(at), seed), strict=True)}
+    return corpus.sparkSession.createDataFrame([rows[n] for n in steps], "iterations int, log_likelihood double, log_perplexity double")
 
 
-def topic_words(model, vocab: DataFrame, n: int = 8) -> DataFrame:
+def topic_words(model: LDA.TopicModel, vocab: DataFrame, n: int = 8) -> DataFrame:
     """``topic, rank, term``: the ``n`` first words of every topic."""
-    t = model.describeTopics(n).select("topic", F.posexplode("termIndices").alias("rank", "idx"))
-    return t.join(small(vocab), "idx").select("topic", (F.col("rank") + 1).alias("rank"), "term")
+    return vocab.join(small(model.describe(n)), "idx").select("topic", (F.col("rank") + 1).alias("rank"), "term")

@@ -30,7 +30,7 @@ def save_topics(path: str, model, vocab: DataFrame, groups: DataFrame) -> None:
     """One folder with the topic ``model``, its vocabulary (``term, idx``) and
     the names of the groups it was fitted on. ``_done`` is written last: a folder
     without it is no bundle."""
-    model.write().overwrite().save(f"{path}/model")
+    model.save(f"{path}/model")
     vocab.write.mode("overwrite").parquet(f"{path}/vocabulary")
     groups.write.mode("overwrite").parquet(f"{path}/groups")
     vocab.limit(0).write.mode("overwrite").parquet(f"{path}/_done")
@@ -38,8 +38,8 @@ def save_topics(path: str, model, vocab: DataFrame, groups: DataFrame) -> None:
 
 def load_topics(spark: SparkSession, path: str):
     """``model, vocabulary, groups`` of :func:`save_topics`."""
-    from pyspark.ml.clustering import LocalLDAModel
+    from ..operators.lda import TopicModel
 
     if not path_exists(spark, f"{path}/_done"):
         raise FileNotFoundError(f"no complete topic model in {path}")
-    return LocalLDAModel.load(f"{path}/model"), spark.read.parquet(f"{path}/vocabulary"), spark.read.parquet(f"{path}/groups")
+    return TopicModel.load(spark, f"{path}/model"), spark.read.parquet(f"{path}/vocabulary"), spark.read.parquet(f"{path}/groups")
