@@ -43,6 +43,11 @@ FILE = ("part int, grp int, alphabet int, n_tokens long, doc_ids array<long>, do
         "words binary, crcs binary, code binary")
 
 
+def _listed(x: pa.Array) -> list:
+    """The values of an array without nulls; Arrow's own list takes several times as long."""
+    return x.to_numpy(zero_copy_only=False).tolist()
+
+
 class WordEncoder:
     """Ids of texts by a ``tokenizers`` tokenizer that drops white space and
     ends words by a suffix: pieces between ASCII white space are independent,
@@ -69,10 +74,10 @@ class WordEncoder:
         word = pc.utf8_rtrim(x, characters=_TAIL)
         plain = pc.match_substring_regex(word, _PLAIN)
         words = pc.if_else(plain, pc.utf8_lower(word), x).dictionary_encode()
-        cuts = pc.if_else(plain, pc.utf8_length(word), pc.utf8_length(x)).to_pylist()
+        cuts = _listed(pc.if_else(plain, pc.utf8_length(word), pc.utf8_length(x)))
         tails = pa.array([p[n:] for p, n in zip(pieces, cuts, strict=True)], pa.string()).dictionary_encode()
         codes = np.stack([words.indices.to_numpy(), tails.indices.to_numpy() + len(words.dictionary)], axis=1)
-        return self.words.encode_coded(words.dictionary.to_pylist() + tails.dictionary.to_pylist(), codes.ravel(), np.full(len(pieces), 2))
+        return self.words.encode_coded(_listed(words.dictionary) + _listed(tails.dictionary), codes.ravel(), np.full(len(pieces), 2))
 
     def _words(self, words: list[str]) -> list[list[int]]:
         """Plain words go in runs and are told apart by the word-end ids;
@@ -99,7 +104,18 @@ class WordEncoder:
         pieces = pc.split_pattern(pc.replace_substring_regex(texts, "[\n\t\r]", " "), " ")
         coded = pieces.flatten().dictionary_encode()
         sizes = pc.list_value_length(pieces).to_numpy().astype(np.int64)
-        return self.pool.encode_coded(coded.dictionary.to_pylist(), coded.indices.to_numpy(), sizes)
+        return self.pool.encode_coded(_listed(coded.dictionary), coded.indices.to_numpy(), sizes)
+
+
+_LAST: list = []  # the encoder of this worker process and its tokenizer
+
+
+def _encoder(json: str) -> WordEncoder:
+    """The words that a worker has met serve its next tasks too; not those of
+    pools that a failed task left with numbers but no ids."""
+    if not _LAST or _LAST[0] != json or any(len(p.numbers) != len(p.lens) for p in (_LAST[1].words, _LAST[1].pool)):
+        _LAST[:] = json, WordEncoder(json)
+    return _LAST[1]
 
 
 def _runs(texts: pa.StringArray) -> Iterator[tuple[int, int]]:
@@ -128,7 +144,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, id_col: s
     x = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part, grp, docs_, ids, held = WordEncoder(sent.value), TaskContext.get().partitionId(), 0, [], [], 0
+        enc, part, grp, docs_, ids, held = _encoder(sent.value), TaskContext.get().partitionId(), 0, [], [], 0
         end = np.array([end_id], np.uint32)
         for batch in batches:
             for a, b in _runs(batch.column(1)):
