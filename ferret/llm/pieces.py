@@ -50,7 +50,8 @@ class PiecePool:
         self.lens = np.concatenate([self.lens, lens])
         self.ids = np.concatenate([self.ids, flat])
 
-    def _numbered(self, pieces: Iterable, n: int) -> np.ndarray:
+    def numbered(self, pieces: Iterable, n: int) -> np.ndarray:
+        """Numbers of ``n`` pieces; new ones are looked up."""
         if len(self.numbers) > self.most:
             self._clear()
         which = np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, n)
@@ -61,12 +62,7 @@ class PiecePool:
     def encode(self, texts: list[list]) -> list[np.ndarray]:
         """Ids of each text, given as its list of pieces."""
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        return self._built(self._numbered(chain.from_iterable(texts), int(sizes.sum())), sizes)
-
-    def encode_coded(self, distinct: list, codes: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
-        """Ids of each text, given as ``sizes`` pieces in turn, each the place
-        of a piece in ``distinct``: only distinct pieces are looked up."""
-        return self._built(self._numbered(distinct, len(distinct))[codes], sizes)
+        return self._built(self.numbered(chain.from_iterable(texts), int(sizes.sum())), sizes)
 
     def _built(self, which: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
         lens = self.lens[which]

@@ -20,7 +20,7 @@ gives files without groups; columns other than the two asked for are not read.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +34,12 @@ from .common import partitions, small, text_or_empty
 from .pieces import PiecePool
 
 GROUP = 2000 * idcoder.BLOCK
-RUN = 400  # words that go to the tokenizer as one text
-MAX_WORDS = 500_000  # distinct words that a task keeps, about 200 bytes each
-CHUNK_BYTES = 4_000_000  # of text that is cut into words at a time, a longer text alone
+RUN = 100  # words that go to the tokenizer as one text
+MAX_WORDS = 1_000_000  # distinct words that a worker keeps, about 60 bytes each while they are looked up
+CHUNK_BYTES = 16_000_000  # of text that is cut into words at a time, a longer text alone
 # Sure to be one pre-token: Latin-1 letters. Symbols after them are the next one.
-_PLAIN, _TAIL = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$", ".,;:!?#$%&*|<>()"
+_LETTERS = "".join(c for c in map(chr, range(256)) if c.isalpha() and c not in "ªµº")
+_TAIL = ".,;:!?#$%&*|<>()"
 FILE = ("part int, grp int, alphabet int, n_tokens long, doc_ids array<long>, doc_lens array<long>, "
         "words binary, crcs binary, code binary")
 
@@ -48,63 +49,116 @@ def _listed(x: pa.Array) -> list:
     return x.to_numpy(zero_copy_only=False).tolist()
 
 
+def _lists(ids: np.ndarray, lens: np.ndarray) -> pa.ListArray:
+    ends = np.zeros(len(lens) + 1, np.int32)
+    np.cumsum(lens, out=ends[1:])
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
+
+
+class WordPool:
+    """Ids of distinct words, as Arrow lists. Arrow numbers the words too, so
+    none becomes a Python object; emptied when it holds ``most``."""
+
+    def __init__(self, resolve: Callable[[pa.StringArray], tuple[np.ndarray, np.ndarray]], most: int):
+        self.resolve, self.most = resolve, most
+        self._clear()
+
+    def _clear(self) -> None:
+        self.held = pa.array([], pa.string()), pa.array([], pa.list_(pa.uint32()))
+
+    def numbered(self, words: pa.StringArray) -> np.ndarray:
+        """Places of distinct ``words`` among ``ids``; new ones are encoded."""
+        if len(self.held[0]) > self.most:
+            self._clear()
+        known, ids = self.held
+        at = pc.index_in(words, value_set=known)
+        new = words.filter(at.is_null())
+        if not len(new):
+            return at.to_numpy()
+        out = at.fill_null(-1).to_numpy().copy()
+        out[out < 0] = np.arange(len(known), len(known) + len(new))
+        self.held = pa.concat_arrays([known, new]), pa.concat_arrays([ids, _lists(*self.resolve(new))])
+        return out
+
+    @property
+    def ids(self) -> pa.ListArray:
+        return self.held[1]
+
+
 class WordEncoder:
     """Ids of texts by a ``tokenizers`` tokenizer that drops white space and
     ends words by a suffix: pieces between ASCII white space are independent,
-    so each distinct piece is looked up once, and each distinct word encoded once."""
+    so each distinct piece of a chunk is looked up once. A plain word is looked
+    up in lower case, apart from symbols after it, and encoded once; so are
+    other pieces, whole."""
 
     def __init__(self, json: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tok = Tokenizer.from_str(json)
+        self.tok, self.bare = Tokenizer.from_str(json), Tokenizer.from_str(json)
+        # lower-case Latin-1 words are normal already and end at white space
+        self.bare.normalizer = None
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.tok.get_vocab(with_added_tokens=True)
         self.alphabet = max(vocab.values()) + 1
         self.ends = np.zeros(self.alphabet, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.words = PiecePool(self._words, MAX_WORDS)
-        self.pool = PiecePool(self._pieces, MAX_WORDS)
-
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _pieces(self, pieces: list[str]) -> list[np.ndarray]:
-        """A plain word is looked up in lower case, apart from symbols after it."""
-        x = pa.array(pieces, pa.string())
-        word = pc.utf8_rtrim(x, characters=_TAIL)
-        plain = pc.match_substring_regex(word, _PLAIN)
-        words = pc.if_else(plain, pc.utf8_lower(word), x).dictionary_encode()
-        cuts = _listed(pc.if_else(plain, pc.utf8_length(word), pc.utf8_length(x)))
-        tails = pa.array([p[n:] for p, n in zip(pieces, cuts, strict=True)], pa.string()).dictionary_encode()
-        codes = np.stack([words.indices.to_numpy(), tails.indices.to_numpy() + len(words.dictionary)], axis=1)
-        return self.words.encode_coded(_listed(words.dictionary) + _listed(tails.dictionary), codes.ravel(), np.full(len(pieces), 2))
-
-    def _words(self, words: list[str]) -> list[list[int]]:
-        """Plain words go in runs and are told apart by the word-end ids;
-        others, and runs whose word count differs, go one by one."""
-        out: list = [None] * len(words)
-        plain = pc.match_substring_regex(pa.array(words, pa.string()), _PLAIN).to_numpy(zero_copy_only=False)
-        alone, plain = np.flatnonzero(~plain).tolist(), np.flatnonzero(plain).tolist()
-        runs = [plain[a:a + RUN] for a in range(0, len(plain), RUN)]
-        for run, ids in zip(runs, self._ids([" ".join([words[k] for k in r]) for r in runs]), strict=True):
-            ends = (np.flatnonzero(self.ends[np.array(ids, np.int64)]) + 1).tolist()
-            if len(ends) != len(run):
-                alone += run
-                continue
-            at = 0
-            for k, stop in zip(run, ends, strict=True):
-                out[k] = ids[at:stop]
-                at = stop
-        for k, ids in zip(alone, self._ids([words[k] for k in alone]), strict=True):
-            out[k] = ids
-        return out
+        self.words = WordPool(self._words, MAX_WORDS)
+        self.pool = PiecePool(self._whole)
+
+    def _whole(self, pieces: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _words(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words, one after the other, and their numbers of ids.
+        Words go in runs and are told apart by the word-end ids; those of runs
+        whose word count differs go one by one."""
+        cuts = np.append(np.arange(0, len(words), RUN), len(words)).astype(np.int32)
+        runs = _listed(pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts), words), " "))
+        ids, lens = [], []
+        for k, e in enumerate(self.bare.encode_batch_fast(runs, add_special_tokens=False)):
+            one = np.array(e.ids, np.uint32)
+            ends = np.flatnonzero(self.ends[one]) + 1
+            if len(ends) == cuts[k + 1] - cuts[k] and ends[-1] == len(one):
+                ids.append(one)
+                ends[1:] -= ends[:-1].copy()
+                lens.append(ends)
+            else:
+                alone = self._whole(words[cuts[k]:cuts[k + 1]].to_pylist())
+                ids += [np.array(x, np.uint32) for x in alone]
+                lens.append(np.array([len(x) for x in alone]))
+        return np.concatenate(ids), np.concatenate(lens)
+
+    def _pieces(self, pieces: pa.StringArray) -> pa.ListArray:
+        """Ids of distinct pieces: of a plain word, if any, then of the rest."""
+        word = pc.utf8_rtrim(pieces, characters=_TAIL)
+        rest = pc.utf8_ltrim(pieces, characters=_LETTERS)
+        n = [pc.binary_length(x).to_numpy() for x in (pieces, word, rest)]
+        plain = pa.array((n[1] + n[2] == n[0]) & (n[1] > 0))  # letters, then symbols
+        words = pc.utf8_lower(word.filter(plain)).dictionary_encode()
+        rest = pc.if_else(plain, rest, pieces).dictionary_encode()
+        other = _listed(rest.dictionary)
+        other = self.pool.numbered(other, len(other))
+        known = self.words.numbered(words.dictionary)
+        none = len(self.words.ids)
+        at = np.full((len(pieces), 2), none, np.int64)
+        at[plain.to_numpy(zero_copy_only=False), 0] = known[words.indices.to_numpy()]
+        at[:, 1] = none + 1 + other[rest.indices.to_numpy()]
+        ids = pa.concat_arrays([self.words.ids, pa.array([[]], pa.list_(pa.uint32())), _lists(self.pool.ids, self.pool.lens)])
+        both = ids.take(pa.array(at.ravel()))
+        return pa.ListArray.from_arrays(both.offsets.take(pa.array(np.arange(0, 2 * len(pieces) + 1, 2))), both.values)
 
     def encode(self, texts: pa.StringArray) -> list[np.ndarray]:
-        """Arrow cuts the texts and numbers their pieces."""
+        """Arrow cuts the texts, numbers their pieces, and puts the ids together."""
         pieces = pc.split_pattern(pc.replace_substring_regex(texts, "[\n\t\r]", " "), " ")
         coded = pieces.flatten().dictionary_encode()
-        sizes = pc.list_value_length(pieces).to_numpy().astype(np.int64)
-        return self.pool.encode_coded(_listed(coded.dictionary), coded.indices.to_numpy(), sizes)
+        ids = self._pieces(coded.dictionary).take(coded.indices)
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(pieces).to_numpy(), dtype=np.int64)])
+        cuts = ids.offsets.to_numpy()[ends].tolist()
+        flat = ids.values.to_numpy()
+        return [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 _LAST: list = []  # the encoder of this worker process and its tokenizer
@@ -112,8 +166,8 @@ _LAST: list = []  # the encoder of this worker process and its tokenizer
 
 def _encoder(json: str) -> WordEncoder:
     """The words that a worker has met serve its next tasks too; not those of
-    pools that a failed task left with numbers but no ids."""
-    if not _LAST or _LAST[0] != json or any(len(p.numbers) != len(p.lens) for p in (_LAST[1].words, _LAST[1].pool)):
+    a pool that a failed task left with numbers but no ids."""
+    if not _LAST or _LAST[0] != json or len(_LAST[1].pool.numbers) != len(_LAST[1].pool.lens):
         _LAST[:] = json, WordEncoder(json)
     return _LAST[1]
 
