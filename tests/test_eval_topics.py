@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from ferret import session as SS
 from ferret.operators import evaluate as E
 from ferret.operators import index as I
 from ferret.operators import search as S
@@ -83,3 +84,17 @@ def test_postings_are_filtered_by_the_terms_asked_for(spark, monkeypatch):
     monkeypatch.setattr(I, "FILTER_TERMS", 2)
     assert "In(term" not in plan(index.lookup(terms)) and index.lookup(terms).count() == index.postings.count()
     assert found and rows() == found
+
+
+def test_exchanges_grow_with_the_tables(spark, tmp_path, monkeypatch):
+    """Partitions of an exchange by what is scanned, not by the setting alone nor by a join's estimate."""
+    spark.range(400_000).write.parquet(f"{tmp_path}/t")
+    t = spark.read.parquet(f"{tmp_path}/t")
+    size = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
+    few = spark.createDataFrame([(k,) for k in range(20)], "id long")
+    want = -(-size // 50_000)
+    assert [SS.scan_parallelism(x, 50_000) for x in (t, t.join(few, "id"), few.join(t.selectExpr("id AS other")))] == [want] * 3
+    assert want > SS.parallelism(spark)
+    monkeypatch.setattr(I, "BUCKET_BYTES", 50_000)
+    assert I.bucket_count(t) == want
+    assert SS.scan_parallelism(t) == SS.scan_parallelism(spark.createDataFrame([(1,)], "a int")) == SS.parallelism(spark)
