@@ -70,7 +70,10 @@ def _lists(values: pa.Array, first: np.ndarray, n: int) -> pa.Array:
 def _rows(field: str, docs: pa.Array, terms: pa.Array, d: np.ndarray, term: np.ndarray, pos: np.ndarray, in_order: bool) -> pa.RecordBatch:
     """Postings of words: their documents, terms (numbers) and positions."""
     flen = np.bincount(d, minlength=len(docs))
-    key = d * max(len(terms), 1) + term
+    by_name = pc.sort_indices(terms.cast(pa.string()).cast(pa.binary()))
+    place = np.empty(len(terms), dtype=np.int64)
+    place[by_name.to_numpy()] = np.arange(len(terms))
+    key = place[term] * len(docs) + d  # in the order of the terms: the sort that follows finds it half done
     order = np.argsort(key, kind="stable") if in_order else np.lexsort((pos, key))
     key = key[order]
     first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])

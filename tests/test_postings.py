@@ -77,3 +77,13 @@ def test_some_whole_documents_at_a_time(monkeypatch):
             assert sum(map(len, seen)) == len(set.union(*seen)) == 10
             if step == 20:
                 assert len(parts) <= groups + 1  # and the last document of a batch
+
+
+def test_postings_leave_in_the_order_of_their_sort():
+    """Term by term, as Spark orders strings (by byte), then by document: runs for the sort of the index."""
+    terms = pa.array(["b", "é", "a", "z", "B", "ab"])
+    d, term, pos = (pa.array(x).to_numpy() for x in ([0, 0, 1, 1, 1, 2, 2], [0, 1, 2, 0, 0, 4, 5], [0, 1, 0, 1, 2, 0, 3]))
+    for in_order in (True, False):
+        rows = P._rows("t", pa.array([7, 8, 9]), terms, d, term, pos, in_order).to_pydict()
+        assert rows["term"] == sorted(rows["term"], key=str.encode) and list(zip(rows["term"], rows["doc_id"])) == [("B", 9), ("a", 8), ("ab", 9), ("b", 7), ("b", 8), ("é", 7)]
+        assert rows["positions"] == [[0], [0], [3], [0], [1, 2], [1]] and rows["tf"] == [1, 1, 1, 1, 2, 1] and rows["flen"] == [2, 3, 2, 2, 3, 2]
